@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The computations covered here are batch only: late rows are handled by the
+as-of cutoff (``operators.claims.through_cutoff``) and by starting a new run, so
+there is no watermark, window or keyed state to express.
+"""
