@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.operators import claims, exposure, kpis, ledger, preflight, quality
 from evenkeel.schemas import TABLES
+from evenkeel.session import stage
 from evenkeel.sources import tables as store
 
 RAW = ("raw_eligibility_span", "raw_claim_header", "raw_claim_line", "raw_payment_transaction",
@@ -17,9 +18,25 @@ RAW = ("raw_eligibility_span", "raw_claim_header", "raw_claim_line", "raw_paymen
 DIMENSIONS = ("dim_market", "dim_member", "dim_plan", "dim_provider", "dim_service_category",
               "service_category_map", "dim_date")
 OPERATIONAL = ("pipeline_run", "source_file", "expected_partition")
-CURATED = ("eligibility_span", "fact_member_month", "claim_header_version", "claim_line_version",
-           "fact_claim_header_final", "fact_claim_line_final", "fact_payment_transaction",
-           "fact_capitation_transaction", "dq_result")
+# Curated table -> attribute of the run that builds it, in build order.
+CURATED_ATTRIBUTES = {
+    "eligibility_span": "spans",
+    "member_assignment": "assignments",
+    "fact_member_month": "member_months",
+    "claim_header_version": "headers",
+    "claim_line_version": "lines",
+    "fact_claim_header_final": "finals",
+    "fact_claim_line_final": "final_lines",
+    "fact_payment_transaction": "payments",
+    "fact_capitation_transaction": "capitation",
+    "dq_result": "dq_result",
+}
+CURATED = tuple(name for name in CURATED_ATTRIBUTES if name in TABLES)
+
+VIEWS = ("v_partition_status", "v_primary_exposure", "v_exposure_month", "v_ffs_spend_month",
+         "v_ffs_claims_month", "v_ffs_category_month", "v_encounter_month",
+         "v_capitation_month", "v_kpi_ffs_month", "v_kpi_managed_care_month",
+         "v_kpi_period_membership", "v_kpi_ffs_category_month")
 
 
 @dataclass
@@ -87,6 +104,19 @@ class FinanceRun:
         return self.curated.get("fact_capitation_transaction") or ledger.capitation_ledger(
             self["raw_capitation_transaction"], *self._dims, self.run_id)
 
+    def staged(self, *tables: str) -> "FinanceRun":
+        """The same run with the named tables written once to the shared folder.
+
+        For work in which several rules and measures read one curated table.
+        Tables are staged in the given order and build on each other.
+        """
+        run = self
+        for table in tables:
+            df = run.curated_table(table)
+            run = FinanceRun(self.inputs, self.run_id, self.mapping_version,
+                             {**run.curated, table: stage(df, table)})
+        return run
+
     # evidence
 
     @cached_property
@@ -100,34 +130,34 @@ class FinanceRun:
         return quality.family_balances(
             self.payments, self.finals, self["pipeline_run"], self.run_id)
 
-    @cached_property
-    def rules(self) -> dict[str, DataFrame]:
+    def rule(self, rule_id: str) -> DataFrame:
+        """Result rows of one rule."""
         run = self.run_id
         return {
-            "DQ_ELIG_DUPLICATE_KEY": quality.duplicate_span_keys(
+            "DQ_ELIG_DUPLICATE_KEY": lambda: quality.duplicate_span_keys(
                 self["raw_eligibility_span"], run),
-            "DQ_ELIG_UNRESOLVED_REFERENCE": quality.unresolved_span_references(
+            "DQ_ELIG_UNRESOLVED_REFERENCE": lambda: quality.unresolved_span_references(
                 self["raw_eligibility_span"], *self._dims, run),
-            "DQ_LINE_UNMAPPED_SERVICE_CODE": quality.unmapped_service_codes(
+            "DQ_LINE_UNMAPPED_SERVICE_CODE": lambda: quality.unmapped_service_codes(
                 self["raw_claim_line"], self["raw_claim_header"],
                 self["service_category_map"], run, self.mapping_version),
-            "DQ_MISSING_MARKET_FEED": quality.missing_market_feeds(
+            "DQ_MISSING_MARKET_FEED": lambda: quality.missing_market_feeds(
                 self["expected_partition"], self["source_file"], run),
-            "DQ_MM_CONFLICTING_ASSIGNMENT": quality.conflicting_assignments(
+            "DQ_MM_CONFLICTING_ASSIGNMENT": lambda: quality.conflicting_assignments(
                 self.spans, self.assignments, run),
-            "DQ_CLAIM_POPULATION_MATCH": quality.claim_population(self.finals, run),
-            "DQ_HEADER_LINE_BALANCE": quality.header_line_balance(
+            "DQ_CLAIM_POPULATION_MATCH": lambda: quality.claim_population(self.finals, run),
+            "DQ_HEADER_LINE_BALANCE": lambda: quality.header_line_balance(
                 self.headers, self.unbalanced_headers, run),
-            "DQ_LEDGER_RECONCILES_TO_CLAIMS": quality.ledger_reconciles(
+            "DQ_LEDGER_RECONCILES_TO_CLAIMS": lambda: quality.ledger_reconciles(
                 self.family_balances, run),
-            "DQ_CAPITATION_CORRECTION_LINKED": quality.capitation_corrections_linked(
+            "DQ_CAPITATION_CORRECTION_LINKED": lambda: quality.capitation_corrections_linked(
                 self["raw_capitation_transaction"], run),
-        }
+        }[rule_id]()
 
     @cached_property
     def dq_result(self) -> DataFrame:
         return self.curated.get("dq_result") or reduce(
-            DataFrame.unionByName, self.rules.values())
+            DataFrame.unionByName, [self.rule(r) for r in (*quality.RUN_RULES, quality.FEED_RULE[0])])
 
     @cached_property
     def quarantine(self) -> DataFrame:
@@ -148,36 +178,48 @@ class FinanceRun:
             self["dim_market"], self["dim_date"], self["pipeline_run"], self.dq_result)
 
     @cached_property
-    def views(self) -> dict[str, DataFrame]:
-        exposed = kpis.exposure_month(self.member_months)
-        spend = kpis.ffs_spend_month(self.finals, self.final_lines)
-        counted = kpis.ffs_claims_month(self.finals)
-        categories = kpis.ffs_category_month(self.finals, self.final_lines)
-        encounters = kpis.encounter_month(self.finals)
-        paid = kpis.capitation_month(self.capitation)
-        ffs = kpis.kpi_ffs_month(exposed, spend, counted, self.partition_status)
+    def exposure_month(self) -> DataFrame:
+        return kpis.exposure_month(self.member_months)
+
+    @cached_property
+    def kpi_ffs_month(self) -> DataFrame:
+        return kpis.kpi_ffs_month(
+            self.exposure_month, kpis.ffs_spend_month(self.finals, self.final_lines),
+            kpis.ffs_claims_month(self.finals), self.partition_status)
+
+    def view(self, name: str) -> DataFrame:
+        """One component or measure by the name it is published under."""
         return {
-            "v_partition_status": self.partition_status,
-            "v_primary_exposure": kpis.primary_exposure(self.member_months),
-            "v_exposure_month": exposed,
-            "v_ffs_spend_month": spend,
-            "v_ffs_claims_month": counted,
-            "v_ffs_category_month": categories,
-            "v_encounter_month": encounters,
-            "v_capitation_month": paid,
-            "v_kpi_ffs_month": ffs,
-            "v_kpi_managed_care_month": kpis.kpi_managed_care_month(
-                exposed, encounters, paid, self.partition_status),
-            "v_kpi_period_membership": kpis.kpi_period_membership(exposed, self["dim_date"]),
-            "v_kpi_ffs_category_month": kpis.kpi_ffs_category_month(
-                categories, self["dim_service_category"], ffs),
-        }
+            "v_partition_status": lambda: self.partition_status,
+            "v_primary_exposure": lambda: kpis.primary_exposure(self.member_months),
+            "v_exposure_month": lambda: self.exposure_month,
+            "v_ffs_spend_month": lambda: kpis.ffs_spend_month(self.finals, self.final_lines),
+            "v_ffs_claims_month": lambda: kpis.ffs_claims_month(self.finals),
+            "v_ffs_category_month": lambda: kpis.ffs_category_month(
+                self.finals, self.final_lines),
+            "v_encounter_month": lambda: kpis.encounter_month(self.finals),
+            "v_capitation_month": lambda: kpis.capitation_month(self.capitation),
+            "v_kpi_ffs_month": lambda: self.kpi_ffs_month,
+            "v_kpi_managed_care_month": lambda: kpis.kpi_managed_care_month(
+                self.exposure_month, kpis.encounter_month(self.finals),
+                kpis.capitation_month(self.capitation), self.partition_status),
+            "v_kpi_period_membership": lambda: kpis.kpi_period_membership(
+                self.exposure_month, self["dim_date"]),
+            "v_kpi_ffs_category_month": lambda: kpis.kpi_ffs_category_month(
+                kpis.ffs_category_month(self.finals, self.final_lines),
+                self["dim_service_category"], self.kpi_ffs_month),
+        }[name]()
+
+    @property
+    def views(self) -> dict[str, DataFrame]:
+        return {name: self.view(name) for name in VIEWS}
+
+    def curated_table(self, name: str) -> DataFrame:
+        return getattr(self, CURATED_ATTRIBUTES[name])
 
     @property
     def curated_tables(self) -> dict[str, DataFrame]:
-        return dict(zip(CURATED, (
-            self.spans, self.member_months, self.headers, self.lines, self.finals,
-            self.final_lines, self.payments, self.capitation, self.dq_result)))
+        return {name: self.curated_table(name) for name in CURATED}
 
     def blockers(self, runs: DataFrame | None = None) -> DataFrame:
         runs = self["pipeline_run"] if runs is None else runs
@@ -201,7 +243,7 @@ def execute(
     written = {}
     for table in CURATED:
         run = FinanceRun(inputs, run_id, mapping_version, dict(written))
-        store.write(run.curated_tables[table], root, table)
+        store.write(run.curated_table(table), root, table)
         written[table] = store.scan(spark, root, table, run_id)
     run = FinanceRun(inputs, run_id, mapping_version, written)
     # The run's own row is replaced, so it is read in full before it is written.

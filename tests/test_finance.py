@@ -116,7 +116,7 @@ def test_run_status(run, clean):
 
 
 def test_ffs_measures(run):
-    ffs = by(run.views["v_kpi_ffs_month"], "month_start", "market_key")
+    ffs = by(run.view("v_kpi_ffs_month"), "month_start", "market_key")
     a = ffs[("2026-01-01", 1)]
     assert (a["member_months"], a["distinct_members"], a["ffs_paid_cents"],
             a["ffs_claim_count"], a["ffs_pmpm_cents"]) == (3, 3, 12000, 1, 4000.0)
@@ -131,7 +131,7 @@ def test_ffs_measures(run):
 
 
 def test_category_measures(run):
-    rows = by(run.views["v_kpi_ffs_category_month"], "month_start", "market_key", "category_code")
+    rows = by(run.view("v_kpi_ffs_category_month"), "month_start", "market_key", "category_code")
     assert rows[("2026-01-01", 1, "OUTPATIENT")]["category_paid_cents"] == 7000
     assert rows[("2026-01-01", 1, "PROFESSIONAL")]["category_paid_cents"] == 5000
     january_a = [v for k, v in rows.items() if k[:2] == ("2026-01-01", 1)]
@@ -141,20 +141,19 @@ def test_category_measures(run):
 
 
 def test_managed_care_measures(run):
-    row = by(run.views["v_kpi_managed_care_month"], "month_start", "market_key")[("2026-01-01", 2)]
+    row = by(run.view("v_kpi_managed_care_month"), "month_start", "market_key")[("2026-01-01", 2)]
     assert (row["capitation_cents"], row["encounter_count"]) == (47500, 1)
-    columns = run.views["v_encounter_month"].columns
+    columns = run.view("v_encounter_month").columns
     assert not [c for c in columns if "cents" in c]
 
 
 def test_exposure_is_split_by_delivery(run):
-    views = run.views
-    assert total(views["v_kpi_ffs_month"], "member_months") == 7
-    assert total(views["v_kpi_managed_care_month"], "member_months") == 2
+    assert total(run.view("v_kpi_ffs_month"), "member_months") == 7
+    assert total(run.view("v_kpi_managed_care_month"), "member_months") == 2
 
 
 def test_average_membership(run):
-    rows = by(run.views["v_kpi_period_membership"], "market_key", "delivery_system")
+    rows = by(run.view("v_kpi_period_membership"), "market_key", "delivery_system")
     assert rows[(1, "FFS")]["average_monthly_membership"] == 2.0
     assert rows[(2, "FFS")]["average_monthly_membership"] is None
 
@@ -182,7 +181,7 @@ def test_assignment_mismatch_conflicts(spark, market, plan):
     built = finance_run(spark, change=change)
     assert by(built.finals, "claim_family_key")["SYN_C001"]["population_match"] == \
         "CONFLICTING_EXPOSURE"
-    assert built.rules["DQ_CLAIM_POPULATION_MATCH"].first()["disposition"] == "FAIL"
+    assert built.rule("DQ_CLAIM_POPULATION_MATCH").first()["disposition"] == "FAIL"
 
 
 def test_out_of_cohort_is_valid(spark):
@@ -192,7 +191,7 @@ def test_out_of_cohort_is_valid(spark):
                 row["member_id"] = "SYN_M005"
         return rows
     built = finance_run(spark, "clean", change)
-    rule = built.rules["DQ_CLAIM_POPULATION_MATCH"].first()
+    rule = built.rule("DQ_CLAIM_POPULATION_MATCH").first()
     assert (rule["disposition"], rule["failing_row_count"], rule["financial_impact_cents"]) == \
         ("PASS", 0, 0)
     assert built.finals.where("population_match = 'OUT_OF_COHORT'").count() == 3
@@ -210,7 +209,7 @@ def test_conflicting_member_month_has_no_exposure(spark):
     conflicts = exposure.conflicting_member_months(built.assignments).collect()
     assert [(r["member_key"], r["month_start"]) for r in conflicts] == [(1, date(2026, 1, 1))]
     assert by(built.finals, "claim_family_key")["SYN_C001"]["population_match"] == "NO_EXPOSURE"
-    rule = built.rules["DQ_MM_CONFLICTING_ASSIGNMENT"].first()
+    rule = built.rule("DQ_MM_CONFLICTING_ASSIGNMENT").first()
     assert (rule["evaluated_count"], rule["failing_row_count"]) == (8, 1)
 
 
@@ -226,7 +225,7 @@ def test_unbalanced_header(spark):
             if table == "raw_claim_line" and row["source_row_id"] == "LIN_009":
                 row["line_paid_amount_cents"] = 4400
         return rows
-    rule = finance_run(spark, change=change).rules["DQ_HEADER_LINE_BALANCE"].first()
+    rule = finance_run(spark, change=change).rule("DQ_HEADER_LINE_BALANCE").first()
     assert (rule["failing_row_count"], rule["disposition"]) == (1, "FAIL")
 
 
@@ -235,7 +234,7 @@ def test_missing_plan_counts_without_turning_the_verdict(spark):
         if table == "raw_eligibility_span":
             rows[1]["plan_id"] = "SYN_PLAN_NONE"
         return rows
-    rule = finance_run(spark, change=change).rules["DQ_ELIG_UNRESOLVED_REFERENCE"].first()
+    rule = finance_run(spark, change=change).rule("DQ_ELIG_UNRESOLVED_REFERENCE").first()
     assert (rule["failing_row_count"], rule["disposition"]) == (1, "PASS")
 
 
@@ -360,6 +359,6 @@ def test_stored_run_is_written_once_and_replayed(spark, tmp_path):
     assert first["pipeline_run"].first()["status"] == "FAILED"
     again = finance.execute(spark, root, RUN, MAPPING, "defective")
     assert set(again.curated) == set(finance.CURATED)
-    assert again.views["v_kpi_ffs_month"].count() == first.views["v_kpi_ffs_month"].count()
+    assert again.view("v_kpi_ffs_month").count() == first.view("v_kpi_ffs_month").count()
     with pytest.raises(store.RunConflict):
         finance.execute(spark, root, RUN, MAPPING, "clean")
