@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.operators.numbering import numbered
 from evenkeel.operators.references import resolve_references
 from evenkeel.schemas import TABLES
-from evenkeel.session import stage
 
 
 def version_key(family: str = "claim_family_key", version: str = "version_number") -> Column:
@@ -64,34 +64,8 @@ def link_replaced_versions(headers: DataFrame) -> DataFrame:
 
 
 def numbered_versions(headers: DataFrame) -> DataFrame:
-    """Dense integer keys in (family, version) order, without a single-task sort.
-
-    Rows are range partitioned and numbered inside each partition; the offset of
-    a partition is the number of rows in the ones before it. The range
-    boundaries come from sampling, so the ordered rows are written once and the
-    two readings see the same rows under the same partition number.
-    """
-    order = ["claim_family_key", "version_number"]
-    ordered = stage(
-        headers.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("part", F.spark_partition_id())
-        .withColumn("row_in_part", F.monotonically_increasing_id()
-                    - F.shiftleft(F.spark_partition_id().cast("long"), 33)),
-        "ordered_versions",
-    )
-    # One row per partition, so the window and the broadcast are bounded by the
-    # shuffle partition count.
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ordered.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-        .select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    )
-    return (
-        ordered.join(F.broadcast(offsets), "part")
-        .withColumn("claim_version_number", F.col("offset") + F.col("row_in_part") + 1)
-        .drop("part", "row_in_part", "offset")
-    )
+    """Dense integer keys in (family, version) order."""
+    return numbered(headers, ["claim_family_key", "version_number"], "claim_version_number")
 
 
 def effective_on(date: str, start: str = "effective_start", end: str = "effective_end") -> Column:
