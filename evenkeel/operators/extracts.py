@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from evenkeel.operators.archive import dollars
 from evenkeel.operators.numbering import joined_parts, with_joined_list
 from evenkeel.operators.resolution import INLINE_IDENTIFIERS, SEPARATOR, resolve
+from evenkeel.sources.documents import cell
 
 USABLE_ASSESSMENTS = ("Low concern",)
 CAP_BASIS = ("Archive document-cap subtotal; overlap not resolved; not projected payments or "
@@ -141,8 +142,7 @@ def assessed_states(topic_rows: DataFrame) -> DataFrame:
     """State rows of a topic file under their published names."""
     return topic_rows.select(
         F.col("year").alias("newest_year"),
-        *[F.try_element_at("row", F.lit(column)).alias(name)
-          for name, column in TOPIC_COLUMNS.items()],
+        *[cell(column).alias(name) for name, column in TOPIC_COLUMNS.items()],
     ).withColumn("reports_usably", is_usable_assessment(F.col("dq_assessment")))
 
 

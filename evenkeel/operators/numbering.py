@@ -37,12 +37,13 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     )
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Equality on all keys, with NULL equal to NULL."""
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on all keys, with NULL equal to NULL."""
+    renamed = right.withColumnsRenamed({key: f"__{key}" for key in keys})
     condition = F.lit(True)
     for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+        condition = condition & F.col(key).eqNullSafe(F.col(f"__{key}"))
+    return left.join(renamed, condition, how).drop(*[f"__{key}" for key in keys])
 
 
 def joined_list(column: str, separator: str) -> Column:
@@ -59,13 +60,11 @@ def with_joined_list(
     here, and ``joined_parts`` holds its list in pieces of bounded length.
     """
     small = groups.where(F.col(size) <= at_most).select(*keys)
-    rows = rows.select(*keys, column)
     lists = (
-        rows.join(small, same_keys(rows, small, keys), "left_semi")
+        null_safe_join(rows.select(*keys, column), small, keys, "left_semi")
         .groupBy(*keys).agg(joined_list(column, separator).alias(out))
     )
-    joined = groups.join(lists, same_keys(groups, lists, keys), "left")
-    return joined.select(*[groups[c] for c in groups.columns], lists[out])
+    return null_safe_join(groups, lists, keys, "left")
 
 
 def joined_parts(
@@ -78,8 +77,7 @@ def joined_parts(
     """
     ordered = numbered(rows.select(*keys, column), [*keys, column], "position")
     starts = ordered.groupBy(*keys).agg(F.min("position").alias("start"))
-    placed = ordered.join(starts, same_keys(ordered, starts, keys)).select(
-        *[ordered[c] for c in ordered.columns],
-        F.floor((F.col("position") - F.col("start")) / per_part).alias("part_no"))
+    placed = null_safe_join(ordered, starts, keys, "inner").withColumn(
+        "part_no", F.floor((F.col("position") - F.col("start")) / per_part))
     return placed.groupBy(*keys, "part_no").agg(
         F.count(F.lit(1)).alias("part_size"), joined_list(column, separator).alias("part_text"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.identifiers import version_rank
-from evenkeel.operators.numbering import joined_parts, with_joined_list
+from evenkeel.operators.numbering import joined_parts, null_safe_join, with_joined_list
 
 RESOLUTION_VERSION = "0.6.0"
 KEY = ["state_code", "payment_type_normalised", "provider_class", "rating_period_start",
@@ -73,11 +73,7 @@ def resolve(archive: DataFrame, inline: int = INLINE_IDENTIFIERS) -> DataFrame:
     listed = with_joined_list(
         shared.select(*KEY, "filings"), rows, KEY, "sdp_identifier", "filings",
         "candidate_list", SEPARATOR, inline)
-    condition = F.lit(True)
-    for key in KEY:
-        condition = condition & resolved[key].eqNullSafe(listed[key])
-    joined = resolved.join(listed, condition, "left").select(
-        *[resolved[c] for c in resolved.columns], "candidate_list")
+    joined = null_safe_join(resolved, listed.drop("filings"), KEY, "left")
     return joined.withColumn(
         "candidate_identifiers",
         F.when(F.col("filings") == 1, F.col("sdp_identifier")).otherwise(F.col("candidate_list"))

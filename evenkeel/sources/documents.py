@@ -118,7 +118,7 @@ def _cells(line: Column) -> Column:
 
 
 def topic_rows(files: DataFrame) -> DataFrame:
-    """Rows below the real header line as maps from column name to value.
+    """Rows below the real header line, as cells beside the header that names them.
 
     Title lines precede the header. A file without one has no rows.
     """
@@ -135,10 +135,12 @@ def topic_rows(files: DataFrame) -> DataFrame:
             F.greatest(F.size("lines") - F.col("start"), F.lit(0)))).alias("line"))
         .withColumn("cells", _cells(F.col("line")))
     )
-    # A short row lacks its last columns, a long one has cells nobody named.
-    width = F.least(F.size("header"), F.size("cells"))
-    return rows.select("year", "file_name", F.map_from_arrays(
-        F.slice("header", F.lit(1), width), F.slice("cells", F.lit(1), width)).alias("row"))
+    return rows.select("year", "file_name", "header", "cells")
+
+
+def cell(name: str) -> Column:
+    """Value of a named column in a topic row; NULL when the file has no such column."""
+    return F.get("cells", F.array_position("header", name).cast("int") - 1)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
