@@ -155,12 +155,15 @@ def extraction_summary(records: DataFrame) -> DataFrame:
 def value_counts(records: DataFrame) -> DataFrame:
     """Documents by phrase, by first clause of the issue, and by kind, in one pass."""
     clause = F.substring(F.substring_index("issue", ",", 1), 1, 60)
-    labels = F.filter(F.array(
-        F.struct(F.lit("phrase").alias("facet"),
-                 F.coalesce("matched_phrase", F.lit("unanchored")).alias("value")),
-        F.struct(F.lit("issue"), clause),
-        F.struct(F.lit("document_type"), F.col("letter_type")),
-    ), lambda label: label["value"].isNotNull())
+    facets = {
+        "phrase": F.coalesce("matched_phrase", F.lit("unanchored")),
+        "issue": clause,
+        "document_type": F.col("letter_type"),
+    }
+    labels = F.filter(F.array(*[
+        F.struct(F.lit(facet).alias("facet"), value.alias("value"))
+        for facet, value in facets.items()
+    ]), lambda label: label["value"].isNotNull())
     return records.select(F.explode(labels).alias("label")).select("label.*").groupBy(
         "facet", "value").agg(F.count(F.lit(1)).alias("documents"))
 

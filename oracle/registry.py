@@ -1,7 +1,7 @@
 from __future__ import annotations
 
-from oracle import finance
+from oracle import documents, finance
 
 
 def statements() -> dict[str, str]:
-    return {**finance.statements()}
+    return {**finance.statements(), **documents.statements()}
