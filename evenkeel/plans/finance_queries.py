@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.operators import claims, exposure, kpis, preflight
+from evenkeel.operators import (
+    claims, constraints, exposure, kpis, reconciliation, variance)
 from evenkeel.plans import proxies
-from evenkeel.plans.finance import FinanceRun
+from evenkeel.plans.finance import DIMENSIONS, OPERATIONAL, RAW, FinanceRun
 from evenkeel.sources.tables import table_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Months that are still developing at the cutoff, and a gate for small markets.
+PROVISIONAL_FROM = date(1999, 4, 1)
+MINIMUM_MEMBER_MONTHS = 5
+
 RULES = {
     "dq_duplicate_span_keys": "DQ_ELIG_DUPLICATE_KEY",
     "dq_unresolved_references": "DQ_ELIG_UNRESOLVED_REFERENCE",
@@ -77,6 +83,29 @@ def queries() -> dict[str, Query]:
         "preflight_blockers": _over_run(lambda r: r.blockers(_ready(r)), evidence),
         "table_counts": _over_run(lambda r: table_counts(r.curated_tables), shared),
     }
+    out |= {
+        "payment_month": _over_run(lambda r: variance.payment_month(r.payments)),
+        "ffs_variance": _over_run(
+            lambda r: variance.ffs_variance(r.view("v_kpi_ffs_month")), evidence),
+        "pmpm_anomalies": _over_run(
+            lambda r: variance.pmpm_anomalies(
+                r.view("v_kpi_ffs_month"), PROVISIONAL_FROM, MINIMUM_MEMBER_MONTHS), evidence),
+        "claim_bridge": _over_run(lambda r: reconciliation.claim_bridge(
+            r["raw_claim_header"], r.headers, r.finals, r["pipeline_run"], r.run_id),
+            ("claim_header_version",)),
+        "drop_report": _over_run(lambda r: reconciliation.drop_report(
+            r.inputs, r.headers, r.lines, r.run_id, r.mapping_version),
+            ("claim_header_version", "claim_line_version")),
+        "quality_failure_rate": _over_run(lambda r: reconciliation.quality_failure_rate(
+            r.quarantine, [r[t] for t in RAW]), shared),
+        "finance_mart": _over_run(lambda r: reconciliation.finance_mart(
+            r.member_months, r.finals, r.final_lines, r.capitation), shared),
+        "category_mart": _over_run(lambda r: reconciliation.category_mart(
+            r.member_months, r.finals, r.final_lines), shared),
+        "constraint_violations": _over_run(lambda r: constraints.constraint_violations(
+            {**{t: r[t] for t in (*OPERATIONAL, *RAW, *DIMENSIONS)}, **r.curated_tables}
+        ).where("violations > 0"), evidence),
+    }
     for name, rule in RULES.items():
         out[name] = _over_run(lambda r, rule=rule: r.rule(rule))
     for name in COMPONENTS:

@@ -272,16 +272,25 @@ CTES: dict[str, str] = {
         LEFT JOIN spend p USING (month_start, market_key)
         LEFT JOIN clm c USING (month_start, market_key)
         WHERE e.delivery_system = 'FFS'""",
-    "trend": """
-        SELECT market_key, month_start, member_months, ffs_paid_cents AS cents, ffs_pmpm_cents AS pmpm,
-               partition_status,
-               max(month_start) OVER w AS prev_month,
-               lag(ffs_paid_cents) OVER w2 AS prev_cents, lag(member_months) OVER w2 AS prev_mm,
-               lag(ffs_pmpm_cents) OVER w2 AS prev_pmpm
-        FROM kffs
-        WINDOW w AS (PARTITION BY market_key ORDER BY month_start
-                     ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING),
-               w2 AS (PARTITION BY market_key ORDER BY month_start)""",
+    "hist": """
+        SELECT *, list(ffs_pmpm_cents) OVER h AS base, min(month_start) OVER h AS base_start
+        FROM kffs WINDOW h AS (PARTITION BY market_key ORDER BY month_start
+                               ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)""",
+    "med": """
+        SELECT *, coalesce(len(base) = 12 AND base_start = month_start - INTERVAL 12 MONTH, FALSE) AS full12,
+          CASE WHEN len(base) = 12 AND base_start = month_start - INTERVAL 12 MONTH
+               THEN list_median(base) END AS md FROM hist""",
+    "mad": """
+        SELECT *, list_median(list_transform(base, lambda x: abs(x - md))) AS mad,
+          month_start >= DATE '1999-04-01' AS prov FROM med""",
+    "lastv": "SELECT fam, max(ver) AS v FROM hdr WHERE adjudicated <= DATE '1999-06-30' GROUP BY fam",
+    "expm": """
+        SELECT month_start, market_key, plan_key, delivery_system, eligibility_group,
+               count(*) AS member_months FROM mm WHERE cohort = 1 GROUP BY ALL""",
+    "fing": """
+        SELECT f.*, f.service_month AS month_start, m.delivery_system, m.eligibility_group FROM fin f
+        JOIN mm m ON m.member_key = f.member_key AND m.month_start = f.service_month
+        WHERE f.population_match = 'MATCHED'""",
 }
 
 
@@ -456,6 +465,150 @@ SELECTS: dict[str, str] = {
         UNION ALL SELECT 'fact_capitation_transaction', count(*) FROM capt
         UNION ALL SELECT 'dq_result', count(*) FROM dq""",
 }
+_REASON = """CASE WHEN no_member THEN 'unknown member' WHEN no_market THEN 'unknown market'
+    ELSE 'unknown plan' END"""
+
+
+def _gaps(table: str) -> str:
+    return f"""(SELECT r.*, r.member_id NOT IN (SELECT member_id FROM mem) AS no_member,
+        r.market_id NOT IN (SELECT market_id FROM mkt) AS no_market,
+        (r.market_id, r.plan_id) NOT IN (SELECT (m.market_id, p.plan_id)
+           FROM pln p JOIN mkt m USING (market_key)) AS no_plan FROM {table} r)"""
+
+
+_MART = "month_start, market_key, plan_key, delivery_system, eligibility_group"
+SELECTS |= {
+    "payment_month": """SELECT 'RUN_0001' AS run_id,
+        CAST(date_trunc('month', payment_date) AS DATE) AS payment_month,
+        CAST(sum(cents) AS BIGINT) AS net_payment_cents, count(*) AS transactions
+        FROM pay GROUP BY 2""",
+    "ffs_variance": """
+        SELECT 'RUN_0001' AS run_id, k.market_key, k.month_start, k.partition_status,
+          k.ffs_paid_cents, p.ffs_paid_cents AS prior_paid_cents,
+          k.ffs_paid_cents - p.ffs_paid_cents AS change_cents,
+          CASE WHEN p.ffs_paid_cents > 0 THEN CAST(k.ffs_paid_cents - p.ffs_paid_cents AS DOUBLE)
+            * 100 / p.ffs_paid_cents END AS change_pct,
+          coalesce(p.ffs_paid_cents = 0 AND k.ffs_paid_cents > 0, FALSE) AS is_new_activity,
+          (k.member_months - p.member_months) * p.ffs_pmpm_cents AS membership_effect_cents,
+          k.member_months * (k.ffs_pmpm_cents - p.ffs_pmpm_cents) AS pmpm_effect_cents,
+          coalesce(CASE WHEN p.ffs_paid_cents > 0
+            THEN abs(k.ffs_paid_cents - p.ffs_paid_cents) >= 1000000 AND
+              abs(CAST(k.ffs_paid_cents - p.ffs_paid_cents AS DOUBLE) * 100 / p.ffs_paid_cents) >= 10
+            WHEN p.ffs_paid_cents = 0 THEN k.ffs_paid_cents >= 1000000 END, FALSE) AS is_material
+        FROM kffs k LEFT JOIN kffs p ON p.market_key = k.market_key
+          AND p.month_start = CAST(k.month_start - INTERVAL 1 MONTH AS DATE)""",
+    "pmpm_anomalies": """
+        SELECT run_id, market_key, month_start, member_months, ffs_pmpm_cents, md AS median_pmpm,
+          score, impact_cents, CASE WHEN prov THEN 'PRELIMINARY_ADVISORY'
+            WHEN score IS NULL THEN 'NOT_EVALUATED'
+            WHEN abs(score) > 3.5 AND impact_cents >= 1000000 THEN 'CANDIDATE'
+            ELSE 'NO_CANDIDATE' END AS outcome
+        FROM (SELECT *, CASE WHEN ok THEN 0.6745::DOUBLE * (ffs_pmpm_cents - md) / mad END AS score,
+                CASE WHEN ok THEN abs(ffs_pmpm_cents - md) * member_months END AS impact_cents
+              FROM (SELECT *, NOT prov AND full12 AND mad > 0 AND member_months >= 5 AS ok
+                    FROM mad))""",
+    "claim_bridge": """
+        SELECT 'RUN_0001' AS run_id, r.market_id,
+          CASE WHEN h.vkey IS NULL THEN 'UNRESOLVED_REFERENCE'
+            WHEN r.adjudicated > DATE '1999-06-30' THEN 'AFTER_CUTOFF'
+            WHEN r.ver < l.v THEN 'SUPERSEDED' WHEN r.status <> 'ACCEPTED' THEN 'DENIED_OR_VOID'
+            ELSE f.population_match END AS reason,
+          count(*) AS versions, CAST(coalesce(sum(r.cents), 0) AS BIGINT) AS cents
+        FROM rhd r LEFT JOIN hdr h ON h.vkey = r.vkey LEFT JOIN lastv l ON l.fam = r.fam
+        LEFT JOIN fin f ON f.fam = r.fam WHERE r.record_type = 'FFS' GROUP BY ALL""",
+    "drop_report": f"""
+        SELECT table_name, reason, count(*) AS rows, CAST(sum(cents) AS BIGINT) AS cents FROM (
+          SELECT 'raw_eligibility_span' AS table_name, 'span key landed before' AS reason,
+            NULL::BIGINT AS cents FROM (SELECT row_number() OVER (PARTITION BY span_id
+              ORDER BY source_row_id) AS rn FROM rel) WHERE rn > 1
+          UNION ALL SELECT 'raw_eligibility_span', {_REASON}, NULL FROM (SELECT *, row_number()
+              OVER (PARTITION BY span_id ORDER BY source_row_id) AS rn FROM {_gaps('rel')})
+            WHERE rn = 1 AND (no_member OR no_market OR no_plan)
+          UNION ALL SELECT 'raw_claim_header', {_REASON}, cents FROM {_gaps('rhd')}
+            WHERE no_member OR no_market OR no_plan
+          UNION ALL SELECT 'raw_capitation_transaction', {_REASON}, cents FROM {_gaps('rcap')}
+            WHERE no_member OR no_market OR no_plan
+          UNION ALL SELECT 'raw_claim_line', 'no header version', cents FROM rln l
+            ANTI JOIN hdr h ON h.fam = l.fam AND h.ver = l.ver
+          UNION ALL SELECT 'raw_payment_transaction', 'no header version', cents FROM rpay l
+            ANTI JOIN hdr h ON h.fam = l.fam AND h.ver = l.ver
+          UNION ALL SELECT 'raw_claim_line', CASE WHEN (h.file_type, l.service_code) IN
+              (SELECT (claim_file_type, service_code) FROM map)
+              THEN 'code not in force on the service date' ELSE 'code not mapped' END, l.cents
+            FROM rln l JOIN hdr h ON h.fam = l.fam AND h.ver = l.ver
+            WHERE NOT EXISTS (SELECT 1 FROM map WHERE map.claim_file_type = h.file_type
+              AND map.service_code = l.service_code AND map.e0 <= h.service_end
+              AND coalesce(map.e1, DATE '9999-12-31') >= h.service_end)
+        ) GROUP BY ALL""",
+    "finance_mart": f"""
+        SELECT 'RUN_0001' AS run_id, e.*, coalesce(s.paid, 0) AS ffs_paid_cents,
+          coalesce(s.n, 0) AS ffs_claim_count, coalesce(n.n, 0) AS encounter_count,
+          coalesce(c.paid, 0) AS capitation_cents
+        FROM expm e
+        LEFT JOIN (SELECT {_MART}, count(*) AS n, CAST(sum(x.cents) AS BIGINT) AS paid
+                   FROM fing LEFT JOIN (SELECT fam, sum(cents) AS cents FROM finl GROUP BY fam) x
+                     USING (fam) WHERE record_type = 'FFS' GROUP BY ALL) s USING ({_MART})
+        LEFT JOIN (SELECT {_MART}, count(*) AS n FROM fing WHERE record_type = 'ENCOUNTER'
+                   GROUP BY ALL) n USING ({_MART})
+        LEFT JOIN (SELECT m.month_start, m.market_key, m.plan_key, m.delivery_system,
+                     m.eligibility_group, CAST(sum(c.cents) AS BIGINT) AS paid
+                   FROM capt c JOIN mm m ON m.member_key = c.member_key
+                     AND m.month_start = c.coverage_month AND m.market_key = c.market_key
+                     AND m.plan_key = c.plan_key AND m.cohort = 1 GROUP BY ALL) c USING ({_MART})""",
+    "category_mart": f"""
+        SELECT 'RUN_0001' AS run_id, {_MART.replace('month_start', 'f.month_start').replace(
+            'market_key', 'f.market_key')}, l.category_key,
+          CAST(sum(l.cents) AS BIGINT) AS category_paid_cents,
+          count(DISTINCT f.fam) AS claims_containing_category
+        FROM fing f JOIN finl l ON l.fam = f.fam WHERE f.record_type = 'FFS'
+        GROUP BY ALL""",
+    "quality_failure_rate": f"""
+        SELECT failing_rows, raw_rows, CAST(failing_rows AS DOUBLE) * 100 / raw_rows
+          AS failure_rate_pct
+        FROM (SELECT (SELECT count(*) FROM (SELECT DISTINCT source_file_id, source_row_id
+                      FROM ({SELECTS['quarantine']}))) AS failing_rows,
+              (SELECT count(*) FROM rel) + (SELECT count(*) FROM rhd) + (SELECT count(*) FROM rln)
+              + (SELECT count(*) FROM rpay) + (SELECT count(*) FROM rcap) AS raw_rows)""",
+    "constraint_violations": """
+        SELECT * FROM (
+          SELECT 'dim_member' AS table_name, 'CHECK' AS constraint_kind,
+            'synthetic_id' AS constraint_name, count(*) AS violations FROM mem
+            WHERE NOT starts_with(member_id, 'SYN_')
+          UNION ALL SELECT 'dim_provider', 'CHECK', 'synthetic_id', count(*) FROM prov
+            WHERE NOT starts_with(provider_id, 'SYN_')
+          UNION ALL SELECT 'raw_claim_line', 'UNIQUE', 'source_file_id,source_row_id',
+            count(*) - count(DISTINCT source_row_id) FROM rln
+          UNION ALL SELECT 'raw_payment_transaction', 'UNIQUE', 'source_file_id,source_row_id',
+            count(*) - count(DISTINCT txn) FROM rpay
+          UNION ALL SELECT 'raw_eligibility_span', 'REFERENCE', 'source_file_id', count(*) FROM rel
+          UNION ALL SELECT 'raw_claim_line', 'REFERENCE', 'source_file_id', count(*) FROM rln
+          UNION ALL SELECT 'raw_payment_transaction', 'REFERENCE', 'source_file_id', count(*) FROM rpay
+          UNION ALL SELECT 'raw_capitation_transaction', 'REFERENCE', 'source_file_id', count(*) FROM rcap
+          UNION ALL SELECT 'raw_claim_header', 'REFERENCE', 'source_file_id', count(*) FROM rhd r
+            ANTI JOIN files f ON f.market_id = r.market_id
+              AND f.month_start = CAST(date_trunc('month', r.service_end) AS DATE)
+          UNION ALL SELECT 'eligibility_span', 'REFERENCE', 'source_file_id', count(*) FROM span
+          UNION ALL SELECT 'claim_header_version', 'REFERENCE', 'source_file_id', count(*) FROM hdr r
+            ANTI JOIN files f ON f.market_id = r.market_id
+              AND f.month_start = CAST(date_trunc('month', r.service_end) AS DATE)
+          UNION ALL SELECT 'claim_line_version', 'UNIQUE', 'claim_version_key,line_number',
+            count(*) - count(DISTINCT (vkey, line_number)) FROM lin
+          UNION ALL SELECT 'claim_line_version', 'CHECK', 'line_positive', count(*) FROM lin
+            WHERE line_number < 1
+          UNION ALL SELECT 'fact_claim_line_final', 'UNIQUE', 'run_id,claim_family_key,line_number',
+            count(*) - count(DISTINCT (fam, line_number)) FROM finl
+          UNION ALL SELECT 'fact_payment_transaction', 'UNIQUE', 'payment_transaction_id',
+            count(*) - count(DISTINCT txn) FROM pay
+          UNION ALL SELECT 'fact_payment_transaction', 'REFERENCE', 'source_file_id', count(*) FROM pay
+          UNION ALL SELECT 'fact_payment_transaction', 'REFERENCE', 'reverses_transaction_id',
+            count(*) FROM pay WHERE reverses IS NOT NULL AND reverses NOT IN (SELECT txn FROM pay)
+          UNION ALL SELECT 'fact_capitation_transaction', 'REFERENCE', 'source_file_id', count(*) FROM capt
+          UNION ALL SELECT 'fact_capitation_transaction', 'REFERENCE', 'reverses_transaction_id',
+            count(*) FROM capt WHERE reverses IS NOT NULL AND reverses NOT IN (SELECT txn FROM capt)
+          UNION ALL SELECT 'fact_capitation_transaction', 'CHECK', 'negative_is_linked',
+            count(*) FROM capt WHERE cents < 0 AND reverses IS NULL
+        ) WHERE violations > 0""",
+}
 for _rule, _cte in (
     ("dq_duplicate_span_keys", "DQ_ELIG_DUPLICATE_KEY"),
     ("dq_unresolved_references", "DQ_ELIG_UNRESOLVED_REFERENCE"),
