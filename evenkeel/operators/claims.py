@@ -40,9 +40,9 @@ def claim_header_versions(
 def link_replaced_versions(headers: DataFrame) -> DataFrame:
     """Turn a stated ``FAMILY:VERSION`` into a key, only where that version exists.
 
-    Rows that replace nothing are most of the table. They keep a key of their own
-    that matches nothing, so they spread over all partitions instead of meeting
-    in the one that holds NULL.
+    Rows that replace nothing are most of the table. They look up their own key and
+    ignore the answer, so they spread over all partitions instead of meeting in the
+    one that holds NULL.
     """
     stated = F.col("replaces_version_id")
     colon = F.instr(stated, ":")
@@ -50,7 +50,7 @@ def link_replaced_versions(headers: DataFrame) -> DataFrame:
     reference = F.when(
         colon > 0,
         F.concat(F.substring_index(stated, ":", 1), F.lit(":"), number.cast("string")))
-    probe = F.coalesce(reference, F.concat(F.lit("\u0000"), F.col("claim_version_key")))
+    probe = F.coalesce(reference, F.col("claim_version_key"))
     known = headers.select(
         F.col("run_id"), F.col("claim_version_key").alias("probe")
     ).distinct().withColumn("is_known", F.lit(True))

@@ -9,7 +9,7 @@ from evenkeel.functions import identifiers, letters, money
 from evenkeel.operators import archive, extracts, resolution
 from evenkeel.plans import document_proxies as proxies
 from evenkeel.plans.finance_queries import Query
-from evenkeel.plans.proxies import cents, read
+from evenkeel.plans.proxies import cents, read, spread
 from evenkeel.session import stage
 from evenkeel.sources import documents, listing
 
@@ -48,8 +48,8 @@ def letter_amounts(spark, sf_dir: str) -> DataFrame:
 
 def page_records(spark, sf_dir: str) -> DataFrame:
     """Labelled blocks of every page with a link, as records."""
-    return listing.listing_records(
-        read(spark, sf_dir, "pages"), "page_id", "html", "<li>", HREF, "")
+    scan = read(spark, sf_dir, "pages")
+    return listing.listing_records(spread(scan, scan), "page_id", "html", "<li>", HREF, "")
 
 
 def page_union(spark, sf_dir: str) -> DataFrame:

@@ -210,6 +210,10 @@ class FinanceRun:
                 self["dim_service_category"], self.kpi_ffs_month),
         }[name]()
 
+    def publish_views(self) -> None:
+        """Register every view for SQL; publishing again replaces the definitions."""
+        store.register_views(self.views)
+
     @property
     def views(self) -> dict[str, DataFrame]:
         return {name: self.view(name) for name in VIEWS}
@@ -227,6 +231,15 @@ class FinanceRun:
             runs, self["expected_partition"], self.dq_result, self.run_id)
 
 
+def view_of_run(spark: SparkSession, view: str, run_id: str) -> DataFrame:
+    """A published view of one run, read through SQL with named parameters."""
+    if view not in VIEWS:
+        raise ValueError(f"unknown view {view}")
+    return spark.sql(
+        "SELECT * FROM IDENTIFIER(:view) WHERE run_id = :run_id",
+        args={"view": view, "run_id": run_id})
+
+
 def execute(
     spark: SparkSession, root: str, run_id: str, mapping_version: str, config_hash: str
 ) -> FinanceRun:

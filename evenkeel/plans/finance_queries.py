@@ -37,9 +37,10 @@ COMPONENTS = ("primary_exposure", "exposure_month", "ffs_spend_month", "ffs_clai
 MEASURES = ("kpi_ffs_month", "kpi_managed_care_month", "kpi_ffs_category_month")
 
 
-def _over_run(build: Callable[[FinanceRun], DataFrame], stage: tuple[str, ...] = ()) -> Query:
+def _over_run(build: Callable[[FinanceRun], DataFrame], stage: tuple[str, ...] = (),
+              contents: bool = False) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        run = proxies.finance_run(spark, sf_dir)
+        run = proxies.finance_run(spark, sf_dir, contents)
         return build(run.staged(*stage) if stage else run)
     return query
 
@@ -72,7 +73,8 @@ def queries() -> dict[str, Query]:
         "calendar": _over_run(lambda r: r["dim_date"]),
         "expected_partitions": _over_run(lambda r: r["expected_partition"]),
         "source_files": _over_run(lambda r: r["source_file"].select(
-            "source_file_id", "market_id", "month_start", "row_count", "content_hash")),
+            "source_file_id", "market_id", "month_start", "row_count", "content_hash"),
+            contents=True),
         "dq_results": _over_run(lambda r: r.dq_result, shared),
         "run_status": _over_run(lambda r: r.run_status, shared),
         "quarantine": _over_run(lambda r: r.quarantine, shared),
@@ -104,7 +106,7 @@ def queries() -> dict[str, Query]:
             r.member_months, r.finals, r.final_lines), shared),
         "constraint_violations": _over_run(lambda r: constraints.constraint_violations(
             {**{t: r[t] for t in (*OPERATIONAL, *RAW, *DIMENSIONS)}, **r.curated_tables}
-        ).where("violations > 0"), evidence),
+        ).where("violations > 0"), evidence, contents=True),
     }
     for name, rule in RULES.items():
         out[name] = _over_run(lambda r, rule=rule: r.rule(rule))

@@ -362,3 +362,21 @@ def test_stored_run_is_written_once_and_replayed(spark, tmp_path):
     assert again.view("v_kpi_ffs_month").count() == first.view("v_kpi_ffs_month").count()
     with pytest.raises(store.RunConflict):
         finance.execute(spark, root, RUN, MAPPING, "clean")
+
+
+def test_published_views_answer_sql(spark, run):
+    run.publish_views()
+    run.publish_views()
+    assert finance.view_of_run(spark, "v_kpi_ffs_month", RUN).count() == run.view(
+        "v_kpi_ffs_month").count()
+    assert finance.view_of_run(spark, "v_exposure_month", "OTHER").count() == 0
+    with pytest.raises(ValueError):
+        finance.view_of_run(spark, "pipeline_run", RUN)
+
+
+def test_lines_follow_their_partition(run):
+    from evenkeel.sources.arrivals import partition_lines
+    headers = run["raw_claim_header"].where(
+        "market_id = 'SYN_MKT_A' AND month(service_end_date) = 2")
+    lines = partition_lines(run["raw_claim_line"], headers).collect()
+    assert {r["source_row_id"] for r in lines} == {"LIN_003", "LIN_004", "LIN_010"}
