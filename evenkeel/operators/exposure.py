@@ -63,15 +63,13 @@ def covered_months(spans: DataFrame, dim_date: DataFrame) -> DataFrame:
     Spans are clipped to the calendar first, so an open-ended span costs no more
     rows than the calendar has months, and a month is one row instead of up to 31.
     """
-    # One row, and one row per calendar month: both are bounded by the calendar.
-    bounds = dim_date.agg(
-        F.min("calendar_date").alias("first_date"), F.max("calendar_date").alias("last_date"))
+    first_date = dim_date.agg(F.min("calendar_date")).scalar()
+    last_date = dim_date.agg(F.max("calendar_date")).scalar()
+    dated = spans.where(F.col("start_date").isNotNull() & F.col("end_date").isNotNull())
     clipped = (
-        spans.crossJoin(F.broadcast(bounds))
-        .withColumn("start_date", F.greatest("start_date", "first_date"))
-        .withColumn("end_date", F.least("end_date", "last_date"))
+        dated.withColumn("start_date", F.greatest(F.col("start_date"), first_date))
+        .withColumn("end_date", F.least(F.col("end_date"), last_date))
         .where(F.col("start_date") <= F.col("end_date"))
-        .drop("first_date", "last_date")
     )
     monthly = clipped.withColumn(
         "month_start",
@@ -83,6 +81,7 @@ def covered_months(spans: DataFrame, dim_date: DataFrame) -> DataFrame:
     first = F.when(F.trunc("start_date", "MM") == month, F.dayofmonth("start_date")).otherwise(1)
     last = F.when(F.trunc("end_date", "MM") == month, F.dayofmonth("end_date")).otherwise(31)
     days = (_days_before(last + 1) - _days_before(first)).bitwiseAND(F.col("calendar_days"))
+    # One row per calendar month, so this side is bounded by the calendar.
     return (
         monthly.join(F.broadcast(month_masks(dim_date)), "month_start")
         .withColumn("covered_days", days)

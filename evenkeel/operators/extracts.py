@@ -61,7 +61,7 @@ def extract_drops(archive: DataFrame, extract: DataFrame) -> DataFrame:
         F.count_if(~dated).alias("undateable_rows"),
         F.coalesce(F.sum(F.when(~dated, F.col("amount_cents"))), F.lit(0))
         .alias("undateable_cents"),
-    ).crossJoin(extract.agg(F.count(F.lit(1)).alias("extract_rows"))).withColumn(
+    ).withColumn("extract_rows", extract.agg(F.count(F.lit(1))).scalar()).withColumn(
         "consolidated_rows", F.col("dated_rows") - F.col("extract_rows"))
 
 

@@ -17,6 +17,11 @@ def ratio(numerator: Column, denominator: Column, scale: float = 1.0) -> Column:
     return F.when(denominator > 0, numerator.cast("double") * F.lit(scale) / denominator)
 
 
+def distinct_values(df: DataFrame, column: str) -> Column:
+    """The distinct values of a dimension column as one array, NULL left out."""
+    return df.agg(F.sort_array(F.collect_set(column))).scalar()
+
+
 def _zero(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(0))
 
@@ -26,8 +31,8 @@ def partition_status(
 ) -> DataFrame:
     """Whether a market and month may be published.
 
-    The scaffold is markets x calendar months x runs, all of them dimensions. A
-    run-level failure outranks a failure of one partition.
+    Every market of every run has a row for every calendar month, whether or not
+    anything happened in it. A run-level failure outranks a failure of one partition.
     """
     failing = dq_result.where(
         (F.col("severity") == "BLOCKING") & (F.col("disposition") == "FAIL"))
@@ -38,8 +43,8 @@ def partition_status(
         F.lit(True).alias("part_failed")).distinct()
     scaffold = (
         dim_market.select("market_key", "market_id")
-        .crossJoin(dim_date.select("month_start").distinct())
-        .crossJoin(pipeline_run.select("run_id").distinct())
+        .withColumn("month_start", F.explode(distinct_values(dim_date, "month_start")))
+        .withColumn("run_id", F.explode(distinct_values(pipeline_run, "run_id")))
     )
     return (
         scaffold.join(runs_failing, "run_id", "left")
@@ -161,14 +166,13 @@ def kpi_managed_care_month(
 
 def kpi_period_membership(exposure: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Average membership over the calendar; NULL when a month is missing."""
-    expected = dim_date.agg(F.count_distinct("month_start").alias("months_expected"))
+    expected = dim_date.agg(F.count_distinct("month_start")).scalar()
     present, months = F.col("months_present"), F.col("total_member_months")
-    # One row per market, delivery system and month remains here.
     return (
         exposure.groupBy("run_id", "market_key", "delivery_system")
         .agg(F.sum("member_months").alias("total_member_months"),
              F.count_distinct("month_start").alias("months_present"))
-        .crossJoin(F.broadcast(expected))
+        .withColumn("months_expected", expected)
         .withColumn(
             "average_monthly_membership",
             F.when(present >= F.col("months_expected"), ratio(months, present)))

@@ -6,6 +6,8 @@ that never ran cannot remove itself from what is required.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +19,10 @@ CHECK = ("rule_id", "rule_version", "market_id", "month_start")
 
 def required_checks(run: DataFrame, partitions: DataFrame) -> DataFrame:
     """Every run-level rule once, and the feed rule once per expected partition."""
-    spark = run.sparkSession
-    rules = spark.createDataFrame(
-        sorted(RUN_RULES.items()), "rule_id string, rule_version string")
-    run_level = run.select("run_id").crossJoin(rules).select(
+    rules = F.array(*[
+        F.struct(F.lit(rule).alias("rule_id"), F.lit(version).alias("rule_version"))
+        for rule, version in sorted(RUN_RULES.items())])
+    run_level = run.select("run_id", F.inline(rules)).select(
         "run_id", "rule_id", "rule_version", F.lit("ALL").alias("market_id"),
         F.lit("ALL").alias("month_start"))
     feeds = partitions.select(
@@ -90,13 +92,18 @@ def assessment(
     """One row: is the run eligible, and on how many checks that rests."""
     run, known, partitions, rows = _evidence(
         pipeline_run.sparkSession, pipeline_run, expected_partition, dq_result, run_id)
-    counted = F.count(F.lit(1))
+    against = blockers(pipeline_run, expected_partition, dq_result, run_id)
+    marked = [
+        run.select("run_id", F.lit("run").alias("kind")),
+        required_checks(known, partitions).select("run_id", F.lit("expected").alias("kind")),
+        rows.select("run_id", F.lit("observed").alias("kind")),
+        against.select("run_id", F.lit("blocker").alias("kind"))]
     return (
-        run.select("run_id").distinct()
-        .crossJoin(required_checks(known, partitions).agg(counted.alias("expected_checks")))
-        .crossJoin(rows.agg(counted.alias("observed_checks")))
-        .crossJoin(blockers(pipeline_run, expected_partition, dq_result, run_id).agg(
-            counted.alias("blocker_count")))
+        reduce(DataFrame.unionByName, marked)
+        .groupBy("run_id")
+        .agg(*[F.count_if(F.col("kind") == kind).alias(name) for kind, name in (
+            ("expected", "expected_checks"), ("observed", "observed_checks"),
+            ("blocker", "blocker_count"))])
         .withColumn("policy_version", F.lit(POLICY_VERSION))
         .withColumn("eligible_for_submission", F.col("blocker_count") == 0)
     )

@@ -8,6 +8,8 @@ a hot member, code or family is one row before anything is joined.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,12 @@ def _total(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0)).cast("long")
 
 
+def _side_by_side(*counts: DataFrame) -> DataFrame:
+    """Several one-row counts as one row; a count stands in one of them only."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)
+    return rows.agg(*[F.sum(c).cast("long").alias(c) for c in rows.columns])
+
+
 def _verdict(
     counts: DataFrame, run_id: str, rule: str, failed: Column | None = None
 ) -> DataFrame:
@@ -151,7 +159,7 @@ def unmapped_service_codes(
     ).agg(_total(F.col("n")).alias("failing_row_count"),
           _total(F.col("cents")).alias("financial_impact_cents"))
     evaluated = lines.agg(F.count(F.lit(1)).alias("evaluated_count"))
-    return _verdict(evaluated.crossJoin(failing), run_id, "DQ_LINE_UNMAPPED_SERVICE_CODE")
+    return _verdict(_side_by_side(evaluated, failing), run_id, "DQ_LINE_UNMAPPED_SERVICE_CODE")
 
 
 def missing_market_feeds(
@@ -184,7 +192,7 @@ def conflicting_assignments(
     """Member-months held under more than one assignment."""
     evaluated = spans.agg(F.count(F.lit(1)).alias("evaluated_count"))
     failing = assignments.agg(F.count_if(is_conflicting()).alias("failing_row_count"))
-    return _verdict(evaluated.crossJoin(failing), run_id, "DQ_MM_CONFLICTING_ASSIGNMENT")
+    return _verdict(_side_by_side(evaluated, failing), run_id, "DQ_MM_CONFLICTING_ASSIGNMENT")
 
 
 def claim_population(finals: DataFrame, run_id: str) -> DataFrame:
@@ -235,7 +243,7 @@ def unbalanced_headers(
 def header_line_balance(headers: DataFrame, unbalanced: DataFrame, run_id: str) -> DataFrame:
     evaluated = accepted_ffs(headers).agg(F.count(F.lit(1)).alias("evaluated_count"))
     failing = unbalanced.agg(F.count(F.lit(1)).alias("failing_row_count"))
-    return _verdict(evaluated.crossJoin(failing), run_id, "DQ_HEADER_LINE_BALANCE")
+    return _verdict(_side_by_side(evaluated, failing), run_id, "DQ_HEADER_LINE_BALANCE")
 
 
 def family_balances(

@@ -121,7 +121,7 @@ def quality_failure_rate(quarantine: DataFrame, raw_tables: list[DataFrame]) ->
     failing = quarantine.select("source_file_id", "source_row_id").distinct().agg(
         F.count(F.lit(1)).alias("failing_rows"))
     rows = F.col("raw_rows")
-    return failing.crossJoin(total.agg(F.sum("n").alias("raw_rows"))).withColumn(
+    return failing.withColumn("raw_rows", total.agg(F.sum("n")).scalar()).withColumn(
         "failure_rate_pct",
         F.when(rows > 0, F.col("failing_rows").cast("double") * 100.0 / rows))
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from evenkeel.operators import (
     claims, constraints, exposure, kpis, reconciliation, variance)
 from evenkeel.plans import proxies
-from evenkeel.plans.finance import DIMENSIONS, OPERATIONAL, RAW, FinanceRun
+from evenkeel.plans.finance import CURATED, DIMENSIONS, OPERATIONAL, RAW, FinanceRun
+from evenkeel.session import stage as write_stage
 from evenkeel.sources.tables import table_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +53,16 @@ def _ready(run: FinanceRun) -> DataFrame:
         "status", F.col("resolved")).drop("resolved")
 
 
+def constraint_violations(run: FinanceRun) -> DataFrame:
+    """Constraints that some row violates. Every table is read several times, so the
+    derived ones are written first."""
+    tables = {t: run[t] for t in (*OPERATIONAL, *RAW, *DIMENSIONS)} | run.curated_tables
+    for table in (*RAW, "source_file", *CURATED):
+        if table not in run.curated:
+            tables[table] = write_stage(tables[table], table)
+    return constraints.constraint_violations(tables).where("violations > 0")
+
+
 def queries() -> dict[str, Query]:
     shared = ("claim_header_version", "member_assignment", "claim_line_version",
               "fact_claim_header_final")
@@ -104,9 +115,7 @@ def queries() -> dict[str, Query]:
             r.member_months, r.finals, r.final_lines, r.capitation), shared),
         "category_mart": _over_run(lambda r: reconciliation.category_mart(
             r.member_months, r.finals, r.final_lines), shared),
-        "constraint_violations": _over_run(lambda r: constraints.constraint_violations(
-            {**{t: r[t] for t in (*OPERATIONAL, *RAW, *DIMENSIONS)}, **r.curated_tables}
-        ).where("violations > 0"), evidence, contents=True),
+        "constraint_violations": _over_run(constraint_violations, evidence, contents=True),
     }
     for name, rule in RULES.items():
         out[name] = _over_run(lambda r, rule=rule: r.rule(rule))

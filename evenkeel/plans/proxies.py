@@ -101,8 +101,8 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
     customer, part = read(spark, sf_dir, "customer"), read(spark, sf_dir, "part")
     markets = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    segments = customer.select("c_mktsegment").distinct()
-    plans = nation.crossJoin(segments).where(
+    segments = customer.agg(F.sort_array(F.collect_set("c_mktsegment"))).scalar()
+    plans = nation.withColumn("c_mktsegment", F.explode(segments)).where(
         ~((F.col("n_regionkey") == 4) & (F.col("c_mktsegment") == "MACHINERY")))
     types = part.select("p_type").distinct()
     codes = part.select("p_type", "p_brand").distinct()

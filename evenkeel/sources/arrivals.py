@@ -38,13 +38,10 @@ def calendar_between(spark: SparkSession, first: str, last: str) -> DataFrame:
 def expected_partitions(
     dim_market: DataFrame, dim_date: DataFrame, run_id: str, entity: str
 ) -> DataFrame:
-    """Every market and month that a complete release would contain.
-
-    Both sides are dimensions, so the product stays markets x months.
-    """
-    months = dim_date.select("month_start").distinct()
-    return dim_market.select("market_id").crossJoin(months).select(
-        F.lit(run_id).alias("run_id"), "market_id", "month_start",
+    """Every market and month that a complete release would contain."""
+    months = dim_date.agg(F.sort_array(F.collect_set("month_start"))).scalar()
+    return dim_market.select(
+        F.lit(run_id).alias("run_id"), "market_id", F.explode(months).alias("month_start"),
         F.lit(entity).alias("entity"))
 
 

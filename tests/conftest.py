@@ -5,6 +5,6 @@ from evenkeel.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "evenkeel-tests", spark__sql__shuffle__partitions="4")
+    session = local_session(4, "evenkeel-tests", spark__sql__shuffle__partitions="2")
     yield session
     session.stop()

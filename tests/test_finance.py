@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from evenkeel.operators import claims, constraints, exposure, kpis, quality
+from evenkeel.operators import claims, constraints, exposure, kpis
 from evenkeel.plans import finance
 from evenkeel.sources import tables as store
 
