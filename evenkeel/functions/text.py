@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,15 +12,11 @@ from pyspark.sql import functions as F
 SPACE = (r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}"
          r"\x{205f}\x{3000}]")
 
-# Named character references and what they stand for. The ampersand
-# comes last, so that an escaped reference is decoded once only.
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&sect;", "§"),
-    ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"),
-    ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
-    ("&bull;", "•"), ("&hellip;", "…"), ("&trade;", "™"), ("&amp;", "&"),
-)
+# Named character references of HTML: those that end in a semicolon, and the older
+# ones that are also understood without it.
+_NAMED = {name: text for name, text in html5.items() if name.endswith(";")}
+_BARE = {name: text for name, text in html5.items() if not name.endswith(";")}
+_BARE_NAME = "^&(" + "|".join(sorted(_BARE, key=len, reverse=True)) + ")"
 
 
 def strip(column: Column) -> Column:
@@ -29,30 +28,40 @@ def one_line(column: Column) -> Column:
     return F.regexp_replace(column, f"{SPACE}+", " ")
 
 
-def _numeric_reference(column: Column) -> Column:
-    """Decode ``&#39;`` and ``&#x27;``; text between references is left alone."""
-    pieces = F.split(column, "(?=&#)")
+def _table(names: dict[str, str]) -> Column:
+    """A constant map; it is folded once and not built per row."""
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+
+def _decoded(piece: Column) -> Column:
+    """A piece of text that starts with ``&``, its leading reference decoded."""
+    decimal = F.regexp_extract(piece, r"^&#(\d{1,7});?", 1)
+    hexadecimal = F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]{1,6});?", 1)
+    code = F.when(decimal != "", decimal.try_cast("int")).when(
+        hexadecimal != "", F.conv(hexadecimal, 16, 10).try_cast("int"))
+    character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    is_character = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    name = F.regexp_extract(piece, r"^&([A-Za-z][A-Za-z0-9]*;)", 1)
+    bare = F.regexp_extract(piece, _BARE_NAME, 1)
+    named = F.try_element_at(_table(_NAMED), name)
 
-    def decode(piece: Column) -> Column:
-        decimal = F.regexp_extract(piece, r"^&#(\d{1,7});", 1)
-        hexadecimal = F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]{1,6});", 1)
-        code = F.when(decimal != "", decimal.try_cast("int")).when(
-            hexadecimal != "", F.conv(hexadecimal, 16, 10).try_cast("int"))
-        utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
-        rest = F.regexp_replace(piece, r"^&#[xX]?[0-9a-fA-F]{1,7};", "")
-        return F.when(code.between(1, 0x10FFFF),
-                      F.concat(F.decode(utf32, "UTF-32"), rest)).otherwise(piece)
+    def after(length: Column) -> Column:
+        return F.substring(piece, length + 2, F.length(piece))
 
-    return F.when(F.contains(column, F.lit("&#")), F.array_join(F.transform(pieces, decode), "")
-                  ).otherwise(column)
+    return (
+        F.when(is_character, F.concat(
+            character, F.regexp_replace(piece, r"^&#[xX]?[0-9a-fA-F]{1,7};?", "")))
+        .when((name != "") & named.isNotNull(), F.concat(named, after(F.length(name))))
+        .when(bare != "", F.concat(
+            F.try_element_at(_table(_BARE), bare), after(F.length(bare))))
+        .otherwise(piece)
+    )
 
 
 def unescape(column: Column) -> Column:
-    """Character references to characters."""
-    out = _numeric_reference(column)
-    for reference, character in ENTITIES:
-        out = F.replace(out, F.lit(reference), F.lit(character))
-    return out
+    """Character references to characters, each decoded once."""
+    decoded = F.array_join(F.transform(F.split(column, "(?=&)"), _decoded), "")
+    return F.when(F.contains(column, F.lit("&")), decoded).otherwise(column)
 
 
 def text_lines(fragment: Column) -> Column:

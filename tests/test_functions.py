@@ -1,6 +1,7 @@
 """Parsers against published strings."""
 
-import pytest
+import html
+
 from pyspark.sql import functions as F
 
 from evenkeel.functions import forms, identifiers, letters, money, text
@@ -214,6 +215,14 @@ def test_forms(spark):
 
 def test_text_lines(spark):
     df = spark.createDataFrame(
-        [("<p>A &amp; B</p> <br> it&#39;s &#x41;&amp;lt; &copy; <b></b>",)], "h string")
+        [("<p>A &amp; B</p> <br> it&#39;s &#x41;&amp;lt; &copy; <b></b>",)], "h string")
     lines = df.select(text.text_lines(F.col("h")).alias("l")).first()["l"]
     assert lines == ["A & B", "it's A&lt; ©"]
+
+
+def test_unescape_as_html_does(spark):
+    samples = ["&eacute;&hellip;x", "&ampx &lt", "&amp;amp; && &unknown; &", "a&#8364;b&#x20AC;",
+               "&NotEqualTilde; &frac12;", "plain", "&#65 &copy2026"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
+    got = [r["u"] for r in df.select("i", text.unescape(F.col("s")).alias("u")).orderBy("i").collect()]
+    assert got == [html.unescape(s) for s in samples]
