@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,3 +29,23 @@ def n_words(text: Column) -> Column:
 def small(df: DataFrame, most: int) -> DataFrame:
     """The frame with a broadcast hint if it has at most so many rows, else as it is."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def word_blocks(text: str | None, lower: bool = False, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Words of a text as UTF-8, in lists from pieces of about so many bytes.
+
+    ``bytes.split`` parts at the ASCII blanks and at nothing else, and ``bytes.lower``
+    changes A to Z only. A piece ends at a
+    blank, so that no word is cut and memory does not grow with the text.
+    """
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    start = 0
+    while start < len(raw):
+        blank = _BLANK.search(raw, start + size)
+        stop = blank.end() if blank else len(raw)
+        piece = raw[start:stop]
+        yield (piece.lower() if lower else piece).split()
+        start = stop
+
+
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")

@@ -5,13 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from evenkeel.llm import quality
+from evenkeel.llm import quality, simhash
 from evenkeel.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_gray_order_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts of every document and whether it is kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -21,7 +29,10 @@ def op5_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_distribution_divergence,)}
+    return {f.__name__: f for f in (
+        op1_gray_order_simhash,
+        op5_distribution_divergence,
+    )}
 
 
 def statements() -> dict[str, str]:
