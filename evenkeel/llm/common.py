@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where a public tokenizer's vocabulary lies, on the driver and the executors alike."""
+    return public_tokenizers.path(name)
+
+
 def words(text: Column) -> Column:
     """Words of a text in order; a null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import quality, simhash
-from evenkeel.llm.common import table
+from evenkeel.llm import decontaminate, quality, simhash, token_files
+from evenkeel.llm.common import table, tokenizer_path
+from evenkeel.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,12 @@ def op1_gray_order_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark passage in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op5_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts of every document and whether it is kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -28,10 +36,20 @@ def op5_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op8_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, as read back from the files."""
+    folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), folder,
+                      tokenizer_path())
+    return token_files.read(spark, folder, with_ids=False).drop("ids")
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_gray_order_simhash,
+        op2_qgram_decontamination,
         op5_distribution_divergence,
+        op8_seekable_token_files,
     )}
 
 
