@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import decontaminate, quality, simhash, token_files
+from evenkeel.llm import decontaminate, mixing, oracle, quality, simhash, token_files
 from evenkeel.llm.common import table, tokenizer_path
 from evenkeel.session import shared_folder
 
@@ -28,6 +28,15 @@ def op2_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op4_min_cost_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document; a document has one source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(docs, F.array("source"))
+    return mixed.select(
+        "doc_id", "size", F.col("per_source")[0]["source_size"].alias("source_size"),
+        F.col("per_source")[0]["target"].alias("target"), "taken")
+
+
 def op5_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts of every document and whether it is kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -48,10 +57,11 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_gray_order_simhash,
         op2_qgram_decontamination,
+        op4_min_cost_mix,
         op5_distribution_divergence,
         op8_seekable_token_files,
     )}
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return oracle.STATEMENTS
