@@ -55,3 +55,14 @@ def word_blocks(text: str | None, lower: bool = False, size: int = 1 << 20) -> I
 
 
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
+    """Whether crc32 of the id as text leaves the remainder; false for a null id."""
+    return F.coalesce(
+        F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def sampled(doc_id: Column, share: Column) -> Column:
+    """A repeatable choice of about the given share of the ids."""
+    return F.pmod(F.xxhash64(F.lit("sample"), doc_id), F.lit(1 << 20)) < share * (1 << 20)

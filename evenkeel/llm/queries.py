@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import decontaminate, mixing, oracle, quality, simhash, token_files
-from evenkeel.llm.common import table, tokenizer_path
+from evenkeel.llm import (
+    decontaminate, language, mixing, oracle, quality, simhash, token_files, toxicity)
+from evenkeel.llm.common import held_out, table, tokenizer_path
 from evenkeel.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,16 @@ def op5_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op7_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.train(docs.where(~out), table(spark, sf_dir, "labels").where(~out))
+    return docs.select(
+        "doc_id", out.alias("held_out"), toxicity.score(F.col("text"), model, docs).alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op8_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's ids, as read back from the files."""
     folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
@@ -53,13 +64,25 @@ def op8_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, folder, with_ids=False).drop("ids")
 
 
+def op10_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = language.train(docs.where(~out))
+    return docs.select("doc_id", out.alias("held_out"), language.predict(
+        F.col("text"), model, docs).alias("_found")).select(
+        "doc_id", "held_out", "_found.lang_pred", "_found.score")
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_gray_order_simhash,
         op2_qgram_decontamination,
         op4_min_cost_mix,
         op5_distribution_divergence,
+        op7_factorization_machine,
         op8_seekable_token_files,
+        op10_word_first_language,
     )}
 
 
