@@ -37,13 +37,13 @@ SLOTS = 1 << 30  # wide, so that a rare word seldom shares the slot of a telling
 @dataclass(frozen=True)
 class Training:
     sample: int = 20_000
-    terms: int = 2_048      # slots that the model has weights for
+    terms: int = 256        # slots that the model has weights for
     least_docs: int = 3     # documents of the sample that a term is in
     factors: int = 8
     epochs: int = 30
     batch: int = 256
-    rate: float = 0.1
-    decay: float = 2e-3
+    rate: float = 0.2
+    decay: float = 1e-4
     seed: int = 7
 
 
