@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.llm import (
-    decontaminate, language, mixing, oracle, quality, simhash, token_files, toxicity)
+    decontaminate, language, mixing, oracle, quality, simhash, substrings,
+    token_files, toxicity)
 from evenkeel.llm.common import held_out, table, tokenizer_path
 from evenkeel.session import shared_folder
 
@@ -46,6 +47,12 @@ def op5_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op6_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of earlier ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_passages(docs, with_text=False).drop("kept")
+
+
 def op7_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,6 +87,7 @@ def queries() -> dict[str, Query]:
         op2_qgram_decontamination,
         op4_min_cost_mix,
         op5_distribution_divergence,
+        op6_suffix_automata,
         op7_factorization_machine,
         op8_seekable_token_files,
         op10_word_first_language,
