@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.llm import (
-    decontaminate, language, mixing, oracle, quality, simhash, substrings,
-    token_files, toxicity)
+    decontaminate, extraction, language, mixing, oracle, quality, simhash, substrings,
+    token_files, toxicity, warc)
 from evenkeel.llm.common import held_out, table, tokenizer_path
 from evenkeel.session import shared_folder
 
@@ -30,6 +30,12 @@ def op2_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion record of every page's response record."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.derive(warc.responses(pages)).drop("record")
+
+
 def op4_min_cost_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document; a document has one source."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -71,6 +77,14 @@ def op8_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, folder, with_ids=False).drop("ids")
 
 
+def op9_tree_model_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = extraction.main_text(F.col("html"), extraction.train(), pages)
+    return pages.select("page_id", "url", found.alias("text")).withColumn(
+        "n_chars", F.char_length("text").cast("long"))
+
+
 def op10_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -85,11 +99,13 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_gray_order_simhash,
         op2_qgram_decontamination,
+        op3_warc_derivatives,
         op4_min_cost_mix,
         op5_distribution_divergence,
         op6_suffix_automata,
         op7_factorization_machine,
         op8_seekable_token_files,
+        op9_tree_model_extraction,
         op10_word_first_language,
     )}
 
