@@ -6,7 +6,7 @@ most of their bits, and cut into blocks. A node of the index stands for a run of
 the order and keeps the bits that all of the run share and its parent does not; the
 differences from a query add up on the way down, and a node beyond the limit is
 left with its whole group. The upper levels stand over the blocks and say which
-blocks a fingerprint must visit; each block then builds its own lower levels.
+blocks a group of neighbours must visit; each block then builds its own lower levels.
 
 Exact copies share a fingerprint and meet in one row before any search. A
 fingerprint has at most C(64, 1) + C(64, 2) others within two bits, and a block
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ SEED = 42
 FANOUT = 4
 BLOCK = 16_384     # fingerprints a block has at least
 MOST_BLOCKS = 65_536  # so that the upper levels, which every task holds, take a few MB
+GROUP = 64         # neighbours that travel together
 BATCH = 2_048      # queries searched at a time
 
 
@@ -96,8 +98,14 @@ class GrayIndex:
             self.levels.append((shared & ~parents, low & shared & ~parents))
             above = shared
 
-    def search(self, codes: np.ndarray, within: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions (of a code, of a run) whose shared bits differ in at most so many."""
+    def search(self, codes: np.ndarray, within: int,
+               known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Positions (of a code, of a run) whose shared bits differ in at most so many.
+
+        Of a code that stands for a group, only the bits in ``known`` count.
+        """
+        if known is None:
+            known = np.full(len(codes), ~np.uint64(0))
         query = np.arange(len(codes))
         node = np.zeros(len(codes), np.int64)
         apart = np.zeros(len(codes), np.uint8)
@@ -107,7 +115,8 @@ class GrayIndex:
                 query, apart = np.repeat(query, FANOUT), np.repeat(apart, FANOUT)
                 there = node < len(mask)
                 query, node, apart = query[there], node[there], apart[there]
-            apart = apart + np.bitwise_count((codes[query] ^ pattern[node]) & mask[node])
+            apart = apart + np.bitwise_count(
+                (codes[query] ^ pattern[node]) & mask[node] & known[query])
             near = apart <= within
             query, node, apart = query[near], node[near], apart[near]
         return query, node
@@ -175,9 +184,10 @@ def _search_blocks(within: int):
         block, held, entries, index, forest = None, [], None, None, None
         for batch in batches:
             blocks = batch.column("block").to_numpy()
-            visiting = batch.column("visits").to_numpy(zero_copy_only=False)
-            codes = _unsigned(batch.column("code"))
-            cuts = np.flatnonzero(np.diff(blocks) != 0) + 1
+            visiting = batch.column("visits").to_numpy(zero_copy_only=False).astype(np.int8)
+            codes = _unsigned(batch.column("codes").flatten())
+            ends = np.r_[0, np.cumsum(pc.list_value_length(batch.column("codes")).to_numpy())]
+            cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(visiting) != 0)) + 1
             for start, stop in zip(np.r_[0, cuts], np.r_[cuts, len(blocks)]):
                 if start == stop:
                     continue
@@ -187,13 +197,13 @@ def _search_blocks(within: int):
                     if forest is not None:
                         yield from closed(entries, forest)
                     block, held, forest = blocks[start], [], None
-                guests = visiting[start:stop]
-                if not guests.all():
-                    held.append(codes[start:stop][~guests])
-                if guests.any():
+                part = codes[ends[start]:ends[stop]]
+                if not visiting[start]:
+                    held.append(part)
+                else:
                     if held:
                         (entries, index, forest), held = opened(held), []
-                    yield from visitors(codes[start:stop][guests], index, entries, forest)
+                    yield from visitors(part, index, entries, forest)
         if held:
             entries, index, forest = opened(held)
         if forest is not None:
@@ -203,17 +213,35 @@ def _search_blocks(within: int):
 
 
 def _visit_blocks(blocks: np.ndarray, upper: GrayIndex, within: int):
-    """The later blocks that a code must visit; its own block has it as an entry."""
+    """Groups of neighbours, as entries of their own block and as visitors of later ones.
+
+    A block is left out for a whole group if the bits that all of the group share are
+    too far from those that all of the block share.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             home, codes = batch.column("block").to_numpy(), _unsigned(batch.column("code"))
-            for i in range(0, len(codes), BATCH):
-                query, run_ = upper.search(codes[i:i + BATCH], within)
-                later = blocks[run_] > home[i:i + BATCH][query]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(blocks[run_[later]].astype(np.int32)),
-                     pa.array(codes[i:i + BATCH][query[later]].view(np.int64))],
-                    names=["block", "code"])
+            if not len(codes):
+                continue
+            new = np.r_[True, home[1:] != home[:-1]]
+            place = np.arange(len(codes)) - np.maximum.accumulate(np.where(new, np.arange(len(codes)), 0))
+            starts = np.flatnonzero(place % GROUP == 0)
+            stops = np.r_[starts[1:], len(codes)]
+            low, high = (f.reduceat(codes, starts) for f in (np.bitwise_and, np.bitwise_or))
+            group, run_ = upper.search(low, within, ~(low ^ high))
+            later = blocks[run_] > home[starts][group]
+            group = np.r_[np.arange(len(starts)), group[later]]
+            target = np.r_[home[starts], blocks[run_[later]]]
+            sizes = (stops - starts)[group]
+            ends = np.r_[0, np.cumsum(sizes)]
+            values = np.repeat(starts[group] - ends[:-1], sizes) + np.arange(ends[-1])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(target.astype(np.int32)),
+                pa.array(np.arange(len(group)) >= len(starts)),
+                pa.array(codes[starts][group].view(np.int64)),
+                pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
+                                         pa.array(codes[values].view(np.int64)))],
+                names=["block", "visits", "first", "codes"])
 
     return run
 
@@ -228,7 +256,7 @@ def links(codes: DataFrame, within: int = 2) -> DataFrame:
     size = max(BLOCK, -(-count // MOST_BLOCKS))
     cut = stage(
         codes.select("code", gray_rank(F.col("code")).alias("rank"))
-        .repartitionByRange(-(-count // size), "rank")
+        .repartitionByRange(-(-count // size), "rank").sortWithinPartitions("rank")
         .select("code", "rank", F.spark_partition_id().alias("block")), "gray-blocks")
     summary = cut.groupBy("block").agg(
         F.min("rank").alias("first"), F.bit_and("code").alias("low"),
@@ -236,13 +264,12 @@ def links(codes: DataFrame, within: int = 2) -> DataFrame:
     if summary.empty:
         return cut.select(F.col("code").alias("a"), F.col("code").alias("b"))
     upper = GrayIndex(*(summary[c].to_numpy(np.int64).view(np.uint64) for c in ("low", "high")))
-    visits = cut.select("block", "code").mapInArrow(
-        _visit_blocks(summary["block"].to_numpy(np.int64), upper, within), "block int, code long")
-    rows = cut.select("block", F.lit(False).alias("visits"), "rank", "code").unionByName(
-        visits.select("block", F.lit(True).alias("visits"),
-                      F.lit(None).cast("long").alias("rank"), "code"))
-    return rows.repartition(len(summary), "block").sortWithinPartitions(
-        "block", "visits", "rank").mapInArrow(_search_blocks(within), "a long, b long")
+    groups = cut.select("block", "code").mapInArrow(
+        _visit_blocks(summary["block"].to_numpy(np.int64), upper, within),
+        "block int, visits boolean, first long, codes array<long>")
+    return groups.repartition(len(summary), "block").sortWithinPartitions(
+        "block", "visits", gray_rank(F.col("first"))).select("block", "visits", "codes").mapInArrow(
+        _search_blocks(within), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, within: int = 2) -> DataFrame:
