@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The needed columns, and the whole row as ``_row``.
+
+    So no column that an operator adds can meet one of the same name.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *needed)
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Where a public tokenizer's vocabulary lies, on the driver and the executors alike."""
     return public_tokenizers.path(name)

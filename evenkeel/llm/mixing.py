@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import n_words, small
+from evenkeel.llm.common import n_words, packed, small
 from evenkeel.session import stage
 
 PREFIX = 3           # hex digits: 4096 prefixes of the order for each pattern
@@ -209,7 +209,8 @@ def mix(docs: DataFrame, sources: Column, recipe: Recipe = Recipe()) -> DataFram
         "_key", "_pattern", "_digest", "passes", "last")
 
 
-def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The documents of the mix, each as often as it is taken."""
+def repeated(docs: DataFrame, source: str = "source", recipe: Recipe = Recipe()) -> DataFrame:
+    """The documents of the mix, each as often as it is taken, with their columns."""
+    mixed = mix(packed(docs, "doc_id", "text", source), F.array(source), recipe)
     return mixed.where("copies > 0").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*columns)
+        "_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import BLANKS, small, words
+from evenkeel.llm.common import BLANKS, packed, small, words
 from evenkeel.session import stage
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -206,3 +206,14 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
             100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
         .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
         .drop("_key", "_classes", "_short", "_profiles", "_common"))
+
+
+def keep(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The documents that pass, with their columns.
+
+    A filter on the verdict would be pushed below the columns that it is made of, and
+    compute them anew within each lambda. It cannot pass a column that numbers rows.
+    """
+    judged = judge(packed(docs, "lang", "text"), rules).withColumn(
+        "_number", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("_number") >= 0)).select("_row.*")

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from evenkeel.llm.common import word_blocks
+from evenkeel.llm.common import packed, word_blocks
 from evenkeel.llm.components import components
 from evenkeel.session import stage
 
@@ -272,9 +272,14 @@ def links(codes: DataFrame, within: int = 2) -> DataFrame:
         _search_blocks(within), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, within: int = 2) -> DataFrame:
-    """(doc_id, code, component_id) of every row of docs (doc_id, text)."""
-    prints = stage(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("code")),
+def near_duplicates(docs: DataFrame, shingle: int = 3, within: int = 2,
+                    digest: bool = False) -> DataFrame:
+    """(doc_id, code, component_id) of every row of docs (doc_id, text).
+
+    With ``digest``, the XXH64 of the text comes along, to tell rows of one id apart.
+    """
+    key = [F.xxhash64("text").alias("digest")] if digest else []
+    prints = stage(docs.select("doc_id", *key, fingerprint(F.col("text"), shingle).alias("code")),
                    "fingerprints")
     codes = stage(prints.groupBy("code").agg(F.min("doc_id").alias("first")), "codes")
     groups = stage(components(links(codes.select("code"), within)), "components")
@@ -284,4 +289,32 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, within: int = 2) -> DataF
     alone = codes.join(named.select("code"), "code", "left_anti").select(
         "code", F.col("first").alias("component_id"))
     classes = stage(named.unionByName(alone), "classes")
-    return prints.join(classes, "code").select("doc_id", "code", "component_id")
+    return prints.join(classes, "code").select(*prints.columns, "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, within: int = 2) -> DataFrame:
+    """The documents without near-duplicates of earlier ones, with their columns.
+
+    Of a component, the row with the smallest id stays; of rows that repeat this id,
+    the one whose text has the smallest digest, and one of those that are the same.
+    Rows of components without any id all stay.
+    """
+    keyed = packed(docs, "doc_id", "text").withColumn("_digest", F.xxhash64("text"))
+    found = stage(near_duplicates(docs, shingle, within, digest=True), "duplicates")
+    named = found.where(F.col("component_id").isNotNull())
+    kept = named.where("doc_id = component_id").groupBy("component_id").agg(
+        F.min("digest").alias("_least"))
+    once = named.join(kept, "component_id").withColumn(
+        "_stays", F.coalesce((F.col("doc_id") == F.col("component_id"))
+                             & (F.col("digest") == F.col("_least")), F.lit(False)))
+    gone = once.where("not _stays").select("doc_id", "digest").distinct()
+    twice = once.where("_stays").groupBy("doc_id", "digest").agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "digest")
+
+    def same(other: DataFrame) -> Column:
+        return keyed["doc_id"].eqNullSafe(other["doc_id"]) & keyed["_digest"].eqNullSafe(other["digest"])
+
+    repeats = keyed.join(twice, same(twice), "left_semi").dropDuplicates(["doc_id", "_digest"])
+    rest = gone.unionByName(twice)
+    single = keyed.join(rest, same(rest), "left_anti")
+    return single.unionByName(repeats).select("_row.*")
