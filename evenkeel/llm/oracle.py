@@ -47,4 +47,81 @@ SELECT doc_id, size, source_size, target,
 FROM running
 """
 
-STATEMENTS = {"op4_min_cost_mix": _MIX}
+
+def _parts(p: str, q: str) -> str:
+    """Terms of a Jensen-Shannon divergence, summed over the rows of a group."""
+    half = f"(({p} + {q}) / 2)"
+    return (f"sum(0.5 * (CASE WHEN {p} > 0 THEN {p} * log2({p} / {half}) ELSE 0 END"
+            f" + CASE WHEN {q} > 0 THEN {q} * log2({q} / {half}) ELSE 0 END))")
+
+
+_QUALITY = rf"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, lang, text IS NULL AS gone, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w
+  FROM documents),
+base AS MATERIALIZED (
+  SELECT rid, doc_id, lang, gone, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(t) AS total, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines,
+         len(regexp_extract_all(t, '\p{{L}}')) AS letters,
+         len(regexp_extract_all(t, '\p{{Lu}}')) AS capitals,
+         len(regexp_extract_all(t, '\p{{Nd}}')) AS digits
+  FROM docs),
+windows AS (
+  SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM docs WHERE len(w) > 2)),
+repeats AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM (
+    SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS times FROM windows),
+    (SELECT unnest([0, 1, 2]) AS k) WHERE times > 1 GROUP BY rid),
+classes AS MATERIALIZED (
+  SELECT rid, lang, gone, unnest([1, 2, 3, 4, 5, 6]) AS c,
+         unnest([letters - capitals, capitals, digits, total - word_chars, n_symbols,
+                 total - letters - digits - (total - word_chars) - n_symbols]) AS n
+  FROM base),
+class_share AS (
+  SELECT lang, c, sum(n) / sum(sum(n)) OVER (PARTITION BY lang) AS share FROM classes
+  WHERE lang IS NOT NULL AND NOT gone GROUP BY lang, c),
+spoken AS MATERIALIZED (SELECT rid, lang, unnest(w) AS word FROM docs),
+totals AS (
+  SELECT lang, count(*) AS total FROM spoken WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) >= 2000),
+ranked AS (
+  SELECT lang, word, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS rank
+  FROM spoken WHERE length(word) <= 4 AND lang IS NOT NULL GROUP BY lang, word),
+common AS MATERIALIZED (
+  SELECT lang, word, n / total AS share FROM ranked JOIN totals USING (lang) WHERE rank <= 24),
+known AS (SELECT DISTINCT lang FROM common JOIN class_share USING (lang)),
+pairs AS MATERIALIZED (
+  SELECT rid, n_words, known.lang AS ref FROM base, known
+  WHERE base.lang = known.lang OR base.lang IS NULL OR base.lang NOT IN (SELECT lang FROM known)),
+said AS (SELECT rid, word, count(*) AS n FROM spoken WHERE length(word) <= 4 GROUP BY rid, word),
+word_rows AS (
+  SELECT p.rid, ref, coalesce(s.n, 0) / greatest(n_words, 1) AS p, c.share AS q
+  FROM pairs p JOIN common c ON c.lang = ref LEFT JOIN said s ON s.rid = p.rid AND s.word = c.word),
+word_all AS (
+  SELECT * FROM word_rows UNION ALL
+  SELECT rid, ref, greatest(0, 1 - sum(p)), greatest(0, 1 - sum(q)) FROM word_rows GROUP BY rid, ref),
+word_distance AS (
+  SELECT rid, min(d) AS d FROM (
+    SELECT rid, sqrt(greatest(0, {_parts('p', 'q')})) AS d FROM word_all GROUP BY rid, ref) GROUP BY rid),
+class_distance AS (
+  SELECT rid, min(d) AS d FROM (
+    SELECT rid, sqrt(greatest(0, {_parts('p', 'q')})) AS d FROM (
+      SELECT p.rid, ref, n / greatest(sum(n) OVER (PARTITION BY p.rid, ref), 1) AS p, share AS q
+      FROM pairs p JOIN classes k ON k.rid = p.rid
+      JOIN class_share s ON s.lang = ref AND s.c = k.c) GROUP BY rid, ref) GROUP BY rid),
+judged AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(r.n, 0) AS n_repeat_words,
+         n_words < 50 OR 100 * coalesce(r.n, 0) > 50 * n_words AS base_failed,
+         coalesce((word_chars >= 200 AND c.d > 0.27) OR (n_words >= 50 AND x.d > 0.5), false) AS far
+  FROM base LEFT JOIN repeats r USING (rid) LEFT JOIN class_distance c USING (rid)
+  LEFT JOIN word_distance x USING (rid))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept
+FROM judged
+"""
+
+STATEMENTS = {"op4_min_cost_mix": _MIX, "op5_distribution_divergence": _QUALITY}
