@@ -28,6 +28,7 @@ from evenkeel.llm.labelled_pages import pages as labelled
 from evenkeel.llm.markup import Page, parse
 
 SMOOTHING = 0.5
+CONTENT_TAGS = ("article", "main")
 
 
 def _weights(page: Page) -> tuple[list[int], list[int]]:
@@ -41,8 +42,9 @@ def _weights(page: Page) -> tuple[list[int], list[int]]:
 
 def features(page: Page) -> list[list[str]]:
     size, linked = _weights(page)
-    found = []
+    found, within = [], []  # whether a node is in an article or main element
     for i, tag in enumerate(page.tag):
+        within.append(i > 0 and (within[page.parent[i]] or page.tag[page.parent[i]] in CONTENT_TAGS))
         share = 0 if not linked[i] else 1 if 2 * linked[i] < size[i] else 2
         kind = "text" if tag == "#text" else "box"
         one = [f"{kind} links {share}"]
@@ -52,6 +54,7 @@ def features(page: Page) -> list[list[str]]:
             one.append(f"ends {page.text[i][-1] in '.!?'}")
         else:
             one.append(f"tag {tag}")
+            one.append(f"tag {tag} within {within[i]}")
             one += [f"name {x}" for x in page.names[i]]
         found.append(one)
     return found

@@ -45,6 +45,12 @@ LAYOUTS = (
     '<div class="alert notice">{p}</div><div class="search form"><form>{s}</form></div>'
     '<section class="article text"><!--main--><h1>{s}</h1>{P}<ol>{c}</ol><!--/main--></section>'
     '<section class="reader comments">{P}{P}</section><nav class="pagination">{a}</nav><footer>{s}</footer>',
+    '<nav><ul>{l}</ul></nav><!--main--><article><h1>{s}</h1><p>{s}</p></article><!--/main--><footer>{s}</footer>',
+    '<!--main--><article><p>{s}</p></article><!--/main-->',
+    '<header><h1>{s}</h1><p>{s}</p></header><div class="wrap"><div><!--main--><article><div><div><p>{s}</p>'
+    '</div></div></article><!--/main--></div><aside class="sidebar"><p>{p}</p></aside></div><footer><p>{p}</p>',
+    '<header><h1>{s}</h1></header><div><div><!--main--><article><header><h1>{s}</h1></header><div><div>{P}'
+    '<div>{P}</div></div></div></article><!--/main--></div></div><section class="comments"><div><p>{p}</p></div>',
 )
 
 

@@ -40,6 +40,15 @@ class Rules:
     max_word_distance: float = 0.5
 
 
+def _settled(value: Column) -> Column:
+    """The value, below which no filter is pushed.
+
+    A filter that moves below the columns its value is made of would have these anew
+    for every element of a lambda; it does not pass a column that numbers rows.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def _length_without(text: Column, pattern: str) -> Column:
     return F.char_length(F.regexp_replace(text, pattern, ""))
 
@@ -92,10 +101,10 @@ def base_counts(docs: DataFrame) -> DataFrame:
             "_classes": _classes(F.col("_total"), rest, blanks, capitals, digits, symbols, letters),
             "_starts": F.sort_array(F.transform(repeated, lambda x: x["p"]))})
         .drop("_windows", "_total", "_rest")
-        .withColumn("n_repeat_words", F.aggregate(
+        .withColumn("n_repeat_words", _settled(F.aggregate(
             F.transform("_starts", lambda p, i: F.coalesce(
                 F.least(F.get("_starts", i + 1) - p, F.lit(3)), F.lit(3))),
-            F.lit(0).cast("long"), lambda a, x: a + x))
+            F.lit(0).cast("long"), lambda a, x: a + x)))
         .drop("_starts"))
 
 
@@ -204,16 +213,10 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return (
         rows.withColumn("base_failed", (F.col("n_words") < rules.min_words) | (
             100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
-        .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False)))
+        .withColumn("kept", _settled(~F.col("base_failed") & ~F.coalesce(far, F.lit(False))))
         .drop("_key", "_classes", "_short", "_profiles", "_common"))
 
 
 def keep(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The documents that pass, with their columns.
-
-    A filter on the verdict would be pushed below the columns that it is made of, and
-    compute them anew within each lambda. It cannot pass a column that numbers rows.
-    """
-    judged = judge(packed(docs, "lang", "text"), rules).withColumn(
-        "_number", F.monotonically_increasing_id())
-    return judged.where(F.col("kept") & (F.col("_number") >= 0)).select("_row.*")
+    """The documents that pass, with their columns."""
+    return judge(packed(docs, "lang", "text"), rules).where("kept").select("_row.*")

@@ -276,7 +276,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, within: int = 2,
                     digest: bool = False) -> DataFrame:
     """(doc_id, code, component_id) of every row of docs (doc_id, text).
 
-    With ``digest``, the XXH64 of the text comes along, to tell rows of one id apart.
+    With ``digest`` come the XXH64 of the text, to tell rows of one id apart, and the
+    smallest code of the component as ``root``, since rows of one id may name several.
     """
     key = [F.xxhash64("text").alias("digest")] if digest else []
     prints = stage(docs.select("doc_id", *key, fingerprint(F.col("text"), shingle).alias("code")),
@@ -285,11 +286,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, within: int = 2,
     groups = stage(components(links(codes.select("code"), within)), "components")
     linked = codes.join(groups, codes["code"] == groups["node"]).select("code", "component", "first")
     least = linked.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = linked.join(least, "component").select("code", "component_id")
+    named = linked.join(least, "component").select("code", F.col("component").alias("root"),
+                                                   "component_id")
     alone = codes.join(named.select("code"), "code", "left_anti").select(
-        "code", F.col("first").alias("component_id"))
+        "code", F.col("code").alias("root"), F.col("first").alias("component_id"))
     classes = stage(named.unionByName(alone), "classes")
-    return prints.join(classes, "code").select(*prints.columns, "component_id")
+    return prints.join(classes, "code").select(
+        *prints.columns, *(["root"] if digest else []), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, within: int = 2) -> DataFrame:
@@ -302,9 +305,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, within: int = 2) -> DataFrame:
     keyed = packed(docs, "doc_id", "text").withColumn("_digest", F.xxhash64("text"))
     found = stage(near_duplicates(docs, shingle, within, digest=True), "duplicates")
     named = found.where(F.col("component_id").isNotNull())
-    kept = named.where("doc_id = component_id").groupBy("component_id").agg(
-        F.min("digest").alias("_least"))
-    once = named.join(kept, "component_id").withColumn(
+    kept = named.where("doc_id = component_id").groupBy("root").agg(F.min("digest").alias("_least"))
+    once = named.join(kept, "root").withColumn(
         "_stays", F.coalesce((F.col("doc_id") == F.col("component_id"))
                              & (F.col("digest") == F.col("_least")), F.lit(False)))
     gone = once.where("not _stays").select("doc_id", "digest").distinct()
