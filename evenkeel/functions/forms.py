@@ -16,7 +16,6 @@ ALIASES = {
     "cms_id": ("0.2-CMS ID",),
     "rating_period_start": ("1-DateStart_af_date",),
     "rating_period_end": ("1-DateEnd_af_date",),
-    "requested_start": ("2-DateStart_af_date",),
     "managed_care_programs": ("3-Text",),
     "total_amount": ("4-Text",),
     "federal_share": ("4.a-Text",),

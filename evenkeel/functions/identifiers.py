@@ -57,7 +57,7 @@ def read_date(token: Column) -> Column:
 
 
 def _capitalised(word: Column) -> Column:
-    return F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substring(word, 2, 1_000)))
+    return F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substr(word, F.lit(2))))
 
 
 def _review(word: Column) -> Column:
@@ -100,7 +100,7 @@ STEPS: Steps = [
         F.lit(""))),
     ("fields", lambda at: F.when(
         at("state").isNotNull(),
-        F.regexp_replace(F.substring(at("front"), 3, 1_000_000), r"^[_\-]+", "")
+        F.regexp_replace(F.substr(at("front"), F.lit(3)), r"^[_\-]+", "")
     ).otherwise(at("front"))),
     ("hyphened", lambda at: F.contains(at("fields"), F.lit("-"))
         & ~F.contains(at("fields"), F.lit("_"))),

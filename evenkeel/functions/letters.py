@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,6 @@ from evenkeel.functions.binding import Steps, staged
 from evenkeel.functions.money import DOLLARS, dollars_text, sentence_cents
 from evenkeel.functions.text import one_line
 
-LETTER_PAGES = 3
-
 # The wordings under which a letter states its amount.
 PHRASES = {
     "separate_payment_term": r"separate payment term (?:amount )?(?:of )?(?:up to )?",
@@ -24,7 +24,19 @@ PHRASES = {
 PHASE_DOWN = r"grandfathered SDP|section 71116|phase[ -]?down|Public Law 119-21"
 APPROVED = r"\bis approved\b"
 FORM_START = r"SECTION I\b"
-FORM_START_WITHIN = 2500
+
+
+@dataclass(frozen=True)
+class Reach:
+    """How far a letter is read: so many pages, and a form's mark within so many characters."""
+
+    pages: int | None = None
+    form_start: int | None = None
+
+
+WHOLE = Reach()
+# The reach that the published readings have.
+PUBLISHED = Reach(pages=3, form_start=2500)
 
 APPROVAL = "approval"
 PHASE_DOWN_TYPE = "phase_down_determination"
@@ -35,12 +47,12 @@ FIELDS = ("letter_type", "amount_cents", "raw_text", "matched_phrase", "all_amou
 NO_AMOUNT = "no dollar amount in the approval letter"
 
 
-def letter_type(text: Column) -> Column:
+def letter_type(text: Column, reach: Reach = WHOLE) -> Column:
+    front = text if reach.form_start is None else F.substring(text, 1, reach.form_start)
     return (
         F.when(F.rlike(text, F.lit(f"(?iu){PHASE_DOWN}")), PHASE_DOWN_TYPE)
         .when(F.rlike(text, F.lit(f"(?iu){APPROVED}")), APPROVAL)
-        .when(F.rlike(F.substring(text, 1, FORM_START_WITHIN), F.lit(f"(?iu){FORM_START}")),
-              FORM_ONLY)
+        .when(F.rlike(front, F.lit(f"(?iu){FORM_START}")), FORM_ONLY)
         .otherwise(APPROVAL)
     )
 
@@ -71,10 +83,20 @@ def anchored_amounts(text: Column) -> Column:
 
 _CAP_NOTE = ("figure is a grandfathering cap under Public Law 119-21, not an approved amount")
 
-STEPS: Steps = [
-    ("text", lambda at: one_line(F.array_join(F.slice(at("input"), 1, LETTER_PAGES), " "))),
-    ("pages", lambda at: F.least(F.size(at("input")), F.lit(LETTER_PAGES))),
-    ("type", lambda at: letter_type(at("text"))),
+
+def _steps(reach: Reach) -> Steps:
+    def read(pages: Column) -> Column:
+        return pages if reach.pages is None else F.slice(pages, 1, reach.pages)
+
+    return [
+        ("text", lambda at: one_line(F.array_join(read(at("input")), " "))),
+        ("pages", lambda at: F.size(read(at("input")))),
+        ("type", lambda at: letter_type(at("text"), reach)),
+        *_READING,
+    ]
+
+
+_READING: Steps = [
     ("all", lambda at: all_amounts(at("text"))),
     ("anchored", lambda at: F.when(at("type") != FORM_ONLY, anchored_amounts(at("text")))
         .otherwise(F.array().cast("array<struct<at:int,phrase:string,cents:bigint,raw:string>>"))),
@@ -111,6 +133,6 @@ def _fields(at) -> dict[str, Column]:
     }
 
 
-def with_letter_amount(df: DataFrame, pages: str) -> DataFrame:
+def with_letter_amount(df: DataFrame, pages: str, reach: Reach = WHOLE) -> DataFrame:
     """Adds what a letter states, from an array column with the text of its pages."""
-    return staged(df, F.col(pages), STEPS, _fields)
+    return staged(df, F.col(pages), _steps(reach), _fields)

@@ -33,27 +33,49 @@ def _table(names: dict[str, str]) -> Column:
     return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
 
+# Numbers 128 to 159 stand for the characters that older pages meant by them.
+_OLDER = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+
+
+def _character(code: Column) -> Column:
+    """The character of a number as HTML reads it; NULL is a number beyond all characters."""
+    given = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    low = code.bitwiseAND(0xFFFF)
+    nothing = (code.between(1, 8) | (code == 0x0B) | code.between(0x0E, 0x1F) | (code == 0x7F)
+               | code.between(0xFDD0, 0xFDEF) | (low == 0xFFFE) | (low == 0xFFFF))
+    return (
+        F.when(code.isNull() | (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF),
+               F.lit("\ufffd"))
+        .when(code.between(0x80, 0x9F), F.try_element_at(_table(_OLDER), code.cast("string")))
+        .when(nothing, F.lit(""))
+        .otherwise(given))
+
+
 def _decoded(piece: Column) -> Column:
     """A piece of text that starts with ``&``, its leading reference decoded."""
-    decimal = F.regexp_extract(piece, r"^&#(\d{1,7});?", 1)
-    hexadecimal = F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]{1,6});?", 1)
-    code = F.when(decimal != "", decimal.try_cast("int")).when(
-        hexadecimal != "", F.conv(hexadecimal, 16, 10).try_cast("int"))
-    character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    is_character = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    decimal = F.regexp_extract(piece, r"^&#(\d+);?", 1)
+    hexadecimal = F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]+);?", 1)
+    # Leading zeros count for nothing; what is longer than any character's number is none.
+    digits = F.regexp_extract(decimal, "^0*(.*)$", 1)
+    hex_digits = F.regexp_extract(hexadecimal, "^0*(.*)$", 1)
+    code = (
+        F.when(decimal != "", F.when(digits == "", 0).when(
+            F.length(digits) <= 7, digits.try_cast("int")))
+        .when(hexadecimal != "", F.when(hex_digits == "", 0).when(
+            F.length(hex_digits) <= 6, F.conv(hex_digits, 16, 10).try_cast("int"))))
+    numeric = F.regexp_extract(piece, r"^&#(?:\d+|[xX][0-9a-fA-F]+);?", 0)
     name = F.regexp_extract(piece, r"^&([A-Za-z][A-Za-z0-9]*;)", 1)
     bare = F.regexp_extract(piece, _BARE_NAME, 1)
     named = F.try_element_at(_table(_NAMED), name)
 
     def after(length: Column) -> Column:
-        return F.substring(piece, length + 2, F.length(piece))
+        return F.substr(piece, length + 1)
 
     return (
-        F.when(is_character, F.concat(
-            character, F.regexp_replace(piece, r"^&#[xX]?[0-9a-fA-F]{1,7};?", "")))
-        .when((name != "") & named.isNotNull(), F.concat(named, after(F.length(name))))
+        F.when(numeric != "", F.concat(_character(code), after(F.length(numeric))))
+        .when((name != "") & named.isNotNull(), F.concat(named, after(F.length(name) + 1)))
         .when(bare != "", F.concat(
-            F.try_element_at(_table(_BARE), bare), after(F.length(bare))))
+            F.try_element_at(_table(_BARE), bare), after(F.length(bare) + 1)))
         .otherwise(piece)
     )
 

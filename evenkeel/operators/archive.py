@@ -14,10 +14,11 @@ _AMOUNT = "struct<cents:bigint,raw:string,ambiguous_unit:boolean,implausible:boo
 
 
 def extraction_records(
-    documents: DataFrame, identifier: str, pages: str, fields: str, error: str | None = None
+    documents: DataFrame, identifier: str, pages: str, fields: str, error: str | None = None,
+    reach: letters.Reach = letters.WHOLE,
 ) -> DataFrame:
     """What each document says: its letter, its form, and whether its names agree."""
-    read = letters.with_letter_amount(documents, pages).withColumn(
+    read = letters.with_letter_amount(documents, pages, reach).withColumn(
         "form", read_form(F.col(fields), None if error is None else F.col(error)))
     checked = read.withColumn("__stated", F.col("form.cms_id"))
     return with_cross_check(checked, identifier, "__stated", "identifier_mismatch").drop("__stated")
@@ -34,21 +35,25 @@ def dollars(cents: Column) -> Column:
     return cents.cast("double") / 100
 
 
-def last_record(records: DataFrame, identifier: str, position: str) -> DataFrame:
-    """One record per identifier; the last one stands when several do."""
+def last_record(records: DataFrame, identifier: str, position: str = "position") -> DataFrame:
+    """One record per identifier, the last by position; without a position, any one."""
     rest = [c for c in records.columns if c not in (identifier, position)]
+    place = F.col(position) if position in records.columns else F.lit(0)
     return records.groupBy(identifier).agg(
-        F.max_by(F.struct(*rest), position).alias("r")).select(identifier, "r.*")
+        F.max_by(F.struct(*rest), place).alias("r")).select(identifier, "r.*")
 
 
 def archive_rows(manifest: DataFrame, records: DataFrame) -> DataFrame:
     """Listed documents beside what was read from them.
 
-    A document without a record keeps its row. The form is preferred to the letter
+    A document without a record keeps its row, and of several records the last stands.
+    The form is preferred to the letter
     and every caveat belongs to the source that was chosen.
     """
     columns = ["letter_type", "amount_cents", "matched_phrase", "form", "identifier_mismatch"]
-    rec = records.select("sdp_identifier", F.struct(*columns).alias("rec"))
+    place = ["position"] if "position" in records.columns else []
+    rec = last_record(records.select("sdp_identifier", *place, *columns), "sdp_identifier").select(
+        "sdp_identifier", F.struct(*columns).alias("rec"))
     rows = manifest.join(rec, "sdp_identifier", "left")
     form, total = F.col("rec.form"), F.col("rec.form.total")
     federal, nonfederal = F.col("rec.form.federal_share"), F.col("rec.form.nonfederal_share")
@@ -152,9 +157,14 @@ def extraction_summary(records: DataFrame) -> DataFrame:
         "unresolved", F.col("approvals") - F.col("anchored") - F.col("no_amount_stated"))
 
 
-def value_counts(records: DataFrame) -> DataFrame:
-    """Documents by phrase, by first clause of the issue, and by kind, in one pass."""
-    clause = F.substring(F.substring_index("issue", ",", 1), 1, 60)
+def value_counts(records: DataFrame, clause_chars: int | None = None) -> DataFrame:
+    """Documents by phrase, by first clause of the issue, and by kind, in one pass.
+
+    Clauses count whole unless ``clause_chars`` cuts them to so many characters.
+    """
+    clause = F.substring_index("issue", ",", 1)
+    if clause_chars is not None:
+        clause = F.substring(clause, 1, clause_chars)
     facets = {
         "phrase": F.coalesce("matched_phrase", F.lit("unanchored")),
         "issue": clause,

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.operators.archive import dollars
-from evenkeel.operators.numbering import joined_parts, with_joined_list
-from evenkeel.operators.resolution import INLINE_IDENTIFIERS, SEPARATOR, resolve
+from evenkeel.operators.numbering import positions
+from evenkeel.operators.resolution import resolve
 from evenkeel.sources.documents import cell
 
+# Fixed value: the assessments that make a state's data usable.
 USABLE_ASSESSMENTS = ("Low concern",)
+# Fixed value: what the published caps are, and what they are not.
 CAP_BASIS = ("Archive document-cap subtotal; overlap not resolved; not projected payments or "
              "actual spending")
 STATE = ["state_code", "state_name"]
@@ -19,7 +21,7 @@ EXTRACT = (
     "rating_period_end", "payment_type", "provider_class", "review_type", "amount_usd",
     "amount_is_zero", "amount_source", "document_type", "description", "dq_assessment",
     "reports_usably", "dq_assessment_year", "identifier_suffix", "lineage_status",
-    "candidate_identifiers", "amount_status", "resolution_version", "identifier_mismatch",
+    "candidate_count", "amount_status", "resolution_version", "identifier_mismatch",
     "source_url", "source_sha256", "retrieved_at", "federal_share_usd")
 
 
@@ -78,26 +80,17 @@ def _capped(archive: DataFrame) -> DataFrame:
         & F.col("state_name").isNotNull())
 
 
-def state_caps(archive: DataFrame, inline: int = INLINE_IDENTIFIERS) -> DataFrame:
-    """Document caps by state with the documents they come from.
+def state_caps(archive: DataFrame) -> DataFrame:
+    """Document caps by state; the documents are the rows of ``state_cap_sources``."""
+    return _capped(archive).groupBy(*STATE).agg(
+        F.count("sdp_identifier").alias("cap_document_count"),
+        dollars(F.sum("grandfathered_cap_cents")).alias("cap_document_sum_usd"),
+    ).withColumn("measure_basis", F.lit(CAP_BASIS))
 
-    The list of a state with more documents than ``inline`` is NULL here and in
-    ``state_cap_sources`` in full.
-    """
-    capped = _capped(archive)
-    sums = capped.groupBy(*STATE).agg(
-        F.sum("grandfathered_cap_cents").alias("cents"),
-        F.count("sdp_identifier").alias("cap_document_count"))
-    return with_joined_list(
-        sums, capped, STATE, "sdp_identifier", "cap_document_count", "source_identifiers",
-        SEPARATOR, inline,
-    ).select(*STATE, "cap_document_count", "source_identifiers",
-             dollars(F.col("cents")).alias("cap_document_sum_usd"),
-             F.lit(CAP_BASIS).alias("measure_basis"))
-
-
-def state_cap_sources(archive: DataFrame, per_part: int = INLINE_IDENTIFIERS) -> DataFrame:
-    return joined_parts(_capped(archive), STATE, "sdp_identifier", SEPARATOR, per_part)
+
+def state_cap_sources(archive: DataFrame) -> DataFrame:
+    """The documents behind every state's caps, numbered in the order of their names."""
+    return positions(_capped(archive), STATE, "sdp_identifier")
 
 
 def state_coverage(archive: DataFrame, year: int) -> DataFrame:

@@ -31,8 +31,9 @@ def partition_status(
 ) -> DataFrame:
     """Whether a market and month may be published.
 
-    Every market of every run has a row for every calendar month, whether or not
-    anything happened in it. A run-level failure outranks a failure of one partition.
+    Every market of every given run has a row for every calendar month, whether or not
+    anything happened in it. Give only runs whose rule results are given: without them
+    nothing would speak against a run. A run-level failure outranks a failure of one partition.
     """
     failing = dq_result.where(
         (F.col("severity") == "BLOCKING") & (F.col("disposition") == "FAIL"))

@@ -1,8 +1,8 @@
-"""Global row numbers and long joined lists, without a single task doing the work."""
+"""Row numbers, of a whole table and by group, without a single task doing the work."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenkeel.session import stage
@@ -46,38 +46,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     return left.join(renamed, condition, how).drop(*[f"__{key}" for key in keys])
 
 
-def joined_list(column: str, separator: str) -> Column:
-    return F.array_join(F.array_sort(F.collect_list(column)), separator)
+def positions(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """The values of every group as rows, with their place from 1 on.
 
-
-def with_joined_list(
-    groups: DataFrame, rows: DataFrame, keys: list[str], column: str, size: str, out: str,
-    separator: str, at_most: int,
-) -> DataFrame:
-    """Adds the sorted, joined values of a column to groups of known size.
-
-    Only groups of at most ``at_most`` rows are gathered. A larger group gets NULL
-    here, and ``joined_parts`` holds its list in pieces of bounded length.
-    """
-    small = groups.where(F.col(size) <= at_most).select(*keys)
-    lists = (
-        null_safe_join(rows.select(*keys, column), small, keys, "left_semi")
-        .groupBy(*keys).agg(joined_list(column, separator).alias(out))
-    )
-    return null_safe_join(groups, lists, keys, "left")
-
-
-def joined_parts(
-    rows: DataFrame, keys: list[str], column: str, separator: str, per_part: int
-) -> DataFrame:
-    """The sorted, joined values of every group, in parts of ``per_part`` values.
-
-    Concatenating the parts of a group in order, with the separator between them,
-    gives its whole list, however many rows the group has.
+    The rows are numbered all at once and each group counts from its first, so no
+    group has to be in one place, however many rows it has.
     """
-    ordered = numbered(rows.select(*keys, column), [*keys, column], "position")
-    starts = ordered.groupBy(*keys).agg(F.min("position").alias("start"))
-    placed = null_safe_join(ordered, starts, keys, "inner").withColumn(
-        "part_no", F.floor((F.col("position") - F.col("start")) / per_part))
-    return placed.groupBy(*keys, "part_no").agg(
-        F.count(F.lit(1)).alias("part_size"), joined_list(column, separator).alias("part_text"))
+    ordered = numbered(rows.select(*keys, column), [*keys, column], "number")
+    starts = ordered.groupBy(*keys).agg(F.min("number").alias("start"))
+    return null_safe_join(ordered, starts, keys, "inner").select(
+        *keys, (F.col("number") - F.col("start") + 1).alias("position"), column)

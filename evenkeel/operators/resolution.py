@@ -11,15 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.identifiers import version_rank
-from evenkeel.operators.numbering import joined_parts, null_safe_join, with_joined_list
+from evenkeel.operators.numbering import positions
 
 RESOLUTION_VERSION = "0.6.0"
 KEY = ["state_code", "payment_type_normalised", "provider_class", "rating_period_start",
        "rating_period_end", "identifier_suffix"]
 MONEY = ("amount_usd", "amount_cents", "federal_share_cents", "amount_source")
-SEPARATOR = " | "
-# Lists of more identifiers than this are kept in parts.
-INLINE_IDENTIFIERS = 10_000
 
 
 def _keyed(archive: DataFrame) -> DataFrame:
@@ -27,11 +24,12 @@ def _keyed(archive: DataFrame) -> DataFrame:
     return archive.withColumn("identifier_suffix", F.coalesce("identifier_suffix", F.lit("")))
 
 
-def resolve(archive: DataFrame, inline: int = INLINE_IDENTIFIERS) -> DataFrame:
+def resolve(archive: DataFrame) -> DataFrame:
     """One row per arrangement, with what is known about its lineage and amount.
 
     Filings are reduced by arrangement and rank first, so an arrangement with very
-    many filings never meets in one place.
+    many filings never meets in one place. Their number is here and their names are
+    the rows of ``candidates``.
     """
     rows = _keyed(archive)
     rest = [c for c in rows.columns if c not in [*KEY, "sdp_identifier"]]
@@ -68,19 +66,11 @@ def resolve(archive: DataFrame, inline: int = INLINE_IDENTIFIERS) -> DataFrame:
     for column in MONEY:
         if column in resolved.columns:
             resolved = resolved.withColumn(column, F.when(F.col("usable"), F.col(column)))
-    # A single filing is its own list; only the others are gathered.
-    shared = resolved.where(F.col("filings") > 1)
-    listed = with_joined_list(
-        shared.select(*KEY, "filings"), rows, KEY, "sdp_identifier", "filings",
-        "candidate_list", SEPARATOR, inline)
-    joined = null_safe_join(resolved, listed.drop("filings"), KEY, "left")
-    return joined.withColumn(
-        "candidate_identifiers",
-        F.when(F.col("filings") == 1, F.col("sdp_identifier")).otherwise(F.col("candidate_list"))
-    ).select(*archive.columns, "lineage_status", "candidate_identifiers", "resolution_version",
-             "amount_status")
+    return resolved.withColumn("candidate_count", F.col("filings")).select(
+        *archive.columns, "lineage_status", "candidate_count", "resolution_version",
+        "amount_status")
 
 
-def candidate_parts(archive: DataFrame, per_part: int = INLINE_IDENTIFIERS) -> DataFrame:
-    """The identifiers of every arrangement in sorted parts of bounded length."""
-    return joined_parts(_keyed(archive), KEY, "sdp_identifier", SEPARATOR, per_part)
+def candidates(archive: DataFrame) -> DataFrame:
+    """The filings of every arrangement, numbered in the order of their names."""
+    return positions(_keyed(archive), KEY, "sdp_identifier")

@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evenkeel.functions import letters
 from evenkeel.functions.identifiers import with_parsed_identifier
 from evenkeel.operators import archive, extracts
-from evenkeel.plans.proxies import cents, orders_by_customer, read, spread
+from evenkeel.plans.proxies import cents, orders_by_customer, read
 from evenkeel.sources import documents, listing
 
 RETRIEVED = "2001-09-01T00:00:00Z"
@@ -53,7 +54,6 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderstatus") == "P", "New").otherwise(_choose(
                 F.quarter("order_date"), {1: "Amend", 2: "Amend1", 3: "Amend2"},
                 F.lit("Amendment"))).alias("rev"))
-    base = spread(base, read(spark, sf_dir, "orders"))
     st, pay, cls, rev, y = (F.col(n) for n in ("st", "pay", "cls", "rev", "y"))
     dates = _text(y, "0101-", y, "1231")
     named = _text(st, "_", pay, "_", cls, "_", rev, "_")
@@ -164,7 +164,8 @@ def records(listed_rows: DataFrame) -> DataFrame:
     """Readings of the documents that could be fetched."""
     fetched = listed_rows.where(listing.exclusion_reason(F.col("pdf_url")).isNull())
     return archive.extraction_records(
-        fetched.select("sdp_identifier", "pages", "fields"), "sdp_identifier", "pages", "fields")
+        fetched.select("sdp_identifier", "pages", "fields", F.col("o_orderkey").alias("position")),
+        "sdp_identifier", "pages", "fields", reach=letters.PUBLISHED)
 
 
 def archive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,5 +221,4 @@ def letters_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "src4": _text(text, " is approved. Risk  based\tadjustment of $", n.cast("string"), ".257"),
         "src5": _text(text, " was $3 or ", money),
     }, text)
-    scan = read(spark, sf_dir, "documents")
-    return spread(scan, scan).select("doc_id", F.array(body).alias("pages"))
+    return read(spark, sf_dir, "documents").select("doc_id", F.array(body).alias("pages"))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from html import unescape
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions import identifiers, letters, money
+from evenkeel.functions import identifiers, letters, money, text
 from evenkeel.operators import archive, extracts, resolution
 from evenkeel.plans import document_proxies as proxies
 from evenkeel.plans.finance_queries import Query
-from evenkeel.plans.proxies import cents, read, spread
+from evenkeel.plans.proxies import cents, read
 from evenkeel.session import stage
 from evenkeel.sources import documents, listing
 
@@ -42,14 +44,13 @@ def form_amounts(spark, sf_dir: str) -> DataFrame:
 def letter_amounts(spark, sf_dir: str) -> DataFrame:
     """The approved amount of every document, from its whole text."""
     rows = proxies.letters_of_documents(spark, sf_dir)
-    return letters.with_letter_amount(rows, "pages").drop("pages").withColumn(
+    return letters.with_letter_amount(rows, "pages", letters.PUBLISHED).drop("pages").withColumn(
         "all_amounts_cents", _joined("all_amounts_cents"))
 
 
 def page_records(spark, sf_dir: str) -> DataFrame:
     """Labelled blocks of every page with a link, as records."""
-    scan = read(spark, sf_dir, "pages")
-    return listing.listing_records(spread(scan, scan), "page_id", "html", "<li>", HREF, "")
+    return listing.listing_records(read(spark, sf_dir, "pages"), "page_id", "html", "<li>", HREF, "")
 
 
 def page_union(spark, sf_dir: str) -> DataFrame:
@@ -75,6 +76,37 @@ def extraction_records(spark, sf_dir: str) -> DataFrame:
         F.col("form.nonfederal_share.issue").alias("nonfederal_issue"))
 
 
+def archive_repeated(spark, sf_dir: str) -> DataFrame:
+    """The archive from records that come twice, of which the first ones are wrong."""
+    rows = proxies.listed(spark, sf_dir)
+    read_last = _records(spark, sf_dir)
+    first = read_last.withColumn("position", F.col("position") - 1).withColumn(
+        "amount_cents", F.col("amount_cents") + 1)
+    return archive.archive_rows(proxies.manifest(rows), first.unionByName(read_last))
+
+
+# Markup whose references differ in form: decimal, hexadecimal, named, broken, without an end.
+REFERENCES = ("&#150;", "&#146;s", "&#39dad", "&#65bc", "&#x0000026;", "&#0000000038;", "&#0;",
+              "&#xD800;", "&#x110000;", "&#99999999999999999999;", "&#x1;x", "&#13;", "&#xFDD0;",
+              "&amp;amp;", "&notit;", "&copy2", "&nosuch;", "&#;", "&#x;", "&", "&CounterClockwiseContourIntegral;")
+
+
+def markup_text(spark, sf_dir: str) -> DataFrame:
+    """Text of every page, with references to its own number and of every form added.
+
+    The added lines come last; ``ampersands`` counts what references left in all lines.
+    """
+    number = F.col("page_id") % 50_000 + 200
+    rows = read(spark, sf_dir, "pages").select("page_id", F.concat(
+        F.coalesce("html", F.lit("")), F.lit("<p>a&#"), number.cast("string"), F.lit(";a</p><p>a&#x"),
+        F.hex(number), F.lit(" a</p>"), *[F.lit(f"<p>{r}</p>") for r in REFERENCES]).alias("html"))
+    added = 2 + sum(1 for r in REFERENCES if unescape(r).strip())
+    lines = rows.select("page_id", text.text_lines(F.col("html")).alias("lines"))
+    return lines.select(
+        "page_id", F.array_join(F.slice("lines", -added, added), "|").alias("added"),
+        F.regexp_count(F.array_join("lines", "\n"), F.lit("&")).cast("long").alias("ampersands"))
+
+
 def _archive(spark, sf_dir: str) -> DataFrame:
     """The archive, written once: resolution and extracts read it several times."""
     return stage(proxies.archive_rows(spark, sf_dir), "archive")
@@ -130,21 +162,23 @@ def queries() -> dict[str, Query]:
         "manifest": manifest,
         "extraction_records": extraction_records,
         "extraction_summary": lambda s, d: archive.extraction_summary(_records(s, d)),
-        "extraction_value_counts": lambda s, d: archive.value_counts(_records(s, d)),
+        "extraction_value_counts": lambda s, d: archive.value_counts(_records(s, d), 60),
         "archive": proxies.archive_rows,
+        "archive_repeated": archive_repeated,
+        "markup_text": markup_text,
         "publish_summary": lambda s, d: archive.publish_summary(_archive(s, d)),
         "reading_agreement": lambda s, d: archive.reading_agreement(_archive(s, d)),
         "mismatch_components": lambda s, d: archive.mismatch_components(_archive(s, d)),
         "version_resolution": lambda s, d: resolution.resolve(_archive(s, d)).select(
-            *resolution.KEY, "sdp_identifier", "lineage_status", "candidate_identifiers",
+            *resolution.KEY, "sdp_identifier", "lineage_status", "candidate_count",
             "amount_status", "amount_cents", "amount_usd", "federal_share_cents",
             "amount_source", "amount_is_publishable", "resolution_version"),
-        "candidate_parts": lambda s, d: resolution.candidate_parts(_archive(s, d), 2),
+        "candidate_parts": lambda s, d: resolution.candidates(_archive(s, d)),
         "bi_extract": bi_extract,
         "extract_drops": extract_drops,
         "extract_years": extract_years,
         "state_caps": lambda s, d: extracts.state_caps(_archive(s, d)),
-        "state_cap_sources": lambda s, d: extracts.state_cap_sources(_archive(s, d), 20),
+        "state_cap_sources": lambda s, d: extracts.state_cap_sources(_archive(s, d)),
         "state_coverage": _coverage,
         "state_dollars": lambda s, d: extracts.state_dollars(_coverage(s, d)),
         "topic_assessments": proxies.assessed,

@@ -175,7 +175,8 @@ class FinanceRun:
     @cached_property
     def partition_status(self) -> DataFrame:
         return kpis.partition_status(
-            self["dim_market"], self["dim_date"], self["pipeline_run"], self.dq_result)
+            self["dim_market"], self["dim_date"],
+            self["pipeline_run"].where(F.col("run_id") == self.run_id), self.dq_result)
 
     @cached_property
     def exposure_month(self) -> DataFrame:

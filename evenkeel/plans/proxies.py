@@ -54,15 +54,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(STAR_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def spread(df: DataFrame, scan: DataFrame) -> DataFrame:
-    """Give the rows of a scan of few splits one task per core before costly work.
-
-    A table of many splits, as any large one is, needs no such shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if scan.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def cents(column: str) -> Column:
     return F.round(F.col(column) * 100).cast("long")
 

@@ -505,7 +505,7 @@ SELECTS |= {
             ELSE 'NO_CANDIDATE' END AS outcome
         FROM (SELECT *, CASE WHEN ok THEN 0.6745::DOUBLE * (ffs_pmpm_cents - md) / mad END AS score,
                 CASE WHEN ok THEN abs(ffs_pmpm_cents - md) * member_months END AS impact_cents
-              FROM (SELECT *, NOT prov AND full12 AND mad > 0 AND member_months >= 5 AS ok
+              FROM (SELECT *, NOT prov AND full12 AND mad > 0 AND member_months >= 100 AS ok
                     FROM mad))""",
     "claim_bridge": """
         SELECT 'RUN_0001' AS run_id, r.market_id,

@@ -44,8 +44,7 @@ def test_numeric_amendment_order(archive_of, assessed):
     got = out.collect()
     assert [(r["amount_usd"], r["lineage_status"], r["reports_usably"]) for r in got] == [
         (200.0, "INFERRED_FROM_IDENTIFIER", True)]
-    assert got[0]["candidate_identifiers"] == (
-        "VA_Fee_IPH_Amend2_20240101-20241231 | VA_Fee_IPH_Amend_20240101-20241231")
+    assert got[0]["candidate_count"] == 2
 
 
 def test_missing_latest_does_not_fall_back(archive_of):
@@ -58,8 +57,8 @@ def test_missing_latest_does_not_fall_back(archive_of):
 def test_suffix_distinguishes(archive_of):
     rows = [row(sdp_identifier=f"id {s}", identifier_suffix=s) for s in ("A", "B", None)]
     got = resolution.resolve(archive_of(*rows)).collect()
-    assert sorted((r["identifier_suffix"], r["candidate_identifiers"]) for r in got) == [
-        ("", "id None"), ("A", "id A"), ("B", "id B")]
+    assert sorted((r["identifier_suffix"], r["sdp_identifier"], r["candidate_count"]) for r in got) == [
+        ("", "id None", 1), ("A", "id A", 1), ("B", "id B", 1)]
 
 
 @pytest.mark.parametrize("second", ["Amend1", "Unknown"])
@@ -74,7 +73,9 @@ def test_null_key_parts_group_together(archive_of):
     rows = [row("Renewal", 1, provider_class=None, sdp_identifier="a"),
             row("Amend", 2, provider_class=None, sdp_identifier="b")]
     got = resolution.resolve(archive_of(*rows)).collect()
-    assert [(r["amount_usd"], r["candidate_identifiers"]) for r in got] == [(2.0, "a | b")]
+    assert [(r["amount_usd"], r["candidate_count"]) for r in got] == [(2.0, 2)]
+    listed = resolution.candidates(archive_of(*rows)).orderBy("position").collect()
+    assert [(r["position"], r["sdp_identifier"]) for r in listed] == [(1, "a"), (2, "b")]
 
 
 def test_empty_archive_keeps_its_schema(archive_of):
@@ -82,16 +83,17 @@ def test_empty_archive_keeps_its_schema(archive_of):
     assert out.count() == 0 and "lineage_status" in out.columns
 
 
-def test_long_lists_move_to_parts(archive_of):
-    rows = [row("Amend", i, sdp_identifier=f"id{i:02d}") for i in range(25)]
-    data = archive_of(*rows, row("New", 1, state_code="TX", sdp_identifier="tx"))
-    short = resolution.resolve(data, inline=10).collect()
-    assert sorted(str(r["candidate_identifiers"]) for r in short) == ["None", "tx"]
-    parts = resolution.candidate_parts(data, per_part=10).where("state_code = 'VA'").orderBy(
-        "part_no").collect()
-    assert [r["part_size"] for r in parts] == [10, 10, 5]
-    whole = resolution.resolve(data).where("state_code = 'VA'").first()["candidate_identifiers"]
-    assert " | ".join(r["part_text"] for r in parts) == whole
+def test_no_list_is_cut(spark, archive_of):
+    """One arrangement and one state with more filings than any list used to hold."""
+    many = archive_of(row("Amend", 1)).drop("sdp_identifier").crossJoin(
+        spark.range(10_050).select(F.format_string("id%06d", "id").alias("sdp_identifier")))
+    data = many.unionByName(archive_of(row("New", 1, state_code="TX", sdp_identifier="tx")))
+    assert {(r["state_code"], r["candidate_count"]) for r in resolution.resolve(data).collect()} == {
+        ("VA", 10_050), ("TX", 1)}
+    for listed in (resolution.candidates(data), extracts.state_cap_sources(data)):
+        got = listed.where("state_code = 'VA'").orderBy("position").collect()
+        assert [r["position"] for r in got] == list(range(1, 10_051))
+        assert [r["sdp_identifier"] for r in got] == [f"id{i:06d}" for i in range(10_050)]
 
 
 def test_readiness_must_be_unique_and_may_be_missing(spark, archive_of, assessed):
@@ -105,11 +107,9 @@ def test_caps(archive_of):
     data = archive_of(row(), row(provider_class="OPH", sdp_identifier="second"),
                       row(state_code=None, sdp_identifier="nowhere"))
     got = extracts.state_caps(data).collect()
-    assert [(r["cap_document_sum_usd"], r["cap_document_count"], r["source_identifiers"])
-            for r in got] == [
-        (1000.0, 2, "VA_Fee_IPH_Renewal_20240101-20241231 | second")]
-    parts = extracts.state_cap_sources(data, 1).orderBy("part_no").collect()
-    assert [r["part_text"] for r in parts] == ["VA_Fee_IPH_Renewal_20240101-20241231", "second"]
+    assert [(r["cap_document_sum_usd"], r["cap_document_count"]) for r in got] == [(1000.0, 2)]
+    listed = extracts.state_cap_sources(data).orderBy("position").collect()
+    assert [r["sdp_identifier"] for r in listed] == ["VA_Fee_IPH_Renewal_20240101-20241231", "second"]
 
 
 def test_coverage(archive_of):
@@ -209,6 +209,11 @@ def test_manifest_row_without_record_is_kept(spark, tmp_path):
         [("KNOWN", ["is approved: total amount of $123.45"], {"x": "y"})],
         "sdp_identifier string, pages array<string>, fields map<string,string>")
     records = archive.extraction_records(docs, "sdp_identifier", "pages", "fields")
+    earlier = records.withColumn("position", F.lit(1)).withColumn("amount_cents", F.lit(7).cast("long"))
+    twice = earlier.unionByName(records.withColumn("position", F.lit(2)))
+    assert sorted(archive.archive_rows(manifest, twice).collect()) == sorted(
+        archive.archive_rows(manifest, records).collect())
+    assert archive.archive_rows(manifest, records.union(records)).count() == 2
     got = {r["sdp_identifier"]: r for r in archive.archive_rows(manifest, records).collect()}
     assert (got["KNOWN"]["amount_cents"], got["KNOWN"]["amount_source"],
             got["KNOWN"]["identifier_repairs"]) == (12345, "approval_letter", "one; two")

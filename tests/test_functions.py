@@ -176,7 +176,7 @@ LETTERS = [
 def test_letters(spark):
     df = spark.createDataFrame(
         [(i, [t]) for i, (t, _, _) in enumerate(LETTERS)], "i int, pages array<string>")
-    rows = letters.with_letter_amount(df, "pages").orderBy("i").collect()
+    rows = letters.with_letter_amount(df, "pages", letters.PUBLISHED).orderBy("i").collect()
     for (text_, phrase, cents), row in zip(LETTERS, rows):
         assert (row["matched_phrase"], row["amount_cents"]) == (phrase, cents), text_
     assert rows[6]["all_amounts_cents"] == [400_000_000, 600_000_000]
@@ -192,7 +192,7 @@ def test_letters(spark):
 def test_letter_reads_three_pages(spark):
     pages = ["is approved", "page", "total amount of", "$5", "not to exceed $7"]
     df = spark.createDataFrame([(pages,)], "pages array<string>")
-    row = letters.with_letter_amount(df, "pages").first()
+    row = letters.with_letter_amount(df, "pages", letters.PUBLISHED).first()
     assert (row["letter_pages_read"], row["amount_cents"]) == (3, None)
 
 
@@ -226,3 +226,21 @@ def test_unescape_as_html_does(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
     got = [r["u"] for r in df.select("i", text.unescape(F.col("s")).alias("u")).orderBy("i").collect()]
     assert got == [html.unescape(s) for s in samples]
+
+
+def test_character_references_like_a_browser(spark):
+
+    from evenkeel.plans.document_queries import REFERENCES
+    given = [*REFERENCES, "&#65;&#x42;c", "a&b&lt", "&gt;=", *[f"&#{n};" for n in range(120, 165)],
+             *[f"&#x{n:x}x" for n in (0x1F, 0x20, 0xFFFE, 0x1FFFF, 0x10FFFF, 0xD7FF, 0xE000, 0x1F600)]]
+    df = spark.createDataFrame(list(enumerate(given)), "i int, t string")
+    got = [r["u"] for r in df.select("i", text.unescape(F.col("t")).alias("u")).orderBy("i").collect()]
+    assert got == [html.unescape(t) for t in given]
+
+
+def test_a_letter_is_read_whole_unless_told_otherwise(spark):
+    df = spark.createDataFrame([(["is approved."] * 5 + ["total amount of $7"],)], "pages array<string>")
+    whole = letters.with_letter_amount(df, "pages").first()
+    some = letters.with_letter_amount(df, "pages", letters.PUBLISHED).first()
+    assert (whole["amount_cents"], whole["letter_pages_read"]) == (700, 6)
+    assert (some["amount_cents"], some["letter_pages_read"]) == (None, 3)
