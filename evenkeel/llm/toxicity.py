@@ -148,8 +148,9 @@ def _scorer(shipped: Broadcast):
                 words = set(WORDS.findall((text or "").lower()))
                 if len(kept) > 300_000:
                     kept = {}
-                for word in words - kept.keys():
-                    kept[word] = model.slots.get(slot(word))
+                for word in words:
+                    if word not in kept:
+                        kept[word] = model.slots.get(slot(word))
                 terms = {kept[w] for w in words}
                 terms.discard(None)
                 found.append(model.score(sorted(terms)))
