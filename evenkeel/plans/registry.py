@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evenkeel.plans import document_queries, finance_queries
+from evenkeel.plans import document_queries, finance_queries, handover_queries
 from evenkeel.plans.finance_queries import Query
 from evenkeel.session import tune
 
@@ -14,5 +14,6 @@ def _tuned(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    found = {**finance_queries.queries(), **document_queries.queries()}
+    found = {**finance_queries.queries(), **document_queries.queries(),
+             **handover_queries.queries()}
     return {name: _tuned(query) for name, query in found.items()}

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +29,7 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cpus: int | str = "*", app: str = "evenkeel", **conf: str) -> SparkSession:
-    """A local session for tests and benchmarks."""
+    """A local session for tests and benchmarks, which name its shared folder."""
     cores = os.cpu_count() if cpus == "*" else int(cpus)
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -49,15 +48,8 @@ def local_session(cpus: int | str = "*", app: str = "evenkeel", **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that all executors can reach, as the cluster names it.
-
-    Only a session without ``spark.checkpoint.dir`` (a test) gets a folder of its
-    own, and only when it runs on one machine.
-    """
+    """Folder that the driver and all executors can reach: ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="evenkeel-")
-        spark.conf.set("spark.checkpoint.dir", folder)
     if folder is None:
         raise ValueError("spark.checkpoint.dir must name a folder shared by the executors")
     return folder

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # One entry of a manifest, as the listing describes a document.
 MANIFEST_ENTRY = (
@@ -52,12 +53,16 @@ def _nested(fields: str) -> str:
     return ", ".join(f.strip().replace(" ", ":", 1) for f in fields.split(", "))
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The published archive as CSV, with its declared types; nothing is inferred."""
-    return spark.read.schema(ARCHIVE).option("header", True).option("escape", '"').option(
+def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """A published CSV with its declared types; nothing is inferred, an empty text is no text."""
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option(
         "multiLine", True).csv(path)
 
 
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, ARCHIVE)
+
+
 def read_readiness(spark: SparkSession, path: str | None) -> DataFrame:
     """State assessments of a readiness document; none at all is a typed empty frame."""
     if path is None:
@@ -143,7 +148,10 @@ def cell(name: str) -> Column:
     return F.get("cells", F.array_position("header", name).cast("int") - 1)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, *order: str) -> None:
+    """CSV files; with an order, sorted within and from one file to the next."""
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 

@@ -623,5 +623,14 @@ for _rule, _cte in (
     SELECTS[_rule] = f"SELECT * FROM dq WHERE rule_id = '{_cte}'"
 
 
+SELECTS["stored_exposure"] = SELECTS["exposure_month"]
+SELECTS["stored_run"] = f"SELECT *, row_count AS replayed_rows FROM ({SELECTS['table_counts']})"
+SELECTS["routed_lines"] = """
+    SELECT source_row_id, fam AS claim_family_id, ver AS version_number, line_number FROM rln
+    SEMI JOIN (SELECT r.* FROM rhd r SEMI JOIN files f ON f.market_id = r.market_id
+      AND f.month_start = CAST(date_trunc('month', r.service_end) AS DATE)) h
+    ON h.fam = rln.fam AND h.ver = rln.ver"""
+
+
 def statements() -> dict[str, str]:
     return {name: with_ctes(select) for name, select in SELECTS.items()}
