@@ -17,17 +17,20 @@ texts' digests; an empty table gives no files and no rows.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
-import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -43,8 +46,17 @@ CHECKSUM_FLAG = 0x80
 ENTRY = struct.Struct("<III")   # compressed size, size, low half of the XXH64
 FOOTER = struct.Struct("<IBI")  # frames, flags, magic
 
+def _numbers(ids: list[int]) -> array:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers
+
+
 INDEX_HEAD = struct.Struct("<QI")  # documents, data frames
 SUFFIX = ".tok.zst"
+CHUNK = 1 << 21  # bytes of text encoded at once, or one document
 
 
 @dataclass(frozen=True)
@@ -52,43 +64,115 @@ class Layout:
     end_id: int = 0
     frame_bytes: int = 1 << 18   # a frame is closed by the document that reaches this
     file_bytes: int = 1 << 27    # and a file by the frame that reaches this
-    level: int = 3
+    level: int = 1
 
 
 class Encoder:
-    """Token ids as bytes, with the pieces between spaces kept for reuse.
+    """Token ids of many texts, with those of pieces of text kept for reuse.
 
-    The pre-tokenizer always cuts before a space that a character other than white
-    space follows, so the pieces can be encoded one by one; texts with other spaces
-    are encoded as a whole.
+    The pre-tokenizer always cuts before a space or a line break that no white space
+    surrounds, and between a letter and a last comma or full stop. So a text is the
+    sequence of its pieces, and every distinct piece is encoded once; texts with other
+    white space around these are encoded as a whole.
     """
 
-    KEPT_BYTES = 1 << 25  # of pieces and their ids; beyond, the pieces are forgotten
-    UNEVEN = re.compile(r" (?:\s|\Z)")
+    KEPT = 500_000   # pieces in a generation; the two last generations are kept
+    GROUP = 500      # pieces encoded as lines of one text
+    SPACE = r"[\s\p{Z}\x{85}\x{0B}\x{1C}-\x{1F}]"
+    UNEVEN = rf"\A{SPACE}|[ \n](?:{SPACE}|\z)"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.line, = self._plain(["\n"])
+        self.tails = dict(zip(",.", self._plain([",", "."])))
         self.kept: dict[str, bytes] = {}
-        self.held = 0
+        self.older: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        return [_numbers(e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if self.held > self.KEPT_BYTES:
-            self.kept, self.held = {}, 0
-        split = [None if self.UNEVEN.search(t) else t.split(" ") for t in texts]
-        new = list(set(itertools.chain.from_iterable(p[1:] for p in split if p)) - self.kept.keys())
-        for piece, ids in zip(new, self._encode([" " + p for p in new])):
-            self.kept[piece] = ids
-            self.held += len(piece) + len(ids)
-        # The first piece has no space before it; an uneven text is one piece.
-        heads = self._encode([p[0] if p else t for p, t in zip(split, texts)])
-        get = self.kept.__getitem__
-        return [head + b"".join(map(get, p[1:])) if p else head for head, p in zip(heads, split)]
+    def _lines(self, items: list[str]) -> list[bytes]:
+        """Ids of items without white space, but for a first space, by way of joined lines."""
+        found, width = [], len(self.line)
+        for i in range(0, len(items), self.GROUP):
+            part = items[i:i + self.GROUP]
+            raw, = self._plain(["\n".join(part)])
+            cuts = (4 * np.flatnonzero(np.frombuffer(raw, "<u4") == np.frombuffer(self.line, "<u4")[0])).tolist()
+            if width != 4 or len(cuts) != len(part) - 1:
+                found += self._plain(part)
+            else:
+                found += [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
+        return found
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Puts the ids of new pieces, but for a last comma or full stop, among those kept."""
+        kept, older, tails = self.kept, self.older, self.tails
+        bodies, odd = [], []
+        for piece in pieces:
+            body = piece
+            if piece[-1:] in tails and piece[-2:-1].isalpha():
+                body = piece[:-1]
+                if body in kept:
+                    continue
+            if (ids := older.get(body)) is not None:
+                kept[body] = ids
+            else:
+                kept[body] = b""  # so that it is taken up once
+                bare = body[1:] if body[:1] == "\n" else body
+                (bodies if bare and bare.split() == [bare] else odd).append(body)
+        items = [b[1:] if b[:1] == "\n" else f" {b}" for b in bodies]
+        for body, ids in zip(bodies, self._lines(items)):
+            kept[body] = self.line + ids if body[:1] == "\n" else ids
+        for body, ids in zip(odd, self._plain([b if b[:1] == "\n" else f" {b}" for b in odd])):
+            kept[body] = ids
+
+    def _ids(self, piece: str) -> bytes:
+        """Ids of a piece that was learned; a last comma or full stop is joined on."""
+        ids = self.kept.get(piece)
+        if ids is None:
+            ids = self.kept[piece] = self.kept[piece[:-1]] + self.tails[piece[-1]]
+        return ids
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as bytes; texts has no null."""
+        if len(self.kept) > self.KEPT:
+            self.kept, self.older = {}, self.kept
+        uneven = pc.match_substring_regex(texts, self.UNEVEN).to_numpy(zero_copy_only=False)
+        even = texts.filter(pa.array(~uneven))
+        whole = iter(self._plain(texts.filter(pa.array(uneven)).to_pylist()))
+        # Each text begins a line of its own, whose break is dropped in the end.
+        split = pc.split_pattern(pc.binary_join_element_wise(
+            pa.scalar("\n"), pc.replace_substring(even, "\n", " \n"), ""), " ")
+        coded = split.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        known = list(map(self.kept.get, pieces))
+        new = [i for i, ids in enumerate(known) if ids is None]
+        self._learn([pieces[i] for i in new])
+        for i in new:
+            known[i] = self._ids(pieces[i])
+        sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), "<u4")
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes  # a text has fewer than 2**31 ids
+        codes = coded.indices.to_numpy()
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths, dtype=np.int32)
+        at = np.repeat(starts[codes] - ends + lengths, lengths)
+        at += np.arange(len(at), dtype=np.int32)
+        ids = flat.take(at)
+        last = np.cumsum(pc.list_value_length(split).to_numpy())
+        stops = ends[last - 1] if len(last) else ends
+        begins = np.concatenate([[0], stops[:-1]]) + len(self.line) // 4
+        parts = iter([ids[a:b].tobytes() for a, b in zip(begins.tolist(), stops.tolist())])
+        return [next(whole) if u else next(parts) for u in uneven]
+
+
+@functools.lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder for all tasks of a worker, so that what it has learned lasts."""
+    return Encoder(path)
 
 
 class FileWriter:
@@ -192,7 +276,7 @@ def _write_task(folder: str, tokenizer_path: str, layout: Layout):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
         target, root = fs.FileSystem.from_uri(folder)
-        encoder, end = Encoder(tokenizer_path), struct.pack("<I", layout.end_id)
+        encoder, end = encoder_of(tokenizer_path), struct.pack("<I", layout.end_id)
         done, writer, name = [], None, None
 
         def close():
@@ -200,10 +284,12 @@ def _write_task(folder: str, tokenizer_path: str, layout: Layout):
             done.append((part, len(done), name, len(writer.ids), writer.total // 4))
 
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for i in range(0, len(ids), 256):
-                for doc_id, raw in zip(ids[i:i + 256], encoder.encode(texts[i:i + 256])):
+            texts = batch.column("text").fill_null("")
+            sizes = np.cumsum(pc.binary_length(texts).to_numpy())
+            cuts = np.flatnonzero(np.diff(sizes // CHUNK)) + 1
+            for i, j in zip([0, *cuts], [*cuts, len(texts)]):
+                ids = batch.column("doc_id")[i:j].to_pylist()
+                for doc_id, raw in zip(ids, encoder.encode(texts[i:j])):
                     if writer is None:
                         name = f"part-{part:06d}-{len(done):04d}-{attempt}{SUFFIX}"
                         target.create_dir(root, recursive=True)
