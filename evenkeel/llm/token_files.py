@@ -56,7 +56,7 @@ def _numbers(ids: list[int]) -> array:
 
 INDEX_HEAD = struct.Struct("<QI")  # documents, data frames
 SUFFIX = ".tok.zst"
-CHUNK = 1 << 21  # bytes of text encoded at once, or one document
+CHUNK = 1 << 22  # bytes of text encoded at once, or one document
 
 
 @dataclass(frozen=True)
@@ -76,7 +76,7 @@ class Encoder:
     white space around these are encoded as a whole.
     """
 
-    KEPT = 500_000   # pieces in a generation; the two last generations are kept
+    KEPT = 600_000   # pieces in a generation; the two last generations are kept
     GROUP = 500      # pieces encoded as lines of one text
     SPACE = r"[\s\p{Z}\x{85}\x{0B}\x{1C}-\x{1F}]"
     UNEVEN = rf"\A{SPACE}|[ \n](?:{SPACE}|\z)"
@@ -129,13 +129,6 @@ class Encoder:
         for body, ids in zip(odd, self._plain([b if b[:1] == "\n" else f" {b}" for b in odd])):
             kept[body] = ids
 
-    def _ids(self, piece: str) -> bytes:
-        """Ids of a piece that was learned; a last comma or full stop is joined on."""
-        ids = self.kept.get(piece)
-        if ids is None:
-            ids = self.kept[piece] = self.kept[piece[:-1]] + self.tails[piece[-1]]
-        return ids
-
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as bytes; texts has no null."""
         if len(self.kept) > self.KEPT:
@@ -151,8 +144,12 @@ class Encoder:
         known = list(map(self.kept.get, pieces))
         new = [i for i, ids in enumerate(known) if ids is None]
         self._learn([pieces[i] for i in new])
+        kept, tails = self.kept, self.tails
         for i in new:
-            known[i] = self._ids(pieces[i])
+            piece = pieces[i]
+            if (ids := kept.get(piece)) is None:
+                ids = kept[piece] = kept[piece[:-1]] + tails[piece[-1]]
+            known[i] = ids
         sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
         flat = np.frombuffer(b"".join(known), "<u4")
         starts = np.cumsum(sizes, dtype=np.int32) - sizes  # a text has fewer than 2**31 ids

@@ -1,5 +1,6 @@
 """A run of the pipeline against plain Python and SQL, stage by stage."""
 
+import random
 import zlib
 
 import duckdb
@@ -64,7 +65,7 @@ def test_names_and_columns(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality rules", "SimHash near-dedup", "benchmark decontamination", "mixing to target weights",
         "token-ID files"]
-    docs = rows.table(spark, [(i, rows.words(__import__("random").Random(i), 120), "en", "a")
+    docs = rows.table(spark, [(i, rows.words(random.Random(i), 120), "en", "a")
                               for i in range(20)], extra=True)
     for _, step in corpus_pipeline.STAGES[:-1]:
         assert step(spark, docs, SMALL).columns == docs.columns

@@ -64,8 +64,7 @@ def test_a_reader_takes_only_the_frames_it_needs(spark, folder, library):
     made = [(i, rows.words(random.Random(i), 50), "en", "a") for i in range(200)]
     T.write(rows.table(spark, made), folder, tokenizer_path(), T.Layout(frame_bytes=4_000))
     files = [r["file"] for r in T.manifest_of(spark, folder).collect()]
-    found = T.read_documents(f"{folder}/files", files, {7, 190}) if False else T.read_documents(
-        folder, files, {7, 190})
+    found = T.read_documents(folder, files, {7, 190})
     assert {k: v.tolist() for k, v in found.items()} == {k: library(made[k][1]) + [0] for k in (7, 190)}
 
 
