@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.operators.quality import FEED_RULE, RUN_RULES
@@ -54,19 +54,26 @@ def blockers(
     required = required_checks(known, partitions)
     none = F.lit(None).cast("string")
 
-    def report(frame: DataFrame, code: str, **context) -> DataFrame:
+    def report(frame: DataFrame, code: str | Column, **context) -> DataFrame:
         names = ("status", *CHECK, "disposition")
         return frame.select(
-            "run_id", F.lit(code).alias("code"),
+            "run_id", (F.lit(code) if isinstance(code, str) else code).alias("code"),
             *[context.get(name, none).alias(name) for name in names])
 
     check = {name: F.col(name) for name in CHECK}
     expected_any = partitions.select("run_id").distinct()
     keyed = ["run_id", *CHECK]
-    repeated = (
-        rows.groupBy(*keyed).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-        .withColumn("copy", F.explode(F.sequence(F.lit(2), F.col("n"))))
-    )
+    # What is required and what was observed meet once, by check.
+    met = (
+        required.select(*keyed, F.lit(1).alias("asked"), F.lit(0).alias("seen"))
+        .unionByName(rows.select(*keyed, F.lit(0).alias("asked"), F.lit(1).alias("seen")))
+        .groupBy(*keyed)
+        .agg(F.sum("asked").cast("int").alias("asked"), F.sum("seen").cast("int").alias("seen")))
+    asked, seen, nothing = F.col("asked"), F.col("seen"), F.lit(0)
+    compared = met.withColumn("code", F.explode(F.concat(
+        F.array_repeat(F.lit("DUPLICATE_CHECK"), F.greatest(seen - 1, nothing)),
+        F.array_repeat(F.lit("UNEXPECTED_CHECK"), F.when(asked == 0, seen).otherwise(nothing)),
+        F.array_repeat(F.lit("MISSING_CHECK"), F.when(seen == 0, asked).otherwise(nothing)))))
     not_passed = rows.where(
         (F.col("severity") != "BLOCKING") | (F.col("disposition") != "PASS")
         | (F.col("failing_row_count") != 0))
@@ -75,10 +82,8 @@ def blockers(
         report(known.where(F.col("status") != "READY_FOR_REVIEW"), "RUN_NOT_READY",
                status=F.col("status")),
         report(known.join(expected_any, "run_id", "left_anti"), "NO_EXPECTED_PARTITIONS"),
-        report(repeated, "DUPLICATE_CHECK", **check),
-        report(rows.join(required, keyed, "left_anti"), "UNEXPECTED_CHECK", **check),
+        report(compared, F.col("code"), **check),
         report(not_passed, "RULE_NOT_PASSED", **check, disposition=F.col("disposition")),
-        report(required.join(rows, keyed, "left_anti"), "MISSING_CHECK", **check),
     ]
     out = parts[0]
     for part in parts[1:]:

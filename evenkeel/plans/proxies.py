@@ -92,8 +92,11 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
     customer, part = read(spark, sf_dir, "customer"), read(spark, sf_dir, "part")
     markets = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    segments = customer.agg(F.sort_array(F.collect_set("c_mktsegment"))).scalar()
-    plans = nation.withColumn("c_mktsegment", F.explode(segments)).where(
+    # The segments and the bounds of the calendar are a row each; taken once, they are not
+    # sought in customers and orders again by every table that is built on them.
+    segments = customer.agg(F.sort_array(F.collect_set("c_mktsegment"))).first()[0]
+    plans = nation.withColumn("c_mktsegment", F.explode(
+        F.array(*[F.lit(s) for s in segments]).cast("array<string>"))).where(
         ~((F.col("n_regionkey") == 4) & (F.col("c_mktsegment") == "MACHINERY")))
     types = part.select("p_type").distinct()
     codes = part.select("p_type", "p_brand").distinct()
@@ -117,9 +120,10 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .where(~((F.col("p_type") == "PROMO") & (F.col("claim_file_type") == "RX")))
         .withColumn("period", F.explode(periods))
     )
-    bounds = read(spark, sf_dir, "orders").agg(
+    found = read(spark, sf_dir, "orders").agg(
         F.trunc(F.to_date(F.min("o_orderdate")), "MM").alias("first_date"),
         F.last_day(F.to_date(F.max("o_orderdate"))).alias("last_date"))
+    bounds = spark.createDataFrame([tuple(found.first())], found.schema)
     return {
         "dim_market": conform(markets.select(
             F.col("n_nationkey").alias("market_key"), F.col("n_name").alias("market_id"),

@@ -632,5 +632,36 @@ SELECTS["routed_lines"] = """
     ON h.fam = rln.fam AND h.ver = rln.ver"""
 
 
+# The clean run: whole months of customers with orders, one paid claim an order.
+_CLEAN = f"""
+    WITH b AS (
+      SELECT CAST(date_trunc('month', od) AS DATE) AS month_start, CAST(n_nationkey AS BIGINT) AS market_key,
+             o_custkey, od, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, c_mktsegment IN {_MANAGED} AS managed
+      FROM oc WHERE c_acctbal >= 0 AND NOT (n_regionkey = 4 AND c_mktsegment = 'MACHINERY')),
+    e AS (SELECT month_start, market_key, count(DISTINCT o_custkey) AS n,
+            coalesce(CAST(sum(cents) FILTER (od <= DATE '1999-06-30') AS BIGINT), 0) AS paid,
+            count(*) FILTER (od <= DATE '1999-06-30') AS claims
+          FROM b WHERE NOT managed GROUP BY 1, 2)
+    SELECT 'RUN_0001' AS run_id, month_start, market_key, 'AVAILABLE' AS partition_status,
+      n AS member_months, n AS distinct_members, paid AS ffs_paid_cents,
+      CAST(paid AS DOUBLE) / n AS ffs_pmpm_cents, claims AS ffs_claim_count,
+      CAST(claims AS DOUBLE) * 1000 / n AS ffs_claims_per_1000_mm,
+      CASE WHEN claims > 0 THEN CAST(paid AS DOUBLE) / claims END AS ffs_avg_claim_cost_cents
+    FROM e"""
+_CHECKS = "(SELECT count(*) FROM mkt, months) + 8"
+SELECTS |= {
+    "clean_run_status": f"""SELECT 'RUN_0001' AS run_id, {_CHECKS} AS rule_results,
+        0 AS blocking_failures, 'READY_FOR_REVIEW' AS status""",
+    "clean_dq_failures": "SELECT * FROM dq WHERE FALSE",
+    "clean_preflight_blockers": f"SELECT * FROM ({SELECTS['preflight_blockers']}) WHERE FALSE",
+    "clean_assessment": f"""SELECT 'RUN_0001' AS run_id, {_CHECKS} AS expected_checks,
+        {_CHECKS} AS observed_checks, 0 AS blocker_count, 'submission-preflight-v1' AS policy_version,
+        TRUE AS eligible_for_submission""",
+    "clean_kpi_ffs_month": f"SELECT * FROM ({_CLEAN})",
+    "clean_partition_status": """SELECT 'RUN_0001' AS run_id, month_start, market_key,
+        'AVAILABLE' AS partition_status FROM mkt, months""",
+}
+
+
 def statements() -> dict[str, str]:
     return {name: with_ctes(select) for name, select in SELECTS.items()}
