@@ -36,7 +36,7 @@ LETTER = regex.compile(r"\p{L}")
 @dataclass(frozen=True)
 class Training:
     docs_per_language: int = 5_000
-    entries: int = 400_000   # rows of words, and of n-grams, over all languages
+    entries: int = 150_000   # rows of words, and of n-grams, over all languages
     longest: int = 5         # characters of an n-gram
     smoothing: float = 0.5
 

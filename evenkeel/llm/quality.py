@@ -129,10 +129,10 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     by_class = sums.where(chars > 0).select(
         "lang", F.array(*[F.col(c) / chars for c in CLASSES]).alias("classes"))
     # Long words keep their place in the total under one name.
-    counted = known.select("lang", F.explode(F.split("text", BLANKS)).alias("word")).where(
+    counted = stage(known.select("lang", F.explode(F.split("text", BLANKS)).alias("word")).where(
         "word <> ''").select("lang", F.when(
             F.char_length("word") <= SHORT_WORD, F.col("word")).otherwise("").alias("word")
-    ).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    ).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "short-words")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total")).where(
         F.col("total") >= rules.min_reference_words)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))

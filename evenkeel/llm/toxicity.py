@@ -38,7 +38,8 @@ SLOTS = 1 << 30  # wide, so that a rare word seldom shares the slot of a telling
 class Training:
     sample: int = 20_000
     terms: int = 256        # slots that the model has weights for
-    least_docs: int = 3     # documents of the sample that a term is in
+    least_docs: int = 5     # documents of the sample that a term is in
+    least_tells: float = 15.0  # chi-square of a term, which chance seldom reaches
     factors: int = 8
     epochs: int = 30
     batch: int = 256
@@ -125,6 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Mod
     expected = F.col("n") * (bad / (good + bad))
     told = counts.withColumn("tells", (F.col("b") - expected) ** 2 / expected / (
         1 - F.col("n") / (good + bad + 1.0)))
+    told = told.where(F.col("tells") >= how.least_tells)
     chosen = [r["slot"] for r in told.orderBy(F.desc("tells"), "slot").limit(how.terms).collect()]
     at = {s: i for i, s in enumerate(chosen)}
     kept = rows.select("toxic", F.array_intersect(
