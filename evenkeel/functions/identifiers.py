@@ -16,6 +16,7 @@ from evenkeel.functions.text import SPACE, quoted, strip
 REVIEW_WORDS = ("new", "renewal", "amend", "amendment", "amend1", "amend2", "amend3")
 PAYMENT_WORDS = ("fee", "vbp", "proposal")
 
+# The forms that dates and suffixes take in a published name.
 _DATES = rf"(\d{{6,9}}){SPACE}*-{SPACE}*(\d{{6,9}})"
 _RANGE = rf"{_DATES}{SPACE}*$"
 _YEARS = rf"((?:19|20)\d{{2}}){SPACE}*-{SPACE}*((?:19|20)\d{{2}}){SPACE}*$"
@@ -121,6 +122,7 @@ STEPS: Steps = [
     ("payment", lambda at: F.get(at("tokens"), F.lit(0))),
     ("fused", lambda at: F.coalesce(
         (F.size(at("tokens")) == 1) & F.contains(at("payment"), F.lit(".")), F.lit(False))),
+    # The wordings of the repairs.
     ("repairs", lambda at: F.filter(F.array(
         F.when(at("text") != at("trimmed"), "leading stray character removed from the identifier"),
         F.when(at("by_year"), "rating period given as years only; assumed full calendar years"),

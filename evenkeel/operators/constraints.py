@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.schemas import CODES
 
-# table -> keys that must be unique
+# Table -> keys that must be unique
 KEYS: dict[str, list[tuple[str, ...]]] = {
     "pipeline_run": [("run_id",)],
     "source_file": [("source_file_id",)],
@@ -53,7 +53,7 @@ _VERSION = ("claim_version_key", "claim_header_version", "claim_version_key")
 _CATEGORY = ("category_key", "dim_service_category", "category_key")
 _PROVIDER = ("provider_key", "dim_provider", "provider_key")
 
-# table -> (child columns, parent table, parent columns); comma separated when composite
+# Table -> (child columns, parent table, parent columns); comma separated when composite
 REFERENCES: dict[str, list[tuple[str, str, str]]] = {
     "source_file": [_RUN],
     "expected_partition": [_RUN],
@@ -84,7 +84,7 @@ REFERENCES: dict[str, list[tuple[str, str, str]]] = {
         ("reverses_transaction_id", "fact_capitation_transaction", "capitation_transaction_id")],
 }
 
-# table -> columns that may be NULL once curated
+# Table -> columns that may be NULL once curated
 OPTIONAL: dict[str, tuple[str, ...]] = {
     "pipeline_run": ("ended_at",),
     "source_file": ("market_id", "month_start"),
@@ -114,7 +114,7 @@ _POPULATION = [_one_of("program", "program"), _one_of("benefit_scope", "benefit_
                _one_of("delivery_system", "delivery_system")]
 _CLAIM = [_one_of("claim_file_type", "file_type"), _one_of("record_type", "record_type")]
 
-# table -> (name, condition that must not be false)
+# Table -> (name, condition that must not be false)
 CHECKS: dict[str, list[tuple[str, str]]] = {
     "pipeline_run": [
         _one_of("status", "run_status"),
