@@ -56,7 +56,7 @@ def _numbers(ids: list[int]) -> array:
 
 INDEX_HEAD = struct.Struct("<QI")  # documents, data frames
 SUFFIX = ".tok.zst"
-CHUNK = 1 << 22  # bytes of text encoded at once, or one document
+CHUNK = 3 << 20  # bytes of text encoded at once, or one document
 
 
 @dataclass(frozen=True)
@@ -296,6 +296,7 @@ def _write_task(folder: str, tokenizer_path: str, layout: Layout):
                     if writer.total >= layout.file_bytes:
                         close()
                         writer = None
+            pa.default_memory_pool().release_unused()
         if writer is not None:
             close()
         if done:
