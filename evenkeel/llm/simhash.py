@@ -300,15 +300,14 @@ def keep_one(docs: DataFrame, shingle: int = 3, within: int = 2) -> DataFrame:
 
     Of a component, the row with the smallest id stays; of rows that repeat this id,
     the one whose text has the smallest digest, and one of those that are the same.
-    Rows of components without any id all stay.
+    Of a component without any id, the row whose text has the smallest digest stays.
     """
     keyed = packed(docs, "doc_id", "text").withColumn("_digest", F.xxhash64("text"))
     found = stage(near_duplicates(docs, shingle, within, digest=True), "duplicates")
-    named = found.where(F.col("component_id").isNotNull())
-    kept = named.where("doc_id = component_id").groupBy("root").agg(F.min("digest").alias("_least"))
-    once = named.join(kept, "root").withColumn(
-        "_stays", F.coalesce((F.col("doc_id") == F.col("component_id"))
-                             & (F.col("digest") == F.col("_least")), F.lit(False)))
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = found.where(first).groupBy("root").agg(F.min("digest").alias("_least"))
+    once = found.join(kept, "root").withColumn(
+        "_stays", first & (F.col("digest") == F.col("_least")))
     gone = once.where("not _stays").select("doc_id", "digest").distinct()
     twice = once.where("_stays").groupBy("doc_id", "digest").agg(
         F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "digest")

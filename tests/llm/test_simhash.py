@@ -119,3 +119,11 @@ def test_one_of_each_group_stays_with_its_columns(spark):
 @pytest.mark.parametrize("call", [simhash.near_duplicates, simhash.keep_one])
 def test_empty_table(spark, call):
     assert call(rows.table(spark, [])).count() == 0
+
+
+def test_one_row_of_a_group_without_ids_stays(spark):
+    draw = random.Random(8)
+    one, other = rows.words(draw, 300), rows.words(draw, 300)
+    made = [(None, one, "en", "a")] * 3 + [(None, one.upper(), "en", "a"), (None, other, "en", "a")]
+    left = simhash.keep_one(rows.table(spark, made)).collect()
+    assert sorted(r["text"].lower() for r in left) == sorted([one, other])
