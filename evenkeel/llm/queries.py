@@ -5,12 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evenkeel.llm import (
-    decontaminate, extraction, language, mixing, oracle, quality, simhash, substrings,
-    token_files, toxicity, warc)
+    conversation_trie, decontaminate, extraction, language, mixing, oracle, quality, simhash,
+    substrings, token_files, toxicity, warc)
 from evenkeel.llm.common import held_out, table, tokenizer_path
 from evenkeel.session import shared_folder
 
@@ -95,6 +95,40 @@ def op10_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "_found.lang_pred", "_found.score")
 
 
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Digested turns of conversations that begin as the first one of their hundred does.
+
+    Conversation c has the first h turns of conversation c - c % 100, and then its own
+    without its first h; h is crc32 of the decimal id, modulo 6.
+    """
+    order = [F.col("turn").asc_nulls_first(), "role", "digest"]
+    ranked = turns.withColumn("place", F.row_number().over(
+        Window.partitionBy("conv_id").orderBy(*order)).cast("long"))
+    taken = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    own = ranked.where(F.col("place") > taken)
+    heads = ranked.where((F.pmod("conv_id", F.lit(100)) == 0) & (F.col("place") < 6)).withColumnRenamed(
+        "conv_id", "base")
+    begun = turns.select("conv_id").distinct().withColumn(
+        "base", F.col("conv_id") - F.pmod("conv_id", F.lit(100))).join(heads, "base").where(
+        F.col("place") <= taken)
+    columns = ["conv_id", F.col("place").alias("turn"), "role", "digest", "chars"]
+    return own.select(*columns).unionByName(begun.select(*columns))
+
+
+def prefix_trie(turns: DataFrame) -> DataFrame:
+    digested = conversation_trie.digested(turns)
+    tree, ends = conversation_trie.trie(rebuilt(digested), digested.select("conv_id"))
+    hashed = conversation_trie.ends_digests(ends)
+    return tree.join(hashed, "node", "left").fillna(conversation_trie.NO_TURNS, ["ends_sha256"]).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        "ends_sha256")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_gray_order_simhash,
@@ -107,6 +141,7 @@ def queries() -> dict[str, Query]:
         op8_seekable_token_files,
         op9_tree_model_extraction,
         op10_word_first_language,
+        op13_conversation_trie,
     )}
 
 
