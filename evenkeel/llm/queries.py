@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm import (
     conversation_trie, decontaminate, extraction, language, mixing, oracle, quality, simhash,
-    substrings, token_files, toxicity, warc)
+    substrings, token_alignment, token_files, toxicity, warc)
 from evenkeel.llm.common import held_out, table, tokenizer_path
 from evenkeel.session import shared_folder
 
@@ -95,6 +95,12 @@ def op10_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "_found.lang_pred", "_found.score")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the two tokenizations of every document are linked, and how often the pairs are corpus-wide."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.align(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))[0]
+
+
 def rebuilt(turns: DataFrame) -> DataFrame:
     """Digested turns of conversations that begin as the first one of their hundred does.
 
@@ -141,6 +147,7 @@ def queries() -> dict[str, Query]:
         op8_seekable_token_files,
         op9_tree_model_extraction,
         op10_word_first_language,
+        op12_token_alignment,
         op13_conversation_trie,
     )}
 

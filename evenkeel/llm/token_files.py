@@ -73,7 +73,8 @@ class Encoder:
     The pre-tokenizer always cuts before a space or a line break that no white space
     surrounds, and between a letter and a last comma or full stop. So a text is the
     sequence of its pieces, and every distinct piece is encoded once; texts with other
-    white space around these are encoded as a whole.
+    white space around these are encoded as a whole, and so are texts that hold the string
+    of an added token, unless ``plain`` makes it ordinary text.
     """
 
     KEPT = 500_000   # pieces in a generation; the two last generations are kept
@@ -81,16 +82,18 @@ class Encoder:
     SPACE = r"[\s\p{Z}\x{85}\x{0B}\x{1C}-\x{1F}]"
     UNEVEN = rf"\A{SPACE}|[ \n](?:{SPACE}|\z)"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.line, = self._plain(["\n"])
-        self.tails = dict(zip(",.", self._plain([",", "."])))
+        self.tokenizer.encode_special_tokens = plain
+        self.added = [] if plain else [
+            t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.line, = self.whole(["\n"])
+        self.tails = dict(zip(",.", self.whole([",", "."])))
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[bytes]:
         return [_numbers(e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -99,10 +102,10 @@ class Encoder:
         found, width = [], len(self.line)
         for i in range(0, len(items), self.GROUP):
             part = items[i:i + self.GROUP]
-            raw, = self._plain(["\n".join(part)])
+            raw, = self.whole(["\n".join(part)])
             cuts = (4 * np.flatnonzero(np.frombuffer(raw, "<u4") == np.frombuffer(self.line, "<u4")[0])).tolist()
             if width != 4 or len(cuts) != len(part) - 1:
-                found += self._plain(part)
+                found += self.whole(part)
             else:
                 found += [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
         return found
@@ -126,21 +129,14 @@ class Encoder:
         items = [b[1:] if b[:1] == "\n" else f" {b}" for b in bodies]
         for body, ids in zip(bodies, self._lines(items)):
             kept[body] = self.line + ids if body[:1] == "\n" else ids
-        for body, ids in zip(odd, self._plain([b if b[:1] == "\n" else f" {b}" for b in odd])):
+        for body, ids in zip(odd, self.whole([b if b[:1] == "\n" else f" {b}" for b in odd])):
             kept[body] = ids
 
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        """Ids of each text as bytes; texts has no null."""
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces: those between the spaces of a text, with a space before each
+        line break, of which none is empty. A piece stands after a space or begins with a line break."""
         if len(self.kept) > self.KEPT:
             self.kept, self.older = {}, self.kept
-        uneven = pc.match_substring_regex(texts, self.UNEVEN).to_numpy(zero_copy_only=False)
-        even = texts.filter(pa.array(~uneven))
-        whole = iter(self._plain(texts.filter(pa.array(uneven)).to_pylist()))
-        # Each text begins a line of its own, whose break is dropped in the end.
-        split = pc.split_pattern(pc.binary_join_element_wise(
-            pa.scalar("\n"), pc.replace_substring(even, "\n", " \n"), ""), " ")
-        coded = split.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
         known = list(map(self.kept.get, pieces))
         new = [i for i, ids in enumerate(known) if ids is None]
         self._learn([pieces[i] for i in new])
@@ -150,6 +146,25 @@ class Encoder:
             if (ids := kept.get(piece)) is None:
                 ids = kept[piece] = kept[piece[:-1]] + tails[piece[-1]]
             known[i] = ids
+        return known
+
+    def uneven(self, texts: pa.Array) -> np.ndarray:
+        """Which texts are to be encoded as a whole."""
+        found = pc.match_substring_regex(texts, self.UNEVEN)
+        for added in self.added:
+            found = pc.or_(found, pc.match_substring(texts, added))
+        return found.to_numpy(zero_copy_only=False)
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as bytes; texts has no null."""
+        uneven = self.uneven(texts)
+        even = texts.filter(pa.array(~uneven))
+        whole = iter(self.whole(texts.filter(pa.array(uneven)).to_pylist()))
+        # Each text begins a line of its own, whose break is dropped in the end.
+        split = pc.split_pattern(pc.binary_join_element_wise(
+            pa.scalar("\n"), pc.replace_substring(even, "\n", " \n"), ""), " ")
+        coded = split.flatten().dictionary_encode()
+        known = self.ids_of(coded.dictionary.to_pylist())
         sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
         flat = np.frombuffer(b"".join(known), "<u4")
         starts = np.cumsum(sizes, dtype=np.int32) - sizes  # a text has fewer than 2**31 ids
@@ -167,9 +182,9 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=1)
-def encoder_of(path: str) -> Encoder:
+def encoder_of(path: str, plain: bool = False) -> Encoder:
     """One encoder for all tasks of a worker, so that what it has learned lasts."""
-    return Encoder(path)
+    return Encoder(path, plain)
 
 
 class FileWriter:
