@@ -5,12 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evenkeel.llm import (
-    conversation_trie, decontaminate, extraction, language, mixing, oracle, quality, simhash,
-    substrings, token_alignment, token_files, toxicity, warc)
+    conversation_trie, decontaminate, extraction, language, mixing, oracle, personal_data, quality,
+    simhash, substrings, token_alignment, token_files, toxicity, warc)
 from evenkeel.llm.common import held_out, table, tokenizer_path
 from evenkeel.session import shared_folder
 
@@ -95,6 +95,25 @@ def op10_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "_found.lang_pred", "_found.score")
 
 
+def personal_data_of(docs: DataFrame) -> DataFrame:
+    """Numbers and digest of the base spans of every document, and all its spans as a string."""
+    def written(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda x: x["base"])
+    return personal_data.find(docs).select(
+        "doc_id", *map(number, personal_data.KINDS),
+        F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+def op11_weakly_supervised_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: exact rules, and what a weakly supervised classifier adds."""
+    return personal_data_of(table(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the two tokenizations of every document are linked, and how often the pairs are corpus-wide."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -147,6 +166,7 @@ def queries() -> dict[str, Query]:
         op8_seekable_token_files,
         op9_tree_model_extraction,
         op10_word_first_language,
+        op11_weakly_supervised_pii,
         op12_token_alignment,
         op13_conversation_trie,
     )}
