@@ -50,7 +50,6 @@ def test_run_equals_brute_force(spark):
     con.register("documents", left)
     taken = con.sql(oracle.STATEMENTS["op4_min_cost_mix"]).df()
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     text, want, at = dict(zip(left.doc_id, left.text)), [], 0
     for r in taken.sort_values("doc_id").itertuples():
         ids = np.array(tokenizer.encode(text[r.doc_id], add_special_tokens=False).ids + [0], "<u4")

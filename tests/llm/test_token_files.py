@@ -21,7 +21,6 @@ ODD = ["", "\n", " ", "a\n", "\na", "  a", " a ", "x\n\ny", "x\n\n\ny", "a,b.",
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
