@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,4 +66,34 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SCRATCH: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables staged within, for a block that writes its result elsewhere.
+
+    A frame over such a table must not be read after the block.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` for a result that is to outlive the ``scratch`` block around it."""
+    held = _SCRATCH.pop() if _SCRATCH else None
+    try:
+        return stage(df, name)
+    finally:
+        if held is not None:
+            _SCRATCH.append(held)
