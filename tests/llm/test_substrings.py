@@ -64,6 +64,33 @@ def test_a_passage_in_every_document(spark):
     assert got == brute(made, 50)
 
 
+def test_two_texts_under_one_id(spark):
+    draw = random.Random(4)
+    shared, own = rows.words(draw, 80), " ".join(f"own{i}" for i in range(80))
+    made = [(1, shared, "en", "a"), (2, shared, "en", "a"), (2, own, "en", "a"), (2, own, "en", "a"),
+            (3, f"{own} {shared}", "en", "a")]
+    got = sorted((tuple(r) for r in S.remove_passages(rows.table(spark, made)).collect()), key=str)
+    assert got == brute(made, 50)
+    assert [r[2] for r in got] == [0, 0, 0, 80, 160]
+
+
+@pytest.mark.parametrize("shard", [1, 4])
+def test_large_shards_are_halved(spark, shard):
+    """Texts that share parts of one passage around an anchor, of many lengths; some repeat its grams."""
+    draw = random.Random(shard)
+    passage = [f"p{i}" for i in range(120)]
+    made = []
+    for i in range(90):
+        a, b = sorted(draw.sample(range(121), 2))
+        middle = " ".join(passage[a:b])
+        again = " ".join(passage[20:32]) if i % 7 == 0 else ""
+        made.append((i // 2 if i % 11 == 0 else i, f"{rows.words(draw, 30)} {middle} {again} {rows.words(draw, 30)}",
+                     "en", "a"))
+    got = sorted((tuple(r) for r in S.remove_passages(
+        rows.table(spark, made), S.Passages(shard_segments=shard)).collect()), key=str)
+    assert got == brute(made, 50)
+
+
 def test_automaton_knows_the_first_document():
     draw = random.Random(7)
     for _ in range(60):
