@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.operators.claims import run_cutoff
 from evenkeel.operators.exposure import first_landed
 from evenkeel.operators.kpis import matched
 from evenkeel.operators.quality import mapped_codes, reference_gaps
+from evenkeel.sources.commits import CommitLog
 
 MART = ["run_id", "month_start", "market_key", "plan_key", "delivery_system", "eligibility_group"]
 
@@ -184,10 +186,42 @@ class ReleaseExists(ValueError):
     """A release identifier stands for one manifest only."""
 
 
-def write_release(releases: DataFrame | None, release: DataFrame, path: str) -> None:
-    """Append one release to the manifest; a known release is never replaced."""
-    if releases is not None:
-        known = release.join(releases.select("release_id"), "release_id", "left_semi")
-        if known.take(1):
-            raise ReleaseExists(known.first()["release_id"])
-    release.write.mode("append").parquet(path)
+# The fields of a release.
+RELEASE = ("release_id", "run_id", "definition_version", "mapping_version", "rule_versions",
+           "expected_partitions", "passed_partitions", "cutoff", "provisional_months", "approver",
+           "approved_at", "status")
+
+
+def write_release(log: CommitLog, release: dict) -> dict:
+    """Adds one release to the manifest; a known release is never replaced.
+
+    Each release is a file that its writer alone created, so of two that write the same
+    release at once one is refused.
+    """
+    if set(release) != set(RELEASE):
+        raise ValueError(f"a release has the fields {', '.join(RELEASE)}")
+
+    def decide(entries: list[dict]) -> dict:
+        if any(e["release_id"] == release["release_id"] for e in entries):
+            raise ReleaseExists(release["release_id"])
+        return release
+
+    return log.append(decide)
+
+
+def release_manifest(spark: SparkSession, log: CommitLog) -> DataFrame:
+    """Every release in the order of the log, the first with number 1."""
+    schema = ("release_number long, release_id string, run_id string, definition_version string, "
+              "mapping_version string, rule_versions array<string>, expected_partitions long, "
+              "passed_partitions long, cutoff date, provisional_months array<date>, approver string, "
+              "approved_at timestamp, status string")
+    return spark.createDataFrame([
+        (n, *[_typed(f, e[f]) for f in RELEASE]) for n, e in enumerate(log.entries(), 1)], schema)
+
+
+def _typed(field: str, value):
+    if field == "cutoff":
+        return date.fromisoformat(value)
+    if field == "provisional_months":
+        return [date.fromisoformat(v) for v in value]
+    return datetime.fromisoformat(value) if field == "approved_at" else value

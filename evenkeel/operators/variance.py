@@ -66,6 +66,52 @@ def ffs_variance(ffs_month: DataFrame) -> DataFrame:
         F.coalesce(material, F.lit(False)).alias("is_material"))
 
 
+def _apportioned(ffs_month: DataFrame, category_month: DataFrame) -> DataFrame:
+    """The cents of a market and month over its categories, to the cent.
+
+    Lines do not always add up to their headers, so the month's paid cents are shared in
+    proportion to category cents: each category gets the whole cents of its share, and the
+    cents that are left go one by one to the largest remainders, the lower category first
+    among equal ones. A month without category cents is one part without a category.
+    """
+    keys = ["run_id", "market_key", "month_start"]
+    month = Window.partitionBy(*keys)
+    parts = ffs_month.select(*keys, "ffs_paid_cents").join(
+        category_month.where("category_paid_cents > 0").select(*keys, "category_key", "category_paid_cents"),
+        keys, "left").withColumn("whole", F.sum("category_paid_cents").over(month))
+    wide = F.col("ffs_paid_cents").cast("decimal(19,0)") * F.col("category_paid_cents").cast("decimal(19,0)")
+    shared = parts.withColumn("wide", wide).withColumn(
+        "share", F.coalesce(F.expr("wide div whole"), F.col("ffs_paid_cents"))).withColumn(
+        "rest", F.coalesce(F.expr("wide % whole"), F.lit(0)))
+    left = F.col("ffs_paid_cents") - F.sum("share").over(month)
+    place = F.row_number().over(month.orderBy(F.desc("rest"), "category_key"))
+    return shared.withColumn("left", left).withColumn("place", place).select(
+        *keys, "category_key", (F.col("share") + (F.col("place") <= F.col("left")).cast("long")).alias("cents"))
+
+
+def category_contributions(ffs_month: DataFrame, category_month: DataFrame) -> DataFrame:
+    """What each category adds to the change of a market's spend from the month before.
+
+    Contributions of a market and month add up to its change in every case. The percentage
+    of the change is unavailable where nothing changed, and may exceed 100 where categories
+    offset each other. Months without the month before are not compared.
+    """
+    cents = _apportioned(ffs_month, category_month)
+    keys = ["run_id", "market_key", "month_start", "category_key"]
+    zero = F.lit(0).cast("long")
+    sides = cents.select(*keys, F.col("cents").alias("current"), zero.alias("prior")).unionByName(
+        cents.select("run_id", "market_key", F.add_months("month_start", 1).alias("month_start"), "category_key",
+                     zero.alias("current"), F.col("cents").alias("prior")))
+    both = sides.groupBy(*keys).agg(F.sum("current").alias("current_cents"), F.sum("prior").alias("prior_cents"))
+    change = _with_prior(ffs_month).where("prior_paid_cents is not null").select(
+        *keys[:3], (F.col("ffs_paid_cents") - F.col("prior_paid_cents")).alias("change_cents"))
+    contribution = F.col("current_cents") - F.col("prior_cents")
+    return both.join(change, keys[:3]).select(
+        *keys, "current_cents", "prior_cents", contribution.alias("contribution_cents"), "change_cents",
+        F.when(F.col("change_cents") != 0, contribution.cast("double") * 100.0 / F.col("change_cents")).alias(
+            "contribution_pct"))
+
+
 def _median(values: Column) -> Column:
     ordered = F.array_sort(values)
     middle = F.size(values).cast("double") / 2

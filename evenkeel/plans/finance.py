@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date, datetime
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from evenkeel.operators import claims, exposure, kpis, ledger, preflight, quality
 from evenkeel.schemas import TABLES
 from evenkeel.session import stage
+from evenkeel.sources import snapshots
 from evenkeel.sources import tables as store
 
 RAW = ("raw_eligibility_span", "raw_claim_header", "raw_claim_line", "raw_payment_transaction",
@@ -241,31 +243,64 @@ def view_of_run(spark: SparkSession, view: str, run_id: str) -> DataFrame:
         args={"view": view, "run_id": run_id})
 
 
+def release(run: FinanceRun, release_id: str, definition_version: str, provisional_from: date,
+            approver: str, approved_at: datetime) -> dict:
+    """The manifest entry of a run: what was expected, what passed, and under which versions.
+
+    What the driver reads is bounded by the rules and by the months of the calendar.
+    """
+    row = run["pipeline_run"].where(F.col("run_id") == run.run_id).first()
+    rules = run.dq_result.select("rule_id", "rule_version").distinct().collect()
+    passed = run.partition_status.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("partition_status") == "AVAILABLE").alias("passed")).first()
+    months = run["dim_date"].where(F.col("month_start") >= F.lit(provisional_from)).select(
+        "month_start").distinct().collect()
+    return {
+        "release_id": release_id, "run_id": run.run_id, "definition_version": definition_version,
+        "mapping_version": run.mapping_version,
+        "rule_versions": sorted(f"{r['rule_id']}={r['rule_version']}" for r in rules),
+        "expected_partitions": passed["n"], "passed_partitions": passed["passed"],
+        "cutoff": row["as_of_cutoff"].isoformat(),
+        "provisional_months": sorted(m["month_start"].isoformat() for m in months),
+        "approver": approver, "approved_at": approved_at.isoformat(),
+        "status": run.run_status.first()["status"]}
+
+
 def execute(
     spark: SparkSession, root: str, run_id: str, mapping_version: str, config_hash: str
 ) -> FinanceRun:
-    """Run over stored tables, writing each curated table once.
+    """Run over stored tables, publishing all curated tables with one commit.
 
-    Later stages read what earlier ones wrote, so nothing is computed twice and a
-    lost executor costs a task, not a lineage. A completed run is read back
-    instead of computed again; one of another configuration is refused.
+    Tables are written to a folder of the attempt; later stages read what earlier ones
+    wrote, so nothing is computed twice and a lost executor costs a task, not a lineage.
+    Readers see the run when its commit is there, and then all of it. A committed run is
+    read back instead of computed again; one with another configuration or mapping is
+    refused. Of two attempts at one run, the first to commit stands for it.
     """
     inputs = store.scan_all(spark, root, [*OPERATIONAL, *RAW, *DIMENSIONS])
-    if store.stored_status(inputs["pipeline_run"], run_id, config_hash) in store.COMPLETED:
-        written = store.scan_all(spark, root, list(CURATED), run_id)
-        return FinanceRun(inputs, run_id, mapping_version, written)
-    written = {}
-    for table in CURATED:
-        run = FinanceRun(inputs, run_id, mapping_version, dict(written))
-        store.write(run.curated_table(table), root, table)
-        written[table] = store.scan(spark, root, table, run_id)
-    run = FinanceRun(inputs, run_id, mapping_version, written)
-    # The run's own row is replaced, so it is read in full before it is written.
-    row = inputs["pipeline_run"].where(F.col("run_id") == run_id).first().asDict()
-    row["status"] = run.run_status.first()["status"]
-    names = TABLES["pipeline_run"].names
-    store.write(
-        store.literal_rows(spark, "pipeline_run", [tuple(row[n] for n in names)]),
-        root, "pipeline_run")
-    inputs["pipeline_run"] = store.scan(spark, root, "pipeline_run")
-    return run
+    asked = {"config_hash": config_hash, "mapping_version": mapping_version}
+    store.stored_status(inputs["pipeline_run"], run_id, config_hash)
+    entry = snapshots.committed(spark, root).get(run_id)
+    if entry is not None:
+        snapshots.check(entry, **asked)
+    else:
+        attempt, written = snapshots.Attempt(spark, root), {}
+        for table in CURATED:
+            run = FinanceRun(inputs, run_id, mapping_version, dict(written))
+            written[table] = attempt.write(run.curated_table(table), table)
+        status = FinanceRun(inputs, run_id, mapping_version, written).run_status.first()["status"]
+        attempt.write(inputs["pipeline_run"].where(F.col("run_id") == run_id).withColumn(
+            "status", F.lit(status)), "pipeline_run")
+        snapshots.check(attempt.commit(run_id, status=status, **asked), **asked)
+    return published(spark, root, run_id)
+
+
+def published(spark: SparkSession, root: str, run_id: str) -> FinanceRun:
+    """A committed run, read from its snapshot."""
+    entry = snapshots.committed(spark, root).get(run_id)
+    if entry is None:
+        raise ValueError(f"{run_id} is not published")
+    inputs = store.scan_all(spark, root, [*OPERATIONAL, *RAW, *DIMENSIONS])
+    inputs["pipeline_run"] = snapshots.with_committed(inputs["pipeline_run"], spark, root)
+    return FinanceRun(inputs, run_id, entry["mapping_version"], {
+        t: snapshots.read(spark, root, t, {run_id: entry}) for t in CURATED})

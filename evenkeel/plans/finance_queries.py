@@ -100,6 +100,9 @@ def queries() -> dict[str, Query]:
         "payment_month": _over_run(lambda r: variance.payment_month(r.payments)),
         "ffs_variance": _over_run(
             lambda r: variance.ffs_variance(r.view("v_kpi_ffs_month")), evidence),
+        "category_contributions": _over_run(
+            lambda r: variance.category_contributions(
+                r.view("v_kpi_ffs_month"), r.view("v_ffs_category_month")), evidence),
         "pmpm_anomalies": _over_run(
             lambda r: variance.pmpm_anomalies(
                 r.view("v_kpi_ffs_month"), PROVISIONAL_FROM, MINIMUM_MEMBER_MONTHS), evidence),

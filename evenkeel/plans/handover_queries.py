@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.operators import exposure, extracts, kpis
+from evenkeel.operators import exposure, extracts, kpis, reconciliation
 from evenkeel.plans import document_proxies, document_queries, finance, proxies
-from evenkeel.plans.finance_queries import Query
+from evenkeel.plans.finance_queries import PROVISIONAL_FROM, Query
 from evenkeel.session import shared_folder
 from evenkeel.sources import documents, tables
 from evenkeel.sources.arrivals import partition_lines
+from evenkeel.sources.commits import CommitLog
 
 CONFIG = "star"  # configuration hash of the proxy run
 # Fixed value: the caveat that a readiness document carries about its assessments.
@@ -110,7 +112,51 @@ def stored_run(spark, sf_dir: str) -> DataFrame:
     return tables.table_counts(first.curated).join(replayed, "table_name")
 
 
+def published_runs(spark, sf_dir: str) -> DataFrame:
+    """Rows of every curated table of two published runs, and of the first one's replay.
+
+    The first run is asked for once more with another mapping, which must be refused.
+    """
+    root, run = _folder(spark, "published"), proxies.finance_run(spark, sf_dir)
+    both = (proxies.RUN, "RUN_0002")
+    for table in (*finance.OPERATIONAL, *finance.RAW, *finance.DIMENSIONS):
+        rows = run[table]
+        if "run_id" in rows.columns:
+            rows = rows.unionByName(rows.withColumn("run_id", F.lit(both[1])))
+        tables.write(rows, root, table)
+    for run_id in (*both, proxies.RUN):
+        finance.execute(spark, root, run_id, proxies.MAPPING, CONFIG)
+    try:
+        finance.execute(spark, root, proxies.RUN, "MAP_V2", CONFIG)
+    except tables.RunConflict:
+        pass
+    else:
+        raise AssertionError("a published run was replaced by one of another mapping")
+    counts = [tables.table_counts(finance.published(spark, root, r).curated).withColumn("run_id", F.lit(r))
+              for r in both]
+    return counts[0].unionByName(counts[1])
+
+
+def release_manifest(spark, sf_dir: str) -> DataFrame:
+    """Two releases of the run as the manifest holds them; the first one cannot be written again."""
+    log = CommitLog(spark, _folder(spark, "releases"))
+    run = proxies.finance_run(spark, sf_dir).staged(
+        "claim_header_version", "member_assignment", "claim_line_version", "fact_claim_header_final", "dq_result")
+    first = finance.release(run, "REL_1", "KPI_V1", PROVISIONAL_FROM, "reviewer", datetime(1999, 8, 1))
+    for release in (first, {**first, "release_id": "REL_2", "approver": "second reviewer"}):
+        reconciliation.write_release(log, release)
+    try:
+        reconciliation.write_release(log, {**first, "approver": "somebody else"})
+    except reconciliation.ReleaseExists:
+        pass
+    else:
+        raise AssertionError("a release was written twice")
+    held = reconciliation.release_manifest(spark, log)
+    return held.withColumn("rule_versions", F.array_join("rule_versions", ",")).withColumn(
+        "provisional_months", F.array_join(F.col("provisional_months").cast("array<string>"), ","))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         archive_csv, extract_csv, measures_csv, readiness_summary, readiness_json,
-        stored_assessment, routed_lines, stored_exposure, stored_run)}
+        stored_assessment, routed_lines, stored_exposure, stored_run, published_runs, release_manifest)}

@@ -304,6 +304,18 @@ _SPAN = """SELECT span_id AS eligibility_span_id, 'RUN_0001' AS run_id, member_k
     'SRC_raw_eligibility_span' AS source_file_id, source_row_id FROM span"""
 _FILE = """'SRC_CLAIMS_' || market_id || '_' || CAST(date_trunc('month', service_end) AS DATE)"""
 
+def _marked(*columns: str) -> str:
+    """Values behind their lengths, joined; a null is marked."""
+    return " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) || ';', 'N;')"
+                       for c in columns)
+
+
+def _lane(place: int) -> str:
+    """The sum of one of four 64-bit parts of the rows' digests, as text."""
+    part = f"substr(sha256(t), {16 * place + 1}, 16)"
+    return f"CAST(sum(CAST(CAST('0x' || {part} AS UBIGINT) AS HUGEINT)) AS VARCHAR)"
+
+
 SELECTS: dict[str, str] = {
     "eligibility_spans": _SPAN,
     "member_months": """SELECT 'RUN_0001' AS run_id, member_key, month_start, market_key, plan_key,
@@ -349,23 +361,22 @@ SELECTS: dict[str, str] = {
     "source_files": """
         SELECT 'SRC_CLAIMS_' || f.market_id || '_' || f.month_start AS source_file_id,
                f.market_id, f.month_start, coalesce(c.n, 0) AS row_count,
-               coalesce(c.h, substr(sha256('0'), 1, 16)) AS content_hash
+               coalesce(c.h, sha256('0,0,0,0')) AS content_hash
         FROM files f LEFT JOIN (
           SELECT market_id, month_start, count(*) AS n,
-                 substr(sha256(CAST(sum(CAST(CAST('0x' || substr(sha256(t), 1, 12) AS BIGINT)
-                   AS HUGEINT)) AS VARCHAR)), 1, 16) AS h
+                 sha256(""" + " || ',' || ".join(_lane(i) for i in range(4)) + """) AS h
           FROM (
             SELECT market_id, CAST(date_trunc('month', service_end) AS DATE) AS month_start,
-              concat_ws('|', 'SRC_CLAIMS_' || market_id || '_'
-                  || CAST(date_trunc('month', service_end) AS DATE), vkey, 'RUN_0001', fam, ver,
-                coalesce(replaces, ''), member_id, market_id, plan_id, file_type, record_type,
-                status, service_start, service_end, adjudicated,
-                coalesce(CAST(cents AS VARCHAR), '')) AS t
+              """ + _marked(
+                  "'SRC_CLAIMS_' || market_id || '_' || CAST(date_trunc('month', service_end) AS DATE)", "vkey",
+                  "'RUN_0001'", "fam", "ver", "replaces", "member_id", "market_id", "plan_id", "file_type",
+                  "record_type", "status", "service_start", "service_end", "adjudicated", "cents") + """ AS t
             FROM rhd
             UNION ALL
             SELECT h.market_id, CAST(date_trunc('month', h.service_end) AS DATE),
-              concat_ws('|', 'SRC_raw_claim_line', l.source_row_id, 'RUN_0001', l.fam, l.ver,
-                l.line_number, l.service_code, l.provider_id, l.units, l.cents)
+              """ + _marked(
+                  "'SRC_raw_claim_line'", "l.source_row_id", "'RUN_0001'", "l.fam", "l.ver", "l.line_number",
+                  "l.service_code", "l.provider_id", "l.units", "l.cents") + """
             FROM rln l JOIN rhd h ON h.fam = l.fam AND h.ver = l.ver)
           GROUP BY ALL) c USING (market_id, month_start)""",
     "dq_results": "SELECT * FROM dq",
@@ -497,6 +508,31 @@ SELECTS |= {
             WHEN p.ffs_paid_cents = 0 THEN k.ffs_paid_cents >= 1000000 END, FALSE) AS is_material
         FROM kffs k LEFT JOIN kffs p ON p.market_key = k.market_key
           AND p.month_start = CAST(k.month_start - INTERVAL 1 MONTH AS DATE)""",
+    "category_contributions": """
+        WITH parts AS (
+          SELECT k.month_start, k.market_key, k.ffs_paid_cents AS s, c.category_key, c.category_paid_cents AS c,
+            sum(c.category_paid_cents) OVER (PARTITION BY k.month_start, k.market_key) AS w
+          FROM kffs k LEFT JOIN (SELECT * FROM catm WHERE category_paid_cents > 0) c USING (month_start, market_key)),
+        shares AS (SELECT *, CASE WHEN w IS NULL THEN CAST(s AS HUGEINT) ELSE CAST(s AS HUGEINT) * c // w END AS share,
+            CASE WHEN w IS NULL THEN CAST(0 AS HUGEINT) ELSE CAST(s AS HUGEINT) * c % w END AS rest FROM parts),
+        given AS (SELECT month_start, market_key, category_key, CAST(share + CASE WHEN
+              row_number() OVER (PARTITION BY month_start, market_key ORDER BY rest DESC, category_key NULLS FIRST)
+              <= s - sum(share) OVER (PARTITION BY month_start, market_key) THEN 1 ELSE 0 END AS BIGINT) AS cents
+          FROM shares),
+        pairs AS (SELECT k.month_start, k.market_key, k.ffs_paid_cents - p.ffs_paid_cents AS change_cents,
+            p.month_start AS before FROM kffs k JOIN kffs p ON p.market_key = k.market_key
+            AND p.month_start = CAST(k.month_start - INTERVAL 1 MONTH AS DATE)),
+        held AS (
+          SELECT p.month_start, p.market_key, p.change_cents, g.category_key, g.cents AS now, 0 AS old
+          FROM pairs p JOIN given g USING (month_start, market_key)
+          UNION ALL SELECT p.month_start, p.market_key, p.change_cents, g.category_key, 0, g.cents
+          FROM pairs p JOIN given g ON g.market_key = p.market_key AND g.month_start = p.before)
+        SELECT 'RUN_0001' AS run_id, market_key, month_start, category_key,
+          CAST(sum(now) AS BIGINT) AS current_cents, CAST(sum(old) AS BIGINT) AS prior_cents,
+          CAST(sum(now) - sum(old) AS BIGINT) AS contribution_cents, change_cents,
+          CASE WHEN change_cents <> 0 THEN CAST(sum(now) - sum(old) AS DOUBLE) * 100 / change_cents END
+            AS contribution_pct
+        FROM held GROUP BY market_key, month_start, category_key, change_cents""",
     "pmpm_anomalies": """
         SELECT run_id, market_key, month_start, member_months, ffs_pmpm_cents, md AS median_pmpm,
           score, impact_cents, CASE WHEN prov THEN 'PRELIMINARY_ADVISORY'
@@ -624,6 +660,24 @@ for _rule, _cte in (
 
 
 SELECTS["stored_exposure"] = SELECTS["exposure_month"]
+SELECTS["published_runs"] = f"""SELECT t.*, r.run_id FROM ({SELECTS['table_counts']}) t,
+    (VALUES ('RUN_0001'), ('RUN_0002')) r(run_id)"""
+SELECTS["release_manifest"] = f"""
+    SELECT r.release_number, r.release_id, 'RUN_0001' AS run_id, 'KPI_V1' AS definition_version,
+      'MAP_V1' AS mapping_version,
+      (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT rule_id || '=' || rule_version AS v FROM dq))
+        AS rule_versions,
+      (SELECT count(*) FROM ({SELECTS['partition_status']})) AS expected_partitions,
+      (SELECT count(*) FROM ({SELECTS['partition_status']}) WHERE partition_status = 'AVAILABLE')
+        AS passed_partitions,
+      DATE '1999-06-30' AS cutoff,
+      (SELECT string_agg(CAST(month_start AS VARCHAR), ',' ORDER BY month_start) FROM months
+        WHERE month_start >= DATE '1999-04-01') AS provisional_months,
+      r.approver, TIMESTAMP '1999-08-01 00:00:00' AS approved_at,
+      (SELECT CASE WHEN count(*) FILTER (disposition = 'FAIL') > 0 THEN 'FAILED' ELSE 'READY_FOR_REVIEW' END FROM dq)
+        AS status
+    FROM (VALUES (CAST(1 AS BIGINT), 'REL_1', 'reviewer'), (CAST(2 AS BIGINT), 'REL_2', 'second reviewer'))
+      r(release_number, release_id, approver)"""
 SELECTS["stored_run"] = f"SELECT *, row_count AS replayed_rows FROM ({SELECTS['table_counts']})"
 SELECTS["routed_lines"] = """
     SELECT source_row_id, fam AS claim_family_id, ver AS version_number, line_number FROM rln

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.operators import claims, constraints, exposure, kpis
 from evenkeel.plans import finance
+from evenkeel.sources import snapshots
 from evenkeel.sources import tables as store
 
 from tests.finance_rows import (
@@ -362,6 +363,8 @@ def test_stored_run_is_written_once_and_replayed(spark, tmp_path):
     assert again.view("v_kpi_ffs_month").count() == first.view("v_kpi_ffs_month").count()
     with pytest.raises(store.RunConflict):
         finance.execute(spark, root, RUN, MAPPING, "clean")
+    with pytest.raises(store.RunConflict):
+        finance.execute(spark, root, RUN, "MAP_V2", "defective")
 
 
 def test_published_views_answer_sql(spark, run):
@@ -380,3 +383,43 @@ def test_lines_follow_their_partition(run):
         "market_id = 'SYN_MKT_A' AND month(service_end_date) = 2")
     lines = partition_lines(run["raw_claim_line"], headers).collect()
     assert {r["source_row_id"] for r in lines} == {"LIN_003", "LIN_004", "LIN_010"}
+
+
+def test_a_run_is_published_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    root, seen = str(tmp_path), []
+    for table, df in world(spark).items():
+        store.write(df, root, table)
+    write = snapshots.Attempt.write
+
+    def look() -> int:
+        return sum(df.count() for df in snapshots.scan(spark, root, list(finance.CURATED)).values())
+
+    def watched(self, df, table):
+        seen.append(look())
+        if len(seen) == 5:
+            raise RuntimeError("the writer is lost")
+        return write(self, df, table)
+
+    monkeypatch.setattr(snapshots.Attempt, "write", watched)
+    with pytest.raises(RuntimeError):
+        finance.execute(spark, root, RUN, MAPPING, "defective")
+    with pytest.raises(ValueError):
+        finance.published(spark, root, RUN)
+    run = finance.execute(spark, root, RUN, MAPPING, "defective")
+    assert set(seen) == {0} and look() > 0
+    assert run["pipeline_run"].first()["status"] == "FAILED"
+    assert snapshots.scan(spark, root, ["dq_result"], RUN)["dq_result"].count() == run.dq_result.count() > 0
+    with pytest.raises(ValueError):
+        snapshots.scan(spark, root, ["dq_result"], "RUN_9")
+
+
+def test_of_two_attempts_the_first_commit_stands(spark, tmp_path):
+    root = str(tmp_path)
+    one, other = snapshots.Attempt(spark, root), snapshots.Attempt(spark, root)
+    rows = world(spark)["pipeline_run"]
+    for attempt, status in ((one, "FAILED"), (other, "READY_FOR_REVIEW")):
+        attempt.write(rows.withColumn("status", F.lit(status)), "pipeline_run")
+    facts = {"config_hash": "c", "mapping_version": "m", "status": "-"}
+    assert other.commit(RUN, **facts)["attempt"] == other.name
+    assert one.commit(RUN, **facts)["attempt"] == other.name
+    assert snapshots.scan(spark, root, ["pipeline_run"])["pipeline_run"].first()["status"] == "READY_FOR_REVIEW"

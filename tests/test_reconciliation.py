@@ -1,11 +1,13 @@
 """Bridges, drops and movement against worked examples."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from evenkeel.operators import reconciliation, variance
+from evenkeel.sources.commits import CommitLog
 from tests.finance_rows import MAPPING, RUN, by, finance_run
 
 
@@ -110,13 +112,77 @@ def test_payment_months(run):
         "2026-01-01": 16500, "2026-02-01": 18000}
 
 
+def _release(number, approver="reviewer"):
+    return {"release_id": f"REL_{number}", "run_id": RUN, "definition_version": "1", "mapping_version": "MAP_V1",
+            "rule_versions": ["A=1", "B=2"], "expected_partitions": 6, "passed_partitions": 5,
+            "cutoff": "2026-03-31", "provisional_months": ["2026-02-01"], "approver": approver,
+            "approved_at": "2026-04-01T10:00:00", "status": "READY_FOR_REVIEW"}
+
+
 def test_release_is_never_replaced(spark, tmp_path):
-    path = str(tmp_path / "releases")
-    release = spark.createDataFrame([("REL_1", RUN)], "release_id string, run_id string")
-    reconciliation.write_release(None, release, path)
-    known = spark.read.schema(release.schema).parquet(path)
+    log = CommitLog(spark, str(tmp_path / "releases"))
+    assert reconciliation.release_manifest(spark, log).count() == 0
+    reconciliation.write_release(log, _release(1))
     with pytest.raises(reconciliation.ReleaseExists):
-        reconciliation.write_release(known, release, path)
-    other = release.withColumn("release_id", F.lit("REL_2"))
-    reconciliation.write_release(known, other, path)
-    assert spark.read.schema(release.schema).parquet(path).count() == 2
+        reconciliation.write_release(log, _release(1, "somebody else"))
+    with pytest.raises(ValueError):
+        reconciliation.write_release(log, {"release_id": "REL_9"})
+    reconciliation.write_release(log, _release(2))
+    first, second = reconciliation.release_manifest(spark, log).orderBy("release_number").collect()
+    assert (first["release_id"], first["approver"], second["release_id"]) == ("REL_1", "reviewer", "REL_2")
+    assert second["provisional_months"] == [date(2026, 2, 1)] and second["rule_versions"] == ["A=1", "B=2"]
+
+
+def test_of_concurrent_writers_one_wins(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: log.put(1, {"writer": i}), range(24)))
+    assert won.count(True) == 1
+    assert log.entries() == [{"writer": won.index(True)}]
+
+    def write(i):
+        try:
+            return reconciliation.write_release(releases, _release(i % 3, f"writer {i}"))["approver"]
+        except reconciliation.ReleaseExists:
+            return None
+
+    releases = CommitLog(spark, str(tmp_path / "releases"))
+    with ThreadPoolExecutor(6) as pool:
+        approvers = [a for a in pool.map(write, range(12)) if a]
+    held = reconciliation.release_manifest(spark, releases).collect()
+    assert sorted(r["release_number"] for r in held) == [1, 2, 3]
+    assert sorted(r["release_id"] for r in held) == ["REL_0", "REL_1", "REL_2"]
+    assert sorted(r["approver"] for r in held) == sorted(approvers)
+
+
+def test_category_contributions_add_up_to_the_change(spark):
+    ffs = spark.createDataFrame([
+        (RUN, 1, date(2026, 1, 1), "AVAILABLE", 10, 100, 10.0), (RUN, 1, date(2026, 2, 1), "AVAILABLE", 10, 101, 10.1),
+        (RUN, 1, date(2026, 3, 1), "AVAILABLE", 10, 101, 10.1), (RUN, 1, date(2026, 5, 1), "AVAILABLE", 10, 7, 0.7),
+        (RUN, 2, date(2026, 1, 1), "AVAILABLE", 10, 50, 5.0), (RUN, 2, date(2026, 2, 1), "AVAILABLE", 10, 0, 0.0)],
+        "run_id string, market_key long, month_start date, partition_status string, member_months long, "
+        "ffs_paid_cents long, ffs_pmpm_cents double")
+    parts = spark.createDataFrame([
+        (RUN, 1, date(2026, 1, 1), 1, 30), (RUN, 1, date(2026, 1, 1), 2, 30), (RUN, 1, date(2026, 1, 1), 3, 30),
+        (RUN, 1, date(2026, 2, 1), 1, 40), (RUN, 1, date(2026, 2, 1), 2, 0), (RUN, 1, date(2026, 3, 1), 4, 9)],
+        "run_id string, market_key long, month_start date, category_key long, category_paid_cents long")
+    rows = variance.category_contributions(ffs, parts).collect()
+    got = {(r["market_key"], r["month_start"].month, r["category_key"]): r["contribution_cents"] for r in rows}
+    assert got == {
+        # 100 over three equal parts is 34, 33, 33: the lowest category has the cent that is left.
+        (1, 2, 1): 101 - 34, (1, 2, 2): -33, (1, 2, 3): -33, (1, 3, 1): -101, (1, 3, 4): 101, (2, 2, None): -50}
+    assert all(r["contribution_pct"] is None for r in rows if r["change_cents"] == 0)
+    assert next(r for r in rows if (r["market_key"], r["category_key"]) == (1, 1) and r["month_start"].month == 2)[
+        "contribution_pct"] == 6700.0
+
+
+def test_category_contributions_meet_the_bridge(run):
+    ffs = run.view("v_kpi_ffs_month")
+    rows = variance.category_contributions(ffs, run.view("v_ffs_category_month")).collect()
+    sums = {}
+    for r in rows:
+        key = r["market_key"], r["month_start"]
+        sums[key] = sums.get(key, 0) + r["contribution_cents"]
+    want = {(r["market_key"], r["month_start"]): r["change_cents"]
+            for r in variance.ffs_variance(ffs).where("prior_paid_cents is not null").collect()}
+    assert rows and sums == want

@@ -146,6 +146,21 @@ def test_fingerprint_ignores_order_and_counts_copies(spark):
     assert fingerprint(rows + rows[:1]) != fingerprint(rows + rows[1:2])
 
 
+def test_fingerprint_tells_values_apart(spark):
+    def fingerprint(data):
+        df = spark.createDataFrame(data, "a string, b string").select(
+            arrivals.row_fingerprint("a", "b").alias("fingerprint"))
+        return df.agg(arrivals.content_fingerprint(F.col("fingerprint"))).first()[0]
+
+    different = [
+        [("", "x")], [(None, "x")], [("x", None)], [("a|b", "c")], [("a", "b|c")], [("a;1:b", "c")], [("a", "b;1:c")],
+        [("N;", None)], [(None, "N;")], [("a", "b"), ("c", "d")], [("a", "d"), ("c", "b")], [("b", "a"), ("d", "c")],
+        [("a", "b")], [("a", "b")] * 2, [("a", "b")] * 3, [("é", "x")], [("e", "\u0301x")]]
+    found = [fingerprint(rows) for rows in different]
+    assert len(set(found)) == len(found) and all(len(h) == 64 for h in found)
+    assert fingerprint([("a", "b"), ("c", None)]) == fingerprint([("c", None), ("a", "b")])
+
+
 def test_entry_queries_are_registered_with_oracles():
     import __spark_entry__ as entry
     assert set(registry.queries()) <= set(entry.oracle_sql()) <= set(entry.queries())
