@@ -509,7 +509,7 @@ SELECTS |= {
         FROM kffs k LEFT JOIN kffs p ON p.market_key = k.market_key
           AND p.month_start = CAST(k.month_start - INTERVAL 1 MONTH AS DATE)""",
     "category_contributions": """
-        WITH parts AS (
+        SELECT * FROM (WITH parts AS (
           SELECT k.month_start, k.market_key, k.ffs_paid_cents AS s, c.category_key, c.category_paid_cents AS c,
             sum(c.category_paid_cents) OVER (PARTITION BY k.month_start, k.market_key) AS w
           FROM kffs k LEFT JOIN (SELECT * FROM catm WHERE category_paid_cents > 0) c USING (month_start, market_key)),
@@ -532,7 +532,7 @@ SELECTS |= {
           CAST(sum(now) - sum(old) AS BIGINT) AS contribution_cents, change_cents,
           CASE WHEN change_cents <> 0 THEN CAST(sum(now) - sum(old) AS DOUBLE) * 100 / change_cents END
             AS contribution_pct
-        FROM held GROUP BY market_key, month_start, category_key, change_cents""",
+        FROM held GROUP BY market_key, month_start, category_key, change_cents)""",
     "pmpm_anomalies": """
         SELECT run_id, market_key, month_start, member_months, ffs_pmpm_cents, md AS median_pmpm,
           score, impact_cents, CASE WHEN prov THEN 'PRELIMINARY_ADVISORY'
