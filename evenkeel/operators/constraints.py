@@ -2,14 +2,16 @@
 
 Spark does not enforce constraints on write, so each one is counted instead. All
 checks of a table share one pass over it; keys and references aggregate before
-they shuffle.
+they shuffle. ``checked_writes`` counts them while tables are written: checks are
+observed by the write itself, and keys and references of all tables take one shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from evenkeel.schemas import CODES
@@ -213,13 +215,16 @@ def branching_versions(headers: DataFrame) -> DataFrame:
     )
 
 
-def cycling_versions(headers: DataFrame) -> DataFrame:
-    """Versions that replace a later version, or another family; such links can loop."""
+def _may_loop() -> Column:
     replaced = F.regexp_extract("replaces_version_key", r"^(.*):(\d+)$", 1)
     number = F.regexp_extract("replaces_version_key", r"^(.*):(\d+)$", 2).try_cast("long")
-    return headers.where(
-        F.col("replaces_version_key").isNotNull()
-        & ((replaced != F.col("claim_family_key")) | (number >= F.col("version_number"))))
+    return F.col("replaces_version_key").isNotNull() & (
+        (replaced != F.col("claim_family_key")) | (number >= F.col("version_number")))
+
+
+def cycling_versions(headers: DataFrame) -> DataFrame:
+    """Versions that replace a later version, or another family; such links can loop."""
+    return headers.where(_may_loop())
 
 
 def overlapping_mappings(service_category_map: DataFrame) -> DataFrame:
@@ -232,6 +237,110 @@ def overlapping_mappings(service_category_map: DataFrame) -> DataFrame:
         & (F.col("effective_end").isNull() | (F.col("effective_end") >= F.col("next_start"))))
 
 
+def _row_rules(table: str, columns: list[str]) -> list[tuple[str, str, str | None]]:
+    """(kind, name, condition that must not be false) of what can be told from one row."""
+    found: list[tuple[str, str, str | None]] = [("CHECK", *c) for c in CHECKS.get(table, [])]
+    if table in OPTIONAL:
+        found += [("NOT_NULL", c, f"{c} IS NOT NULL") for c in columns if c not in OPTIONAL[table]]
+    if table == "claim_header_version":
+        found.append(("CHAIN", "does_not_cycle", None))
+    return found
+
+
+def _violates(condition: str | None) -> Column:
+    return _may_loop() if condition is None else ~F.coalesce(F.expr(condition), F.lit(True))
+
+
+# The key by which a chain must not branch.
+_BRANCH = ("run_id", "replaces_version_key")
+
+
+def constraint_names(tables: dict[str, list[str]]) -> list[tuple[str, str, str]]:
+    """(table, kind, name) of every constraint of tables with the given columns."""
+    out = []
+    for table, columns in tables.items():
+        out += [(table, "UNIQUE", ",".join(k)) for k in KEYS.get(table, [])]
+        out += [(table, "REFERENCE", c) for c, parent, _ in REFERENCES.get(table, []) if parent in tables]
+        out += [(table, kind, name) for kind, name, _ in _row_rules(table, columns)]
+        if table == "claim_header_version":
+            out.append((table, "CHAIN", "does_not_branch"))
+        if table == "service_category_map":
+            out.append((table, "CHECK", "dates_do_not_overlap"))
+    return out
+
+
+def _key_text(columns: list[str]) -> Column:
+    """Values behind their lengths; null if one of them is."""
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.concat(*[x for t in texts for x in (F.char_length(t).cast("string"), F.lit(":"), t)])
+
+
+def keyed_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, constraint_kind, constraint_name, violations) of keys, references and branches.
+
+    Every row gives the keys it holds and the keys it refers to, parents give the keys
+    they have, and one aggregation over (constraint, key) judges them all. It combines on
+    the map side, so a key that many rows refer to is one row a task.
+    """
+    kind = "table_name string, constraint_kind string, constraint_name string, key string, held long, known boolean"
+    names = [x.split()[0] for x in kind.split(", ")]
+
+    def told(table: str, what: str, name: str, columns: list[str], parent: bool = False) -> Column:
+        return F.struct(*[v.alias(n) for v, n in zip((
+            F.lit(table), F.lit(what), F.lit(name), _key_text(columns), F.lit(0 if parent else 1).cast("long"),
+            F.lit(parent)), names)])
+
+    given: dict[str, list[Column]] = {table: [] for table in tables}
+    for table in tables:
+        given[table] += [told(table, "UNIQUE", ",".join(k), list(k)) for k in KEYS.get(table, [])]
+        for columns, parent, targets in REFERENCES.get(table, []):
+            if parent in tables:
+                given[table].append(told(table, "REFERENCE", columns, columns.split(",")))
+                given[parent].append(told(table, "REFERENCE", columns, targets.split(","), True))
+        if table == "claim_header_version":
+            given[table].append(told(table, "CHAIN", "does_not_branch", list(_BRANCH)))
+    rows = reduce(DataFrame.unionByName, [
+        tables[t].select(F.inline(F.array(*found))) for t, found in given.items() if found])
+    judged = rows.where("key is not null").groupBy(*names[:4]).agg(
+        F.sum("held").alias("held"), F.max("known").alias("known"))
+    excess = F.when(F.col("constraint_kind") != "REFERENCE", F.greatest(F.col("held") - 1, F.lit(0))).otherwise(
+        F.when(F.col("known"), 0).otherwise(F.col("held")))
+    return judged.groupBy(*names[:3]).agg(F.sum(excess).cast("long").alias("violations"))
+
+
+def checked_writes(
+    tables: dict[str, DataFrame], write: Callable[[DataFrame, str], DataFrame]
+) -> tuple[DataFrame, dict[str, DataFrame], dict[str, int]]:
+    """Every constraint with its violations, zeros included; the tables as written; their rows.
+
+    ``write`` stores a table and gives it back. Checks and rows are metrics that the write
+    observes, so they cost no scan; their number is bounded by the constraints.
+    """
+    found: list[tuple[str, str, str, int]] = []
+    stored, rows = {}, {}
+    for table, df in tables.items():
+        checks = _row_rules(table, df.columns)
+        seen = Observation(f"{table} constraints")
+        stored[table] = write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+            F.count_if(_violates(condition)).alias(f"c{i}") for i, (_, _, condition) in enumerate(checks)]), table)
+        # Metrics come with the rows of a write; one without any has none to give.
+        metrics = seen.get
+        rows[table] = metrics.get("rows", 0)
+        found += [(table, kind, name, metrics.get(f"c{i}", 0)) for i, (kind, name, _) in enumerate(checks)]
+    names = constraint_names({t: df.columns for t, df in tables.items()})
+    spark = next(iter(stored.values())).sparkSession
+    schema = "table_name string, constraint_kind string, constraint_name string, violations long"
+    known = {x[:3] for x in found}
+    counted = spark.createDataFrame(found + [(*n, 0) for n in names if n not in known], schema)
+    keyed = keyed_violations(stored)
+    if "service_category_map" in stored:
+        keyed = keyed.unionByName(_finding(overlapping_mappings(stored["service_category_map"]).agg(
+            F.count(F.lit(1)).alias("violations")), "service_category_map", "CHECK", "dates_do_not_overlap"))
+    report = counted.unionByName(keyed).groupBy("table_name", "constraint_kind", "constraint_name").agg(
+        F.sum("violations").alias("violations"))
+    return report, stored, rows
+
+
 def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """Violations of every constraint whose tables were given, zeros included."""
     findings = []

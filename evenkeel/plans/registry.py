@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from evenkeel.plans import clean_proxies, document_queries, finance_queries, handover_queries
+from evenkeel.plans import clean_proxies, document_queries, finance_queries, handover_queries, planted
 from evenkeel.plans.finance_queries import Query
 from evenkeel.session import tune
 
@@ -15,5 +15,6 @@ def _tuned(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     found = {**finance_queries.queries(), **document_queries.queries(),
-             **handover_queries.queries(), **clean_proxies.queries()}
+             **handover_queries.queries(), **clean_proxies.queries(),
+             **planted.queries()}
     return {name: _tuned(query) for name, query in found.items()}

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from evenkeel.operators import constraints
+from evenkeel.plans.finance import CURATED, DIMENSIONS, OPERATIONAL, RAW
+from evenkeel.schemas import TABLES
+
 _MANAGED = "('BUILDING', 'MACHINERY')"
 
 # Name -> body, in dependency order.
@@ -660,6 +664,85 @@ for _rule, _cte in (
 
 
 SELECTS["stored_exposure"] = SELECTS["exposure_month"]
+# Violations of the star's own rows, and of the rows that the planted run changes.
+_COUNTED = """
+    SELECT 'pipeline_run' AS t, 'CHECK' AS k, 'dates_ordered' AS c, 1 AS n
+    UNION ALL SELECT 'source_file', 'CHECK', 'row_count_not_negative', count(*) FROM files WHERE month(month_start) = 11
+    UNION ALL SELECT 'dim_date', 'CHECK', 'month_number_range', count(*) FROM cal WHERE month(d) = 12
+    UNION ALL SELECT 'dim_date', 'CHECK', 'days_in_month_range', count(*) FROM cal WHERE month(d) = 2
+    UNION ALL SELECT 'dim_member', 'CHECK', 'synthetic_id', count(*) FROM mem WHERE NOT starts_with(member_id, 'SYN_')
+    UNION ALL SELECT 'dim_provider', 'CHECK', 'synthetic_id', count(*) FROM prov
+      WHERE NOT starts_with(provider_id, 'SYN_')
+    UNION ALL SELECT 'dq_result', 'CHECK', 'failing_within_evaluated', 2
+    UNION ALL SELECT 'dq_result', 'CHECK', 'counts_not_negative', 1
+    UNION ALL SELECT 'dq_result', 'CHECK', 'disposition_code', 1
+    UNION ALL SELECT 'raw_claim_line', 'UNIQUE', 'source_file_id,source_row_id',
+      count(*) - count(DISTINCT source_row_id) FROM rln
+    UNION ALL SELECT 'raw_payment_transaction', 'UNIQUE', 'source_file_id,source_row_id',
+      count(*) - count(DISTINCT txn) FROM rpay
+    UNION ALL SELECT 'raw_claim_header', 'REFERENCE', 'source_file_id', count(*) FROM rhd r
+      ANTI JOIN files f ON f.market_id = r.market_id
+        AND f.month_start = CAST(date_trunc('month', r.service_end) AS DATE)
+    UNION ALL SELECT 'eligibility_span', 'CHECK', 'dates_ordered', count(*) FROM span WHERE span_id LIKE '%3'
+    UNION ALL SELECT 'eligibility_span', 'CHECK', 'program_code', count(*) FROM span WHERE span_id LIKE '%-07'
+    UNION ALL SELECT 'fact_member_month', 'CHECK', 'eligible_days_range', count(*) FROM mm WHERE month(month_start) = 2
+    UNION ALL SELECT 'fact_member_month', 'CHECK', 'weight_is_one', count(*) FROM mm WHERE month(month_start) = 3
+    UNION ALL SELECT 'fact_member_month', 'CHECK', 'cohort_flag', count(*) FROM mm
+      WHERE month(month_start) = 4 AND cohort = 1
+    UNION ALL SELECT 'fact_member_month', 'CHECK', 'cohort_definition', count(*) FROM mm
+      WHERE month(month_start) = 5 AND cohort = 0
+    UNION ALL SELECT 'claim_header_version', 'REFERENCE', 'source_file_id', count(*) FROM hdr r
+      ANTI JOIN files f ON f.market_id = r.market_id
+        AND f.month_start = CAST(date_trunc('month', r.service_end) AS DATE)
+    UNION ALL SELECT 'claim_header_version', 'CHECK', 'status_code', count(*) FROM hdr WHERE fam LIKE '%3'
+    UNION ALL SELECT 'claim_header_version', 'CHECK', 'dates_ordered', count(*) FROM hdr WHERE fam LIKE '%4'
+    UNION ALL SELECT 'claim_header_version', 'CHECK', 'version_positive', count(*) FROM hdr
+      WHERE fam LIKE '%6' AND ver = 1
+    UNION ALL SELECT 'claim_header_version', 'CHECK', 'accepted_ffs_paid', count(*) FROM hdr
+      WHERE fam LIKE '%7' AND record_type = 'FFS' AND status = 'ACCEPTED'
+    UNION ALL SELECT 'claim_header_version', 'CHECK', 'paid_not_negative', count(*) FROM hdr WHERE fam LIKE '%8'
+    UNION ALL SELECT 'claim_header_version', 'CHECK', 'first_version_replaces_nothing', count(*) FROM hdr
+      WHERE fam LIKE '%9' AND ver = 1
+    UNION ALL SELECT 'claim_header_version', 'CHAIN', 'does_not_cycle', count(*) FROM hdr
+      WHERE fam LIKE '%9' AND ver = 1
+    UNION ALL SELECT 'claim_header_version', 'CHAIN', 'does_not_branch', count(*) FROM hdr a
+      JOIN hdr b ON b.fam = a.fam AND b.ver = 2 WHERE a.fam LIKE '%9' AND a.ver = 1
+    UNION ALL SELECT 'claim_line_version', 'UNIQUE', 'claim_version_key,line_number',
+      count(*) - count(DISTINCT (vkey, line_number)) FROM lin
+    UNION ALL SELECT 'claim_line_version', 'CHECK', 'line_positive', count(*) FROM lin WHERE line_number < 1
+    UNION ALL SELECT 'claim_line_version', 'CHECK', 'paid_not_negative', count(*) FROM lin WHERE line_number % 10 = 3
+    UNION ALL SELECT 'fact_claim_header_final', 'CHECK', 'population_match_code', count(*) FROM fin
+      WHERE fam LIKE '%5'
+    UNION ALL SELECT 'fact_claim_line_final', 'UNIQUE', 'run_id,claim_family_key,line_number',
+      count(*) - count(DISTINCT (fam, line_number)) FROM finl
+    UNION ALL SELECT 'fact_payment_transaction', 'UNIQUE', 'payment_transaction_id',
+      count(*) - count(DISTINCT txn) FROM pay
+    UNION ALL SELECT 'fact_payment_transaction', 'REFERENCE', 'reverses_transaction_id', count(*) FROM pay
+      WHERE reverses IS NOT NULL AND txn NOT LIKE '%4' AND reverses NOT IN (SELECT txn FROM pay)
+    UNION ALL SELECT 'fact_payment_transaction', 'CHECK', 'event_type_code', count(*) FROM pay
+      WHERE event_type = 'PAYMENT' AND txn LIKE '%2'
+    UNION ALL SELECT 'fact_payment_transaction', 'CHECK', 'sign_follows_event', count(*) FROM pay
+      WHERE event_type = 'PAYMENT' AND (txn LIKE '%2' OR txn LIKE '%6')
+    UNION ALL SELECT 'fact_payment_transaction', 'CHECK', 'reversal_names_payment', count(*) FROM pay
+      WHERE event_type = 'REVERSAL' AND txn LIKE '%4'
+    UNION ALL SELECT 'fact_capitation_transaction', 'REFERENCE', 'source_file_id', count(*) FROM capt
+      WHERE txn LIKE '%8'
+    UNION ALL SELECT 'fact_capitation_transaction', 'REFERENCE', 'reverses_transaction_id', count(*) FROM capt
+      WHERE reverses IS NOT NULL AND reverses NOT IN (SELECT txn FROM capt)
+    UNION ALL SELECT 'fact_capitation_transaction', 'CHECK', 'negative_is_linked', count(*) FROM capt
+      WHERE cents < 0 AND reverses IS NULL"""
+
+
+def _constraint_report() -> str:
+    """The counted violations, and zero for every other constraint of the declared tables."""
+    listed = ", ".join(str(x) for x in constraints.constraint_names({
+        t: TABLES[t].names for t in (*OPERATIONAL, *RAW, *DIMENSIONS, *CURATED)}))
+    return f"""SELECT n.t AS table_name, n.k AS constraint_kind, n.c AS constraint_name,
+        CAST(coalesce(v.n, 0) AS BIGINT) AS violations
+        FROM (VALUES {listed}) n(t, k, c) LEFT JOIN ({_COUNTED}) v USING (t, k, c)"""
+
+
+SELECTS["constraint_report"] = _constraint_report()
 SELECTS["published_runs"] = f"""SELECT t.*, r.run_id FROM ({SELECTS['table_counts']}) t,
     (VALUES ('RUN_0001'), ('RUN_0002')) r(run_id)"""
 SELECTS["release_manifest"] = f"""

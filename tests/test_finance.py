@@ -295,6 +295,24 @@ def test_constraints_hold_on_the_clean_run(clean):
     assert bad == []
 
 
+def test_checked_writes_count_what_separate_passes_count(clean, spark):
+    from evenkeel.session import stage
+    tables = {t: stage(df, t) for t, df in {**clean.inputs, **clean.curated_tables}.items()}
+    tables["claim_header_version"] = tables["claim_header_version"].withColumn("status", F.lit("ODD"))
+    tables["raw_claim_line"] = tables["raw_claim_line"].unionByName(tables["raw_claim_line"].limit(2)).withColumn(
+        "source_file_id", F.lit("LOST"))
+    tables["fact_payment_transaction"] = tables["fact_payment_transaction"].limit(0)
+    report, stored, rows = constraints.checked_writes(tables, stage)
+    key = lambda r: (r["table_name"], r["constraint_kind"], r["constraint_name"])
+    got = {key(r): r["violations"] for r in report.collect()}
+    want = {key(r): r["violations"] for r in constraints.constraint_violations(tables).collect()}
+    assert got == want and sum(n > 0 for n in got.values()) >= 3
+    assert sorted(got) == sorted(constraints.constraint_names({t: df.columns for t, df in tables.items()}))
+    assert rows == {t: df.count() for t, df in stored.items()}
+    text = constraints.keyed_violations(stored)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+
+
 @pytest.mark.parametrize("table,change,kind,name", [
     ("fact_member_month", {"eligible_days": 32}, "CHECK", "eligible_days_range"),
     ("fact_member_month", {"program": "CHIP"}, "CHECK", "cohort_definition"),
