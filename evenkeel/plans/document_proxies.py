@@ -15,6 +15,7 @@ from evenkeel.functions import letters
 from evenkeel.functions.identifiers import with_parsed_identifier
 from evenkeel.operators import archive, extracts
 from evenkeel.plans.proxies import cents, orders_by_customer, read
+from evenkeel.session import spread
 from evenkeel.sources import documents, listing
 
 RETRIEVED = "2001-09-01T00:00:00Z"
@@ -54,6 +55,8 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderstatus") == "P", "New").otherwise(_choose(
                 F.quarter("order_date"), {1: "Amend", 2: "Amend1", 3: "Amend2"},
                 F.lit("Amendment"))).alias("rev"))
+    # A file may be one scan task; texts are written and parsed by as many as there are cores.
+    base = spread(base, "o_orderkey")
     st, pay, cls, rev, y = (F.col(n) for n in ("st", "pay", "cls", "rev", "y"))
     dates = _text(y, "0101-", y, "1231")
     named = _text(st, "_", pay, "_", cls, "_", rev, "_")
@@ -221,4 +224,5 @@ def letters_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "src4": _text(text, " is approved. Risk  based\tadjustment of $", n.cast("string"), ".257"),
         "src5": _text(text, " was $3 or ", money),
     }, text)
-    return read(spark, sf_dir, "documents").select("doc_id", F.array(body).alias("pages"))
+    rows = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars")
+    return spread(rows, "doc_id").select("doc_id", F.array(body).alias("pages"))

@@ -57,6 +57,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt out by key to as many tasks as a shuffle has.
+
+    For work that costs far more than its rows weigh, which a few scan tasks, or tasks
+    that were merged by size, would otherwise do.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder once and read it back.
 
