@@ -8,11 +8,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.operators import exposure, extracts, kpis, reconciliation
+from evenkeel.operators import exposure, extracts, families, kpis, reconciliation
 from evenkeel.plans import document_proxies, document_queries, finance, proxies
 from evenkeel.plans.finance_queries import PROVISIONAL_FROM, Query
 from evenkeel.session import shared_folder
-from evenkeel.sources import documents, tables
+from evenkeel.sources import buckets, documents, tables
 from evenkeel.sources.arrivals import partition_lines
 from evenkeel.sources.commits import CommitLog
 
@@ -112,6 +112,15 @@ def stored_run(spark, sf_dir: str) -> DataFrame:
     return tables.table_counts(first.curated).join(replayed, "table_name")
 
 
+def family_summary(spark, sf_dir: str) -> DataFrame:
+    """Versions, lines and ledger of every claim family, from tables in buckets of families."""
+    run = proxies.finance_run(spark, sf_dir).staged(
+        "claim_header_version", "member_assignment", "fact_claim_header_final")
+    stored = buckets.write(families.family_tables(
+        run["raw_claim_line"], run["raw_payment_transaction"], run.headers, run.finals, proxies.RUN))
+    return buckets.over_families(stored, families.family_summary)
+
+
 def published_runs(spark, sf_dir: str) -> DataFrame:
     """Rows of every curated table of two published runs, and of the first one's replay.
 
@@ -159,4 +168,4 @@ def release_manifest(spark, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         archive_csv, extract_csv, measures_csv, readiness_summary, readiness_json,
-        stored_assessment, routed_lines, stored_exposure, stored_run, published_runs, release_manifest)}
+        stored_assessment, routed_lines, stored_exposure, stored_run, family_summary, published_runs, release_manifest)}

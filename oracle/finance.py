@@ -742,6 +742,19 @@ def _constraint_report() -> str:
         FROM (VALUES {listed}) n(t, k, c) LEFT JOIN ({_COUNTED}) v USING (t, k, c)"""
 
 
+SELECTS["family_summary"] = """
+    SELECT h.fam AS claim_family_key, count(*) AS versions,
+      count(*) FILTER (h.replaces IN (SELECT vkey FROM hdr)) AS linked_versions,
+      coalesce(any_value(l.n), 0) AS lines, coalesce(any_value(l.c), 0) AS line_cents,
+      coalesce(any_value(f.n), 0) AS final_lines, coalesce(any_value(f.c), 0) AS final_line_cents,
+      coalesce(any_value(p.n), 0) AS payments, coalesce(any_value(p.c), 0) AS ledger_cents
+    FROM hdr h
+    LEFT JOIN (SELECT r.fam, count(*) AS n, CAST(sum(r.cents) AS BIGINT) AS c FROM rln r
+               SEMI JOIN hdr v ON v.fam = r.fam AND v.ver = r.ver GROUP BY ALL) l ON l.fam = h.fam
+    LEFT JOIN (SELECT r.fam, count(*) AS n, CAST(sum(r.cents) AS BIGINT) AS c FROM rln r
+               SEMI JOIN fin v ON v.vkey = r.fam || ':' || r.ver GROUP BY ALL) f ON f.fam = h.fam
+    LEFT JOIN (SELECT fam, count(*) AS n, CAST(sum(cents) AS BIGINT) AS c FROM pay GROUP BY ALL) p ON p.fam = h.fam
+    GROUP BY h.fam"""
 SELECTS["constraint_report"] = _constraint_report()
 SELECTS["published_runs"] = f"""SELECT t.*, r.run_id FROM ({SELECTS['table_counts']}) t,
     (VALUES ('RUN_0001'), ('RUN_0002')) r(run_id)"""
