@@ -58,12 +58,14 @@ def _parts(p: str, q: str) -> str:
 _QUALITY = rf"""
 WITH docs AS MATERIALIZED (
   SELECT row_number() OVER () AS rid, doc_id, lang, text IS NULL AS gone, coalesce(text, '') AS t,
-         regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w
+         regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w
   FROM documents),
 base AS MATERIALIZED (
   SELECT rid, doc_id, lang, gone, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
          length(t) AS total, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
-         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines,
          len(regexp_extract_all(t, '\p{{L}}')) AS letters,
          len(regexp_extract_all(t, '\p{{Lu}}')) AS capitals,
          len(regexp_extract_all(t, '\p{{Nd}}')) AS digits
@@ -88,23 +90,29 @@ totals AS (
   SELECT lang, count(*) AS total FROM spoken WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) >= 2000),
 ranked AS (
   SELECT lang, word, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS rank
-  FROM spoken WHERE length(word) <= 4 AND lang IS NOT NULL GROUP BY lang, word),
+  FROM spoken WHERE lang IS NOT NULL GROUP BY lang, word),
 common AS MATERIALIZED (
   SELECT lang, word, n / total AS share FROM ranked JOIN totals USING (lang) WHERE rank <= 24),
 known AS (SELECT DISTINCT lang FROM common JOIN class_share USING (lang)),
 pairs AS MATERIALIZED (
   SELECT rid, n_words, known.lang AS ref FROM base, known
   WHERE base.lang = known.lang OR base.lang IS NULL OR base.lang NOT IN (SELECT lang FROM known)),
-said AS (SELECT rid, word, count(*) AS n FROM spoken WHERE length(word) <= 4 GROUP BY rid, word),
+said AS (
+  SELECT rid, word, count(*) AS n FROM spoken WHERE word IN (SELECT word FROM common) GROUP BY rid, word),
 word_rows AS (
   SELECT p.rid, ref, coalesce(s.n, 0) / greatest(n_words, 1) AS p, c.share AS q
   FROM pairs p JOIN common c ON c.lang = ref LEFT JOIN said s ON s.rid = p.rid AND s.word = c.word),
 word_all AS (
   SELECT * FROM word_rows UNION ALL
   SELECT rid, ref, greatest(0, 1 - sum(p)), greatest(0, 1 - sum(q)) FROM word_rows GROUP BY rid, ref),
-word_distance AS (
-  SELECT rid, min(d) AS d FROM (
-    SELECT rid, sqrt(greatest(0, {_parts('p', 'q')})) AS d FROM word_all GROUP BY rid, ref) GROUP BY rid),
+without AS (
+  SELECT ref, greatest(0, {_parts('p', 'q')}) AS most, count(*) - 1 AS bins FROM (
+    SELECT lang AS ref, 0.0::DOUBLE AS p, share AS q FROM common UNION ALL
+    SELECT lang, 1.0, greatest(0, 1 - sum(share)) FROM common GROUP BY lang) GROUP BY ref),
+word_excess AS (
+  SELECT rid, min(d / sqrt(least(0.81 * most, 0.36 * most + bins / (8 * ln(2) * greatest(n_words, 1))))) AS x
+  FROM (SELECT rid, ref, sqrt(greatest(0, {_parts('p', 'q')})) AS d FROM word_all GROUP BY rid, ref)
+  JOIN without USING (ref) JOIN base USING (rid) GROUP BY rid),
 class_distance AS (
   SELECT rid, min(d) AS d FROM (
     SELECT rid, sqrt(greatest(0, {_parts('p', 'q')})) AS d FROM (
@@ -115,9 +123,9 @@ judged AS (
   SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
          coalesce(r.n, 0) AS n_repeat_words,
          n_words < 50 OR 100 * coalesce(r.n, 0) > 50 * n_words AS base_failed,
-         coalesce((word_chars >= 200 AND c.d > 0.27) OR (n_words >= 50 AND x.d > 0.5), false) AS far
+         coalesce((word_chars >= 200 AND c.d > 0.27) OR (n_words >= 50 AND x.x > 1), false) AS far
   FROM base LEFT JOIN repeats r USING (rid) LEFT JOIN class_distance c USING (rid)
-  LEFT JOIN word_distance x USING (rid))
+  LEFT JOIN word_excess x USING (rid))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
        CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept

@@ -1,9 +1,11 @@
 """Quality rules: base counts, and divergence from language references.
 
 Everything is DataFrame functions. A document is described by two histograms: its
-characters by class, and its words by the most frequent short words of its
-language (all other words in one bin). Both are compared with the histograms of
-the language, gathered from all documents, by Jensen-Shannon distance.
+characters by class, and its words by the most frequent words of its language (all
+other words in one bin). Both are compared with the histograms of the language,
+gathered from all documents, by Jensen-Shannon distance. The limit on words is a share
+of the distance of a text without any of the common words, which nothing readable comes
+near, and is wider for short texts by what drawing few words adds to a distance.
 
 Defined results: a null text counts as empty; an empty text has zero counts and
 fails the base rules. A null language, or one that has no reference, is compared
@@ -14,6 +16,7 @@ one by one, so repeated rows and null ids each get a result.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,7 +27,6 @@ from evenkeel.session import stage
 
 SYMBOLS = r"[#*$%&|<>]"
 CLASSES = ("letter", "capital", "digit", "blank", "symbol", "mark")
-SHORT_WORD = 4  # characters that a common word has at most, which keeps their number small
 ANY = ""  # key of the rows that are compared with every reference
 MANY = 10_000  # languages; more of them are joined without a broadcast
 
@@ -37,7 +39,8 @@ class Rules:
     min_reference_words: int = 2000  # words a language needs to be a reference
     min_chars: int = 200            # in words; below: no verdict from the characters
     max_class_distance: float = 0.27
-    max_word_distance: float = 0.5
+    word_share: float = 0.6         # of the divergence's root without common words, for long texts
+    most_word_share: float = 0.9    # the same for texts of any length
 
 
 def _settled(value: Column) -> Column:
@@ -60,12 +63,13 @@ def _classes(total: Column, rest: Column, blanks: Column, capitals: Column, digi
     return F.array(*[c.cast("long") for c in (*known, total - letters - digits - blanks - symbols)])
 
 
-def base_counts(docs: DataFrame) -> DataFrame:
+def base_counts(docs: DataFrame, longest: Column | None = None) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words.
 
     Repeated windows are neighbours among the sorted digests; their starts give the
     covered words as the length of a union of intervals. Beside the counts come the
-    character classes and the short words, two spaces apart, for the histograms.
+    character classes and the words of at most ``longest`` characters, two spaces apart, for
+    the histograms.
     """
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -92,8 +96,8 @@ def base_counts(docs: DataFrame) -> DataFrame:
         .withColumns({
             "n_words": F.size(w).cast("long"),
             "word_chars": F.char_length(F.array_join(w, "")).cast("long"),
-            "_short": F.concat(F.lit(" "), F.array_join(F.filter(
-                w, lambda x: F.char_length(x) <= SHORT_WORD), "  "), F.lit(" ")),
+            "_short": F.concat(F.lit(" "), F.array_join(w if longest is None else F.filter(
+                w, lambda x: F.char_length(x) <= longest), "  "), F.lit(" ")),
             "_windows": F.sort_array(windows)})
         .drop("_words")
         .withColumns({
@@ -128,29 +132,30 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     chars = sum(F.col(c) for c in CLASSES)
     by_class = sums.where(chars > 0).select(
         "lang", F.array(*[F.col(c) / chars for c in CLASSES]).alias("classes"))
-    # Long words keep their place in the total under one name.
     counted = stage(known.select("lang", F.explode(F.split("text", BLANKS)).alias("word")).where(
-        "word <> ''").select("lang", F.when(
-            F.char_length("word") <= SHORT_WORD, F.col("word")).otherwise("").alias("word")
-    ).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "short-words")
+        "word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "words")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total")).where(
         F.col("total") >= rules.min_reference_words)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    top = counted.where("word <> ''").withColumn("rank", rank).where(
+    top = counted.withColumn("rank", rank).where(
         F.col("rank") <= rules.common_words)
     by_word = top.join(totals, "lang").groupBy("lang").agg(F.sort_array(F.collect_list(F.struct(
         "rank", "word", (F.col("n") / F.col("total")).alias("share")))).alias("words"))
     return by_class.join(by_word, "lang")
 
 
-def js_distance(pairs: Column) -> Column:
-    """Jensen-Shannon distance (base 2) of an array of (p, q) shares."""
+def js_divergence(pairs: Column) -> Column:
+    """Jensen-Shannon divergence (base 2) of an array of (p, q) shares."""
     def part(x: Column, m: Column) -> Column:
         return F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
 
     divergence = F.aggregate(pairs, F.lit(0.0), lambda a, x: a + 0.5 * (
         part(x["p"], (x["p"] + x["q"]) / 2) + part(x["q"], (x["p"] + x["q"]) / 2)))
-    return F.sqrt(F.greatest(divergence, F.lit(0.0)))
+    return F.greatest(divergence, F.lit(0.0))
+
+
+def js_distance(pairs: Column) -> Column:
+    return F.sqrt(js_divergence(pairs))
 
 
 def _class_pairs(profile: Column) -> Column:
@@ -185,36 +190,58 @@ def _with_rest(pairs: Column) -> Column:
         F.greatest(r["p"], F.lit(0.0)).alias("p"), F.greatest(r["q"], F.lit(0.0)).alias("q"))))
 
 
+def _limit(profile: Column, rules: Rules) -> Column:
+    """The word distance that a text of n_words may have from a reference.
+
+    The distance of a text drawn from the reference itself has the mean square
+    bins / (8 n ln 2), which is added to the square of the share.
+    """
+    drawn = F.size(profile["words"]) / (8 * math.log(2) * F.greatest(F.col("n_words"), F.lit(1)))
+    return F.sqrt(F.least(
+        rules.most_word_share ** 2 * profile["most"],
+        rules.word_share ** 2 * profile["most"] + drawn))
+
+
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The documents with their counts, distances, base_failed and kept added."""
-    refs = stage(references(docs, rules), "language-references").select(
-        F.col("lang").alias("_key"), F.struct("classes", "words").alias("profile"))
+    """The documents with their counts, distances, base_failed and kept added.
+
+    ``word_excess`` is the word distance over its limit, for the nearest reference.
+    """
+    without = F.transform("words", lambda w: F.struct(F.lit(0.0).alias("p"), w["share"].alias("q")))
+    refs = stage(references(docs, rules).withColumn("most", js_divergence(_with_rest(without))),
+                 "language-references").select(
+        F.col("lang").alias("_key"), F.struct("classes", "words", "most").alias("profile"))
     # One row a language, and one with all of them: as many rows as languages.
     every = refs.groupBy().agg(F.collect_list("profile").alias("_profiles")).select(
         F.lit(ANY).alias("_key"), "_profiles", F.lit(False).alias("_known"))
     profiles = refs.where(F.col("_key") != ANY).select(
         "_key", F.array("profile").alias("_profiles"), F.lit(True).alias("_known")
-    ).unionByName(every)
+    ).unionByName(every).withColumn("_longest", F.array_max(F.flatten(F.transform(
+        "_profiles", lambda r: F.transform(r["words"], lambda w: F.char_length(w["word"]))))))
     known = small(profiles.where("_known").select(F.col("_key").alias("_lang"), "_known"), MANY)
     rows = docs.join(known, F.col("lang") == F.col("_lang"), "left").withColumn(
         "_key", F.when(F.col("_known"), F.col("lang")).otherwise(ANY)).drop("_known", "_lang")
-    rows = base_counts(rows).join(small(profiles.drop("_known"), MANY), "_key", "left")
+    rows = base_counts(rows.join(small(profiles.drop("_known"), MANY), "_key", "left"), F.col("_longest"))
     rows = rows.withColumn("_common", F.transform("_profiles", _common_counts)).withColumns({
         "class_distance": F.array_min(F.transform(
             "_profiles", lambda r: js_distance(_class_pairs(r)))),
-        "word_distance": F.array_min(F.transform(F.arrays_zip("_profiles", "_common"), lambda r:
-            js_distance(_with_rest(_word_pairs(r["_profiles"], r["_common"]))))),
+        "_distances": F.transform(F.arrays_zip("_profiles", "_common"), lambda r: js_distance(
+            _with_rest(_word_pairs(r["_profiles"], r["_common"])))),
+    }).withColumns({
+        "word_distance": F.array_min("_distances"),
+        "word_excess": F.array_min(F.zip_with(
+            "_distances", "_profiles", lambda d, r: d / _limit(r, rules))),
     })
     far = (
         ((F.col("word_chars") >= rules.min_chars)
          & (F.col("class_distance") > rules.max_class_distance))
         | ((F.col("n_words") >= rules.min_words)
-           & (F.col("word_distance") > rules.max_word_distance)))
+           & (F.col("word_excess") > 1)))
     return (
         rows.withColumn("base_failed", (F.col("n_words") < rules.min_words) | (
             100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
         .withColumn("kept", _settled(~F.col("base_failed") & ~F.coalesce(far, F.lit(False))))
-        .drop("_key", "_classes", "_short", "_profiles", "_common"))
+        .drop("_key", "_classes", "_short", "_longest", "_profiles", "_common", "_distances"))
 
 
 def keep(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from evenkeel.llm import oracle, quality
+from evenkeel.llm.common import table
 from tests.llm import rows
 
 
@@ -76,3 +77,20 @@ def test_no_python_in_the_plan(spark):
     docs = rows.table(spark, [(1, "a b c", "en", "a")])
     plan = quality.keep(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_gibberish_and_other_languages_are_rejected_clean_texts_are_not(spark):
+    given = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text", "lang")
+    draw = random.Random(5)
+    kept = [r for r in quality.judge(given).where("kept").collect()]
+    assert len(kept) > 0.7 * given.count()
+    langs = sorted({r["lang"] for r in kept})
+    odd = [(10_000 + i, " ".join("".join(draw.choices("bcdfghjklmnpqrstvwxz", k=draw.randint(2, 9)))
+                                 for _ in range(200)), langs[i % len(langs)]) for i in range(20)]
+    moved = [(20_000 + i, r["text"], langs[(langs.index(r["lang"]) + 1 + i % (len(langs) - 1)) % len(langs)])
+             for i, r in enumerate(draw.sample(kept, 60))]
+    more = given.unionByName(spark.createDataFrame(odd + moved, "doc_id long, text string, lang string"))
+    found = {r["doc_id"]: r["kept"] for r in quality.judge(more).select("doc_id", "kept").collect()}
+    assert not any(found[r[0]] for r in odd)
+    assert sum(found[r[0]] for r in moved) <= 0.05 * len(moved)
+    assert sum(not found[r["doc_id"]] for r in kept) <= 2
