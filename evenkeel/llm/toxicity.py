@@ -1,7 +1,8 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A document is the set of its hashed words, of which training keeps those that tell
-most about the label. The score is a bias, a weight for each term, and for each pair
+most about the label, alone or in pairs: a pair tells if the documents with both words
+have another share of label 1 than the log odds of the two words add up to. The score is a bias, a weight for each term, and for each pair
 of terms the product of their factors: a pair can weigh what neither term does alone.
 
 Training takes a sample of at most about ``sample`` labelled rows, chosen by a digest
@@ -37,9 +38,11 @@ SLOTS = 1 << 30  # wide, so that a rare word seldom shares the slot of a telling
 @dataclass(frozen=True)
 class Training:
     sample: int = 20_000
-    terms: int = 256        # slots that the model has weights for
+    terms: int = 2048       # slots that the model has weights for, at most
     least_docs: int = 5     # documents of the sample that a term is in
     least_tells: float = 15.0  # chi-square of a term, which chance seldom reaches
+    paired: int = 1024      # most frequent slots, whose pairs are looked at
+    pair_tells: float = 40.0   # chi-square of a pair, which chance seldom reaches in so many pairs
     factors: int = 8
     epochs: int = 30
     batch: int = 256
@@ -103,6 +106,39 @@ def _fit(rows: list[np.ndarray], labels: np.ndarray, terms: int, how: Training):
     return bias, w, v
 
 
+def _telling_pairs(rows: list[np.ndarray], labels: np.ndarray, slots: np.ndarray, how: Training) -> list[int]:
+    """The slots of the pairs that tell, those of the pair that tells most first.
+
+    What is compared with the labels of the documents that have both is the share that
+    the log odds of the two add up to; the documents go by in blocks.
+    """
+    if len(slots) < 2:
+        return []
+    both = np.zeros((len(slots), len(slots)), np.float64)
+    bad = both.copy()
+    for i in range(0, len(rows), 2048):
+        block = np.zeros((len(rows[i:i + 2048]), len(slots)), np.float32)
+        for d, one in enumerate(rows[i:i + 2048]):
+            block[d, np.flatnonzero(np.isin(slots, one, assume_unique=True))] = 1
+        both += block.T @ block
+        block = block[labels[i:i + 2048] > 0]
+        bad += block.T @ block
+    share = labels.mean()
+
+    def odds(b, n):
+        p = (b + share) / (n + 1)
+        return np.log(p / (1 - p))
+
+    one = odds(bad.diagonal(), both.diagonal())
+    expected = 1 / (1 + np.exp(np.log(share / (1 - share)) - one[:, None] - one[None, :]))
+    # A document more or less is chance, however few were expected.
+    tells = (bad - both * expected) ** 2 / np.maximum(1, both * expected * (1 - expected))
+    a, b = np.triu_indices(len(slots), 1)
+    order = np.lexsort((b, a, -tells[a, b]))
+    order = order[tells[a, b][order] >= how.pair_tells]
+    return list(dict.fromkeys(int(slots[x]) for k in order[:how.terms] for x in (a[k], b[k])))
+
+
 def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Model:
     """A model from docs (doc_id, text) and labels (doc_id, toxic)."""
     label = labels.where("toxic is not null and doc_id is not null").groupBy(
@@ -127,16 +163,24 @@ def train(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> Mod
     told = counts.withColumn("tells", (F.col("b") - expected) ** 2 / expected / (
         1 - F.col("n") / (good + bad + 1.0)))
     told = told.where(F.col("tells") >= how.least_tells)
-    chosen = [r["slot"] for r in told.orderBy(F.desc("tells"), "slot").limit(how.terms).collect()]
-    at = {s: i for i, s in enumerate(chosen)}
-    kept = rows.select("toxic", F.array_intersect(
-        "slots", F.array(*[F.lit(s) for s in chosen]).cast("array<int>")).alias("slots")).toPandas()
+    alone = [r["slot"] for r in told.orderBy(F.desc("tells"), "slot").limit(how.terms).collect()]
+    frequent = [r["slot"] for r in counts.orderBy(F.desc("n"), "slot").limit(how.paired).collect()]
+    known = np.array(sorted({*alone, *frequent}), np.int32)
+    sample = rows.select((F.col("toxic") != 0).alias("toxic"), F.array_intersect(
+        "slots", F.array(*[F.lit(int(s)) for s in known]).cast("array<int>")).alias("slots")).toPandas()
     rows.unpersist()
-    kept = kept.sort_values("toxic", kind="stable")  # the order of tasks is no matter to the fit
-    kept["key"] = kept["slots"].map(lambda x: tuple(sorted(x)))
-    kept = kept.sort_values(["toxic", "key"], kind="stable")
-    terms = [np.array([at[s] for s in key], np.int64) for key in kept["key"]]
-    fitted = _fit(terms, (kept["toxic"].to_numpy() != 0).astype(float), len(chosen), how)
+    # The order of tasks is no matter to the fit.
+    sample["slots"] = [np.sort(np.asarray(x, np.int32)) for x in sample["slots"]]
+    sample["key"] = [x.tobytes() for x in sample["slots"]]
+    sample = sample.sort_values(["toxic", "key"], kind="stable")
+    labelled = sample["toxic"].to_numpy().astype(float)
+    chosen = alone + [s for s in _telling_pairs(list(sample["slots"]), labelled, np.sort(np.array(
+        frequent, np.int32)), how) if s not in set(alone)]
+    chosen = chosen[:how.terms]
+    at = {s: i for i, s in enumerate(chosen)}
+    place = np.array([at.get(s, -1) for s in known.tolist()], np.int64)
+    terms = [x[x >= 0] for x in (place[np.searchsorted(known, one)] for one in sample["slots"])]
+    fitted = _fit(terms, labelled, len(chosen), how)
     return Model(at, *fitted)
 
 

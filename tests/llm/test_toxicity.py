@@ -33,6 +33,40 @@ def test_pairs_weigh_what_terms_alone_do_not(spark):
     assert model.factors[a] @ model.factors[b] > 0
 
 
+def test_pairs_of_words_that_tell_nothing_alone(spark):
+    """Toxic if exactly one of two words is there: each alone is as frequent with either label."""
+    draw = random.Random(2)
+    made, marks = [], []
+    for i in range(3000):
+        one, two = i % 2, i // 2 % 2
+        text = rows.words(draw, 12).split() + ["wretched"] * one + ["strangers"] * two
+        draw.shuffle(text)
+        made.append((i, " ".join(text), "en", "a"))
+        marks.append((i, one ^ two))
+    docs = rows.table(spark, made)
+    model = toxicity.train(docs.where("doc_id < 2400"), labels(spark, marks))
+    assert {toxicity.slot("wretched"), toxicity.slot("strangers")} <= set(model.slots)
+    found = docs.where("doc_id >= 2400").select(
+        "doc_id", toxicity.score(F.col("text"), model, docs).alias("s")).collect()
+    assert np.mean([(r["s"] >= 0.5) == dict(marks)[r["doc_id"]] for r in found]) > 0.98
+
+
+def test_scores_equal_the_double_sum_over_pairs(spark):
+    docs, marks = table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
+    model = toxicity.train(docs, marks)
+    got = {r["doc_id"]: r["s"] for r in docs.select(
+        "doc_id", toxicity.score(F.col("text"), model, docs).alias("s")).collect()}
+    assert len(model.slots) > 5
+    for r in docs.collect():
+        words = {toxicity.slot(w) for w in toxicity.WORDS.findall((r["text"] or "").lower())}
+        terms = [model.slots[s] for s in words if s in model.slots]
+        total = model.bias + sum(model.weights[t] for t in terms)
+        for i, a in enumerate(terms):
+            for b in terms[i + 1:]:
+                total += sum(float(x) * float(y) for x, y in zip(model.factors[a], model.factors[b]))
+        assert abs(got[r["doc_id"]] - 1 / (1 + np.exp(-min(30, max(-30, total))))) < 1e-9
+
+
 def test_held_out_accuracy(spark):
     docs, marks = table(spark, SMALL, "documents"), table(spark, SMALL, "labels")
     out = held_out(F.col("doc_id"), 5, 0)
