@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 TAG = re.compile(
@@ -49,6 +50,7 @@ def parse(source: str | None, marks: bool = False) -> Page:
     if not source:
         return page
     stack, run, linked, in_link, inside = [0], [], 0, False, False
+    opened = Counter()  # elements on the stack by tag
     position, end = 0, len(source)
 
     def node(parent: int, tag: str, names: list[str], text: str, in_links: int) -> int:
@@ -60,6 +62,11 @@ def parse(source: str | None, marks: bool = False) -> Page:
         page.marked.append(inside)
         return len(page.tag) - 1
 
+    def leave() -> str:
+        tag = page.tag[stack.pop()]
+        opened[tag] -= 1
+        return tag
+
     def flush() -> None:
         nonlocal linked
         if run:
@@ -99,10 +106,9 @@ def parse(source: str | None, marks: bool = False) -> Page:
                 continue
             flush()
             in_link = False
-            for depth in range(len(stack) - 1, 0, -1):
-                if page.tag[stack[depth]] == tag:
-                    del stack[depth:]
-                    break
+            if opened[tag]:
+                while leave() != tag:
+                    pass
             continue
         if tag in UNSEEN:
             stop = ENDS[tag].search(source, position)
@@ -121,9 +127,9 @@ def parse(source: str | None, marks: bool = False) -> Page:
         flush()
         in_link = False
         if page.tag[stack[-1]] == "p":  # a paragraph holds no block
-            stack.pop()
+            leave()
         while len(stack) > 1 and page.tag[stack[-1]] in CLOSES.get(tag, ()):
-            stack.pop()
+            leave()
         names = []
         if "=" in attributes:
             for found in ATTRIBUTE.findall(attributes):
@@ -131,6 +137,7 @@ def parse(source: str | None, marks: bool = False) -> Page:
         made = node(stack[-1], tag, names, "", 0)
         if tag not in VOID:
             stack.append(made)
+            opened[tag] += 1
     flush()
     return page
 

@@ -21,6 +21,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs
@@ -220,28 +221,55 @@ def derive(records: DataFrame) -> DataFrame:
 
 
 FILES = "file string, records long"
+FILE_BYTES = 256 << 20  # a file is read whole by one task
 
 
-def write(derived: DataFrame, folder: str) -> DataFrame:
+def members(content: memoryview, step: int = 1 << 14) -> Iterator[bytes]:
+    """The gzip members of a file; ``step`` bytes at a time, so that none is read over and over.
+
+    A member that the end of the file cuts off is an error.
+    """
+    at = 0
+    while at < len(content):
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof:
+            piece = content[at:at + step]
+            if not piece:
+                raise EOFError("the file ends within a member")
+            parts.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
+        yield b"".join(parts)
+
+
+def write(derived: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes records (record) as files of gzip members; the manifest (file, records).
 
     The folder is one that all executors reach. A task writes under the name of its
-    attempt, and the manifest names the files of the attempts that counted.
+    attempt, beginning another file once one has ``file_bytes``; the manifest names the
+    files of the attempts that counted.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, root = fs.FileSystem.from_uri(f"{folder}/files")
-        name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
-        out, count = None, 0
+        name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
+        out, done, count, size = None, [], 0, 0
         for batch in batches:
             for raw in batch.column("record"):
                 if out is None:
                     target.create_dir(root, recursive=True)
-                    out = target.open_output_stream(f"{root}/{name}", compression=None)
-                out.write(gzip.compress(raw.as_py(), 6, mtime=0))
-                count += 1
+                    file = f"{name}-{len(done):04d}.warc.gz"
+                    out = target.open_output_stream(f"{root}/{file}", compression=None)
+                member = gzip.compress(raw.as_py(), 6, mtime=0)
+                out.write(member)
+                count, size = count + 1, size + len(member)
+                if size >= file_bytes:
+                    out.close()
+                    done.append((file, count))
+                    out, count, size = None, 0, 0
         if out is not None:
             out.close()
-            yield _rows(["file", "records"], [pa.string(), pa.int64()], [(name, count)])
+            done.append((file, count))
+        if done:
+            yield _rows(["file", "records"], [pa.string(), pa.int64()], done)
 
     derived.where("record is not null").select("record").mapInArrow(run, FILES).write.parquet(
         f"{folder}/manifest")
@@ -257,13 +285,9 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column("file").to_pylist(), batch.column("content")):
-                rest, out = memoryview(content.as_buffer()), []
-                while len(rest):
-                    member = zlib.decompressobj(31)
-                    out.append((file, member.decompress(rest)))
-                    rest = memoryview(member.unused_data)
-                for i in range(0, len(out), 256):
-                    yield _rows(["file", "record"], [pa.string(), pa.binary()], out[i:i + 256])
+                found = members(memoryview(content.as_buffer()))
+                while out := [(file, record) for record in islice(found, 256)]:
+                    yield _rows(["file", "record"], [pa.string(), pa.binary()], out)
 
     content = spark.read.format("binaryFile").load(f"{folder}/files").select(
         F.element_at(F.split("path", "/"), -1).alias("file"), "content")

@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -91,3 +92,9 @@ def test_comments_notices_and_forms_are_left_out():
               "<section class=comments><p>I think this is a very good story, thank you.</p></section>"
               "<footer><p>All rights reserved.</p></footer>")
     assert MODEL.text(source) == "Title of it\nA paragraph of some length that tells a story."
+
+
+def test_stray_end_tags_take_linear_time():
+    begin = time.process_time()
+    page = parse("<div>" * 20_000 + "</section>" * 20_000 + "<p>Text.</p>" + "</div>" * 20_000)
+    assert time.process_time() - begin < 1 and page.text[-1] == "Text."

@@ -1,6 +1,10 @@
 import gzip
+import random
+import time
 import uuid
 
+import pytest
+
 from evenkeel.llm import warc
 from evenkeel.llm.common import table
 from evenkeel.session import shared_folder
@@ -83,3 +87,23 @@ def test_awkward_rows(spark):
     assert empty.count() == 0
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     assert warc.write(empty, folder).count() == 0 and warc.read(spark, folder).count() == 0
+
+
+def test_members_are_read_once_and_files_roll(spark):
+    draw = random.Random(4)
+    records = [draw.randbytes(draw.choice((0, 1, 20, 2_000, 50_000))) for _ in range(300)]
+    content = b"".join(gzip.compress(r) for r in records)
+    for step in (97, 1 << 14, len(content)):
+        assert list(warc.members(memoryview(content), step)) == records
+    assert list(warc.members(memoryview(b""))) == []
+    with pytest.raises(EOFError):
+        list(warc.members(memoryview(content[:-1])))
+    many = memoryview(b"".join(gzip.compress(draw.randbytes(2_000)) for _ in range(16_000)))
+    begin = time.process_time()
+    assert sum(1 for _ in warc.members(many)) == 16_000
+    assert time.process_time() - begin < 5
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    df = spark.createDataFrame([(bytearray(r),) for r in records], "record binary").coalesce(1)
+    manifest = warc.write(df, folder, file_bytes=100_000)
+    assert manifest.count() > 10 and manifest.agg({"records": "sum"}).first()[0] == len(records)
+    assert sorted(bytes(r["record"]) for r in warc.read(spark, folder).collect()) == sorted(records)
