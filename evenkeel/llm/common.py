@@ -71,6 +71,9 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
         F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def sampled(doc_id: Column, share: Column) -> Column:
-    """A repeatable choice of about the given share of the ids."""
-    return F.pmod(F.xxhash64(F.lit("sample"), doc_id), F.lit(1 << 20)) < share * (1 << 20)
+def sampled(doc_id: Column, share: Column, text: Column | None = None) -> Column:
+    """A repeatable choice of about the given share of the ids; null ids go by the text, if given."""
+    digest = F.xxhash64(F.lit("sample"), doc_id)
+    if text is not None:
+        digest = F.when(doc_id.isNull(), F.xxhash64(F.lit("sample"), text)).otherwise(digest)
+    return F.pmod(digest, F.lit(1 << 20)) < share * (1 << 20)

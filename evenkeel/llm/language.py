@@ -5,7 +5,7 @@ that was not is read from left to right: at each place the longest known n-gram
 counts, by its log frequency among the n-grams of its length.
 
 Training reads a sample of the labelled rows: about ``docs_per_language`` of each
-language, chosen by a digest of the id. Counts are made by Spark and the tables
+language, chosen by a digest of the id, or of the text where the id is null. Counts are made by Spark and the tables
 hold ``entries`` rows over all languages, so the model has a fixed size.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so
@@ -85,7 +85,8 @@ def train(rows: DataFrame, how: Training = Training()) -> Model | None:
     languages = sorted(sizes)
     shares = F.create_map(*[F.lit(x) for lang in languages for x in (
         lang, min(1.0, how.docs_per_language / sizes[lang]))])
-    chosen = rows.where(sampled(F.col("doc_id"), shares[F.col("lang")])).select(
+    chosen = rows.where(sampled(
+        F.col("doc_id"), shares[F.col("lang")], F.col("text"))).select(
         "lang", F.explode(F.split(F.regexp_replace(
             F.lower("text"), r"[^\p{L}\p{M}]+", " "), " ")).alias("word")).where("word <> ''")
     counts = chosen.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).persist()

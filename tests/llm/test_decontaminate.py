@@ -105,3 +105,10 @@ def test_alignment_keeps_to_its_band():
     text = np.concatenate([np.zeros(10, np.uint32), item[:20], item[21:], np.zeros(5, np.uint32)])
     assert D.align(item, text, 8, 4, 2) == (1, 10, 48)
     assert D.align(item, text, 30, 4, 2) is None
+
+
+def test_texts_are_aligned_once(spark):
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "a question long enough to be an item")], "item_id long, text string")
+    plan = D.matches(docs, benchmark)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
