@@ -45,7 +45,7 @@ def features(page: Page) -> list[list[str]]:
     found, within = [], []  # whether a node is in an article or main element
     for i, tag in enumerate(page.tag):
         within.append(i > 0 and (within[page.parent[i]] or page.tag[page.parent[i]] in CONTENT_TAGS))
-        share = 0 if not linked[i] else 1 if 2 * linked[i] < size[i] else 2
+        share = 0 if not linked[i] else 1 if 2 * linked[i] < size[i] else 2 if linked[i] < 0.9 * size[i] else 3
         kind = "text" if tag == "#text" else "box"
         one = [f"{kind} links {share}"]
         if tag == "#text":
@@ -55,6 +55,7 @@ def features(page: Page) -> list[list[str]]:
         else:
             one.append(f"tag {tag}")
             one.append(f"tag {tag} within {within[i]}")
+            one.append(f"tag {tag} named {bool(page.names[i])}")
             one += [f"name {x}" for x in page.names[i]]
         found.append(one)
     return found

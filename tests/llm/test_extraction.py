@@ -98,3 +98,36 @@ def test_stray_end_tags_take_linear_time():
     begin = time.process_time()
     page = parse("<div>" * 20_000 + "</section>" * 20_000 + "<p>Text.</p>" + "</div>" * 20_000)
     assert time.process_time() - begin < 1 and page.text[-1] == "Text."
+
+
+# None of these is a layout that the model has seen.
+UNSEEN = (
+    '<div class="content"><!--main--><h1>A quiet town</h1><p>It lies at <a href="/r">the old river</a> and is small.</p>'
+    '<p>Nobody came.</p><!--/main--></div><div class="footer">All rights reserved.</div>',
+    '<nav><a href="/">Home</a> <a href="/b">Shop</a></nav><article><!--main--><h1>The fair</h1><p><a href="/x">See the '
+    'list</a> of all stalls.</p><ul><li><a href="/m">Music</a> begins at nine in the evening.</li><li>Food is sold '
+    'until midnight.</li></ul><!--/main--></article><footer>Imprint</footer>',
+    '<div id="gdpr-consent"><p>We value your privacy and use files on your device.</p><button>Agree</button></div>'
+    '<div class="wrapper"><div class="left"><!--main--><h2>On bridges</h2><p>Bridges of <a href="/s">stone</a>, of '
+    '<a href="/w">wood</a> and of iron were built here.</p><blockquote>We shall build another one.</blockquote>'
+    '<p>So it was said.</p><!--/main--></div></div><div class="sidebar"><ul><li><a href="/1">Popular</a></li>'
+    '<li><a href="/2">Latest news</a></li></ul></div>',
+    '<header><div class="menu"><a href="/">Start</a><a href="/c">Contact</a></div></header><section><!--main-->'
+    '<h1>Weather of the week</h1><p>Rain falls, as <a href="/w">the station</a> reports, on all days.</p><table><tr>'
+    '<th>Day</th><th>Rain</th></tr><tr><td>Monday</td><td>Nine litres</td></tr></table><!--/main--></section>'
+    '<section class="comments"><h3>Comments</h3><p>I do not believe a word of it.</p></section>',
+    '<div class="post"><!--main--><h1>Letters</h1><p>He wrote many. <a href="/l">Some of them</a> were kept by the '
+    'museum, which shows them.</p><figure><img><figcaption>A letter, from <a href="/m">the museum</a>.</figcaption>'
+    '</figure><p>They are read to this day.</p><!--/main--></div><div class="newsletter">Subscribe to our letter.</div>'
+    '<div class="related"><h4>More</h4><a href="/q">Stamps</a> <a href="/z">Envelopes</a></div>',
+)
+
+
+def test_unseen_layouts_with_links_in_the_content():
+    kept = good = right = 0
+    for source in UNSEEN:
+        page = parse(source, marks=True)
+        got = MODEL.text(source).split("\n")
+        want = [t for t, m in zip(page.text, page.marked) if t and m]
+        kept, good, right = kept + len(got), good + len(want), right + len(set(got) & set(want))
+    assert right >= 0.95 * kept and right >= 0.95 * good, (right, kept, good)
