@@ -63,7 +63,7 @@ def _classes(total: Column, rest: Column, blanks: Column, capitals: Column, digi
     return F.array(*[c.cast("long") for c in (*known, total - letters - digits - blanks - symbols)])
 
 
-def base_counts(docs: DataFrame, longest: Column | None = None) -> DataFrame:
+def base_counts(docs: DataFrame, longest: int | None = None) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words.
 
     Repeated windows are neighbours among the sorted digests; their starts give the
@@ -216,12 +216,14 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         F.lit(ANY).alias("_key"), "_profiles", F.lit(False).alias("_known"))
     profiles = refs.where(F.col("_key") != ANY).select(
         "_key", F.array("profile").alias("_profiles"), F.lit(True).alias("_known")
-    ).unionByName(every).withColumn("_longest", F.array_max(F.flatten(F.transform(
-        "_profiles", lambda r: F.transform(r["words"], lambda w: F.char_length(w["word"]))))))
+    ).unionByName(every)
+    # One number: longer words are no common words.
+    longest = refs.agg(F.max(F.array_max(F.transform(
+        "profile.words", lambda w: F.char_length(w["word"]))))).first()[0] or 0
     known = small(profiles.where("_known").select(F.col("_key").alias("_lang"), "_known"), MANY)
     rows = docs.join(known, F.col("lang") == F.col("_lang"), "left").withColumn(
         "_key", F.when(F.col("_known"), F.col("lang")).otherwise(ANY)).drop("_known", "_lang")
-    rows = base_counts(rows.join(small(profiles.drop("_known"), MANY), "_key", "left"), F.col("_longest"))
+    rows = base_counts(rows, longest).join(small(profiles.drop("_known"), MANY), "_key", "left")
     rows = rows.withColumn("_common", F.transform("_profiles", _common_counts)).withColumns({
         "class_distance": F.array_min(F.transform(
             "_profiles", lambda r: js_distance(_class_pairs(r)))),
@@ -241,7 +243,7 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         rows.withColumn("base_failed", (F.col("n_words") < rules.min_words) | (
             100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
         .withColumn("kept", _settled(~F.col("base_failed") & ~F.coalesce(far, F.lit(False))))
-        .drop("_key", "_classes", "_short", "_longest", "_profiles", "_common", "_distances"))
+        .drop("_key", "_classes", "_short", "_profiles", "_common", "_distances"))
 
 
 def keep(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
