@@ -29,6 +29,7 @@ SYMBOLS = r"[#*$%&|<>]"
 CLASSES = ("letter", "capital", "digit", "blank", "symbol", "mark")
 ANY = ""  # key of the rows that are compared with every reference
 MANY = 10_000  # languages; more of them are joined without a broadcast
+SLOTS = 4_096  # of a table of word digests, which tells most words that are no common word
 
 
 @dataclass(frozen=True)
@@ -52,6 +53,16 @@ def _settled(value: Column) -> Column:
     return F.when(F.monotonically_increasing_id() >= 0, value)
 
 
+def _slot(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
+
+
+def _taken(words: DataFrame) -> Column:
+    """Which slots hold a word: an array of SLOTS booleans, so at most that many rows are read."""
+    slots = {r[0] for r in words.select(_slot(F.col("word"))).distinct().collect()}
+    return F.expr("array(" + ",".join("true" if i in slots else "false" for i in range(SLOTS)) + ")")
+
+
 def _length_without(text: Column, pattern: str) -> Column:
     return F.char_length(F.regexp_replace(text, pattern, ""))
 
@@ -63,13 +74,13 @@ def _classes(total: Column, rest: Column, blanks: Column, capitals: Column, digi
     return F.array(*[c.cast("long") for c in (*known, total - letters - digits - blanks - symbols)])
 
 
-def base_counts(docs: DataFrame, longest: int | None = None) -> DataFrame:
+def base_counts(docs: DataFrame, taken: Column | None = None) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words.
 
     Repeated windows are neighbours among the sorted digests; their starts give the
     covered words as the length of a union of intervals. Beside the counts come the
-    character classes and the words of at most ``longest`` characters, two spaces apart, for
-    the histograms.
+    character classes and the words whose slot is ``taken``, two spaces apart, for the
+    histograms.
     """
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -96,8 +107,8 @@ def base_counts(docs: DataFrame, longest: int | None = None) -> DataFrame:
         .withColumns({
             "n_words": F.size(w).cast("long"),
             "word_chars": F.char_length(F.array_join(w, "")).cast("long"),
-            "_short": F.concat(F.lit(" "), F.array_join(w if longest is None else F.filter(
-                w, lambda x: F.char_length(x) <= longest), "  "), F.lit(" ")),
+            "_short": F.concat(F.lit(" "), F.array_join(w if taken is None else F.filter(
+                w, lambda x: F.get(taken, _slot(x))), "  "), F.lit(" ")),
             "_windows": F.sort_array(windows)})
         .drop("_words")
         .withColumns({
@@ -217,13 +228,12 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     profiles = refs.where(F.col("_key") != ANY).select(
         "_key", F.array("profile").alias("_profiles"), F.lit(True).alias("_known")
     ).unionByName(every)
-    # One number: longer words are no common words.
-    longest = refs.agg(F.max(F.array_max(F.transform(
-        "profile.words", lambda w: F.char_length(w["word"]))))).first()[0] or 0
+    # Words in other slots are no common words; what else shares a slot is told by the search.
+    taken = _taken(refs.select(F.explode("profile.words.word").alias("word")))
     known = small(profiles.where("_known").select(F.col("_key").alias("_lang"), "_known"), MANY)
     rows = docs.join(known, F.col("lang") == F.col("_lang"), "left").withColumn(
         "_key", F.when(F.col("_known"), F.col("lang")).otherwise(ANY)).drop("_known", "_lang")
-    rows = base_counts(rows, longest).join(small(profiles.drop("_known"), MANY), "_key", "left")
+    rows = base_counts(rows, taken).join(small(profiles.drop("_known"), MANY), "_key", "left")
     rows = rows.withColumn("_common", F.transform("_profiles", _common_counts)).withColumns({
         "class_distance": F.array_min(F.transform(
             "_profiles", lambda r: js_distance(_class_pairs(r)))),
