@@ -8,8 +8,8 @@ overlap by half, so that some band holds any k + 1 neighbours; bands that reach
 bound are verified by an alignment within the band. Filtering loses nothing.
 
 Texts and items are compared in lower case with runs of blanks as one space. Items
-come in shards of bounded size that every task can hold; a benchmark of several
-shards takes one pass over the documents for each.
+come in shards of bounded size, of which a task holds one; a benchmark of several
+shards takes one pass over the documents for each, after another in ``clean``.
 
 Defined results: a null or empty text has no passages; a null item, or one shorter
 than ``min_item_chars``, is in no document. Repeated items each report. Every row
@@ -20,14 +20,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from evenkeel.session import stage
+
 PASSAGES = "array<struct<item_id:bigint,start:int,stop:int,edits:int>>"
 _PASSAGE_TYPE = pa.list_(pa.struct([
     ("item_id", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("edits", pa.int32())]))
@@ -210,21 +213,27 @@ def _finder(shipped: Broadcast, how: Matching):
     return run.asNondeterministic()
 
 
-def passages(text: Column, benchmark: DataFrame, how: Matching = Matching()) -> Column:
-    """Benchmark passages in a text: item_id, start and stop in the text, and edits."""
-    spark = benchmark.sparkSession
-    found = []
-    for items in _shards(benchmark, how):
-        found.append(_finder(spark.sparkContext.broadcast(items), how)(text))
-    return found[0] if len(found) == 1 else F.concat(*found)
-
-
 def matches(docs: DataFrame, benchmark: DataFrame, how: Matching = Matching()) -> DataFrame:
-    """(doc_id, item_id, start, stop, edits) of every passage in docs (doc_id, text)."""
-    found = docs.select("doc_id", passages(F.col("text"), benchmark, how).alias("_found"))
-    return found.select("doc_id", F.inline("_found"))
+    """(doc_id, item_id, start, stop, edits) of every passage in docs (doc_id, text).
+
+    Shards are branches of a union: their tasks are apart, and each holds its shard only.
+    """
+    context = benchmark.sparkSession.sparkContext
+    found = [
+        docs.select("doc_id", _finder(context.broadcast(items), how)("text").alias("_found")).select(
+            "doc_id", F.inline("_found"))
+        for items in _shards(benchmark, how)]
+    return reduce(DataFrame.unionAll, found)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, how: Matching = Matching()) -> DataFrame:
-    """The documents that hold no benchmark passage, with their columns."""
-    return docs.where(F.size(passages(F.col("text"), benchmark, how)) == 0)
+    """The documents that hold no benchmark passage, with their columns.
+
+    What one shard leaves is written before the next is looked for, so that no task
+    holds two.
+    """
+    context, left = benchmark.sparkSession.sparkContext, None
+    for items in _shards(benchmark, how):
+        docs = docs if left is None else stage(left, "decontaminated")
+        left = docs.where(F.size(_finder(context.broadcast(items), how)("text")) == 0)
+    return left

@@ -89,6 +89,18 @@ def test_shards_give_the_same(spark):
     assert len(whole) == 9
 
 
+def test_a_task_holds_one_shard(spark):
+    draw = random.Random(7)
+    items = [(i, rows.words(draw, 20)) for i in range(9)]
+    docs = rows.table(spark, [(i, items[i][1] + " x", "en", "a") for i in range(0, 9, 2)] + [(20, "free", "en", "a")])
+    how = D.Matching(shard_chars=200)
+    assert [r["doc_id"] for r in D.clean(docs, bench(spark, items), how).collect()] == [20]
+    for frame in (D.clean(docs, bench(spark, items), how), D.matches(docs, bench(spark, items), how)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        # One search over each scan: branches of a union, or the last of several passes.
+        assert plan.count("ArrowEvalPython") == plan.count("Scan ") >= 1
+
+
 def test_awkward_rows_and_clean(spark):
     docs = rows.table(spark, rows.awkward(random.Random(3)), extra=True)
     one = rows.awkward(random.Random(3))[0][1]
