@@ -36,7 +36,7 @@ LETTER = regex.compile(r"\p{L}")
 @dataclass(frozen=True)
 class Training:
     docs_per_language: int = 5_000
-    entries: int = 150_000   # rows of words, and of n-grams, over all languages
+    entries: int = 40_000    # words, and n-grams, of each language
     longest: int = 5         # characters of an n-gram
     smoothing: float = 0.5
 
@@ -51,10 +51,10 @@ class Model:
     longest: int
 
 
-def _top(counts: DataFrame, key: str, languages: int, entries: int) -> DataFrame:
+def _top(counts: DataFrame, key: str, entries: int) -> DataFrame:
     order = Window.partitionBy("lang").orderBy(F.desc("n"), key)
     return counts.withColumn("_rank", F.row_number().over(order)).where(
-        F.col("_rank") <= max(1, entries // languages)).drop("_rank")
+        F.col("_rank") <= entries).drop("_rank")
 
 
 def _scores(counts: pd.DataFrame, key: list[str], languages: list[str], smoothing: float):
@@ -90,7 +90,7 @@ def train(rows: DataFrame, how: Training = Training()) -> Model | None:
         "lang", F.explode(F.split(F.regexp_replace(
             F.lower("text"), r"[^\p{L}\p{M}]+", " "), " ")).alias("word")).where("word <> ''")
     counts = chosen.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).persist()
-    words = _top(counts, "word", len(languages), how.entries).toPandas()
+    words = _top(counts, "word", how.entries).toPandas()
     padded = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
     places = F.sequence(F.lit(1), F.char_length(padded))
     grams = counts.select("lang", "n", padded.alias("word"), F.explode(places).alias("at")).select(
@@ -99,7 +99,7 @@ def train(rows: DataFrame, how: Training = Training()) -> Model | None:
     ).where("at + size - 1 <= char_length(word)").select(
         "lang", "n", "size", F.expr("substring(word, at, size)").alias("gram"))
     grams = grams.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")).where("n > 1")
-    grams = _top(grams, "gram", len(languages), how.entries).toPandas()
+    grams = _top(grams, "gram", how.entries).toPandas()
     counts.unpersist()
     known, word_scores = _scores(words, ["word"], languages, how.smoothing)
     pieces, gram_scores = _scores(grams, ["gram", "size"], languages, how.smoothing)
