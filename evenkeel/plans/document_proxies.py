@@ -186,9 +186,11 @@ def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "P").alias("p"))
     grade = F.when(F.col("p") * 4 < F.col("n"), "Low concern").when(
         F.col("p") * 3 < F.col("n"), "Medium concern").otherwise("Unclassified")
-    line = _text('"', F.col("n_name"), '","', F.col("y").cast("string"), '","', grade, '","',
+    # A cell with a comma, quotes and a broken line, which a reader must not take for rows.
+    note = _text(F.col("n_name"), ', ""', F.col("n").cast("string"), '"" records\r\n\n"",""', grade, '""')
+    line = _text('"', F.col("n_name"), '","', F.col("y").cast("string"), '","', note, '","', grade, '","',
                  F.format_number("n", 0), '","', F.col("p").cast("string"), '"')
-    header = ('"Title: Explore by Topic",,,\n\n"State","Data Year","DQ Assessment",'
+    header = ('"Title: Explore by Topic",,,\n\n"State","Data Year","Note","DQ Assessment",'
               '"# Supplemental Payment Records",'
               '"% Supplemental Payment Records with Missing or Zero Payment"\n')
     content = F.concat(F.lit(header), F.array_join(F.array_sort(F.collect_list(line)), "\n"))

@@ -38,10 +38,14 @@ TOPIC_MARKER = "Supplemental_Pmts"
 HEADER_START = '"State"'
 
 
-def read_manifest(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Entries of manifest files, with the retrieval time of their manifest."""
+def read_manifest(spark: SparkSession, path: str, limit: int | None = None,
+                  one_a_line: bool = False) -> DataFrame:
+    """Entries of manifest files, with the retrieval time of their manifest.
+
+    A file is one document and one task, or has a document on each line and is split.
+    """
     schema = f"retrieved_at string, preprints array<struct<{_nested(MANIFEST_ENTRY)}>>"
-    manifest = spark.read.schema(schema).option("multiLine", True).json(path)
+    manifest = spark.read.schema(schema).option("multiLine", not one_a_line).json(path)
     entries = manifest.select(
         F.col("retrieved_at").alias("manifest_retrieved_at"),
         F.posexplode("preprints").alias("position", "entry"))
@@ -109,10 +113,23 @@ def newest_file(files: DataFrame) -> DataFrame:
         "f.*").where(F.col("year").isNotNull())
 
 
+# Quoted cells hold commas, doubled quotes and line ends. Every loop is possessive, so a cell
+# of any length takes one pass and no stack; a quote that is never closed runs to the end.
+_QUOTED = r'"(?:[^"]++|"")*+(?:"|\z)'
+_RECORD = rf"(?:{_QUOTED}[^,\n]*+|[^,\n]*+)(?:,(?:{_QUOTED}[^,\n]*+|[^,\n]*+))*+"
+
+
+def _records(text: Column) -> Column:
+    """Records of a CSV text, each without its line ends; empty ones are left out."""
+    found = F.regexp_extract_all(text, F.lit(_RECORD), F.lit(0))
+    bare = F.transform(found, lambda r: F.rtrim(F.replace(F.replace(r, F.lit("\r")), F.lit("\n"))))
+    return F.filter(bare, lambda r: r != "")
+
+
 def _cells(line: Column) -> Column:
-    """Cells of one CSV line, quotes removed."""
+    """Cells of one record, quotes removed."""
     cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(
-        r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+        r',("(?:[^"]++|"")*+"|[^,]*+)'), F.lit(1))
 
     def bare(cell: Column) -> Column:
         inner = F.substring(cell, F.lit(2), F.greatest(F.length(cell) - 2, F.lit(0)))
@@ -125,19 +142,18 @@ def _cells(line: Column) -> Column:
 def topic_rows(files: DataFrame) -> DataFrame:
     """Rows below the real header line, as cells beside the header that names them.
 
-    Title lines precede the header. A file without one has no rows.
+    Title lines precede the header; quotes in them open no cell. A file without a header
+    has no rows. The lines of a quoted cell are joined as they stand, blank ones dropped.
     """
-    lines = F.filter(F.split("content", "\n"), lambda line: F.trim(line) != "")
-    start = F.array_position(
-        F.transform("lines", lambda line: F.startswith(line, F.lit(HEADER_START))), True)
+    start = F.instr(F.concat(F.lit("\n"), F.col("content")), F.lit("\n" + HEADER_START))
     rows = (
-        files.withColumn("lines", F.transform(lines, lambda l: F.rtrim(F.replace(l, F.lit("\r")))))
-        .withColumn("start", start.cast("int"))
+        files.withColumn("start", start)
         .where(F.col("start") > 0)
-        .withColumn("header", _cells(F.get("lines", F.col("start") - 1)))
+        .withColumn("records", _records(F.regexp_replace(
+            F.expr("substring(content, start)"), r"\n\s*(?=\n)", "")))
+        .withColumn("header", _cells(F.get("records", F.lit(0))))
         .select("year", "file_name", "header", F.explode(F.slice(
-            F.col("lines"), F.col("start") + 1,
-            F.greatest(F.size("lines") - F.col("start"), F.lit(0)))).alias("line"))
+            F.col("records"), F.lit(2), F.greatest(F.size("records") - 1, F.lit(0)))).alias("line"))
         .withColumn("cells", _cells(F.col("line")))
     )
     return rows.select("year", "file_name", "header", "cells")

@@ -153,6 +153,26 @@ def test_measures(spark, tmp_path):
     assert got[0]["pct_missing_or_zero_payment"] is None
 
 
+def test_topic_cells_of_several_lines(spark):
+    long = "word, \"\"quoted\"\"\r\n" * 20_000
+    content = ('"A title with an inch sign 5\n,,\n"State","Note","DQ Assessment"\r\n\r\n'
+               '"Ohio","first\n\n  \nsecond, ""third""\r\n","Low concern"\r\n'
+               f'Iowa,,"High\nconcern"\n"Utah","{long}","x"\n \n"Maine","a","never closed\nuntil, the end')
+    files = spark.createDataFrame([(2020, "f", content)], "year int, file_name string, content string")
+    got = [(r[0], r[1], r[2]) for r in documents.topic_rows(files).select(
+        documents.cell("State"), documents.cell("Note"), documents.cell("DQ Assessment")).collect()]
+    assert got[:2] == [("Ohio", 'firstsecond, "third"', "Low concern"), ("Iowa", "", "Highconcern")]
+    assert got[2] == ("Utah", 'word, "quoted"' * 20_000, "x")
+    assert [r[0] for r in got] == ["Ohio", "Iowa", "Utah", "Maine"]
+
+
+def test_manifest_documents_on_lines(spark, tmp_path):
+    one = json.dumps({"retrieved_at": "t", "preprints": [{"sdp_identifier": "a"}, {"sdp_identifier": "b"}]})
+    (tmp_path / "m.json").write_text(f"{one}\n{one.replace('a', 'c')}\n")
+    rows = documents.read_manifest(spark, str(tmp_path), one_a_line=True).collect()
+    assert len(rows) == 4 and sorted(r["position"] for r in rows) == [0, 0, 1, 1]
+
+
 def test_topic_without_header_has_no_rows(spark):
     files = spark.createDataFrame([(2020, "f", '"just a title",,,\n')],
                                   "year int, file_name string, content string")
