@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from evenkeel.operators import exposure, extracts, families, kpis, reconciliation
 from evenkeel.plans import document_proxies, document_queries, finance, proxies
 from evenkeel.plans.finance_queries import PROVISIONAL_FROM, Query
-from evenkeel.session import shared_folder
-from evenkeel.sources import buckets, documents, tables
+from evenkeel.plans.late import LateRuns
+from evenkeel.session import shared_folder, stage
+from evenkeel.sources import buckets, documents, listing, tables
 from evenkeel.sources.arrivals import partition_lines
 from evenkeel.sources.commits import CommitLog
 
@@ -49,6 +50,74 @@ def measures_csv(spark, sf_dir: str) -> DataFrame:
     return extracts.assessed_states(documents.topic_rows(documents.newest_file(files)))
 
 
+def topic_notes(spark, sf_dir: str) -> DataFrame:
+    """The note of every state in the newest topic file, a cell of several lines."""
+    path = _folder(spark, "measures")
+    documents.write_csv(document_proxies.measures(spark, sf_dir).select(
+        F.lit("V1").alias("tafVersionId"), F.lit("M1").alias("measureId"), "payload"), path)
+    files = documents.topic_files(documents.read_measures(spark, path))
+    return documents.topic_rows(documents.newest_file(files)).select(
+        documents.cell("State").alias("state"), documents.cell("Note").alias("note"))
+
+
+ENTRIES = 1_000  # of a manifest document, about
+
+
+def manifest_json(spark, sf_dir: str) -> DataFrame:
+    """The manifest as its JSON documents hold it."""
+    path, rows = _folder(spark, "manifest"), document_proxies.manifest(document_proxies.listed(spark, sf_dir))
+    rows = stage(rows, "manifest")
+    part = F.pmod(F.xxhash64("sdp_identifier"), F.lit(rows.count() // ENTRIES + 1))
+    entry = F.struct(*[c for c in rows.columns if c != "manifest_retrieved_at"])
+    documents.write_json(rows.groupBy(part.alias("part"), F.col("manifest_retrieved_at").alias("retrieved_at")).agg(
+        F.collect_list(entry).alias("preprints")).drop("part"), path)
+    held = documents.read_manifest(spark, path, one_a_line=True)
+    return held.select(*rows.columns).withColumn(
+        "identifier_repairs", F.array_join("identifier_repairs", "; ")).withColumn(
+        "file_key", listing.file_key(F.col("sdp_identifier")))
+
+
+def page_files(spark, sf_dir: str) -> DataFrame:
+    """Every page as a file of its own, read back with its length, hash and kind.
+
+    Pages of even number are given the mark of another kind of document.
+    """
+    path = _folder(spark, "files")
+    marked = F.concat(F.when(F.col("page_id") % 2 == 0, F.lit("%PDF")).otherwise(F.lit("")),
+                      F.coalesce("html", F.lit("")))
+    rows = proxies.read(spark, sf_dir, "pages").select("page_id", marked.alias("value"))
+    rows.repartition("page_id").write.partitionBy("page_id").text(path)
+    number = F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long")
+    return documents.read_binaries(spark, f"{path}/page_id=*").select(
+        number.alias("page_id"), "length", "content_sha256", "is_pdf")
+
+
+FIRST_VERSIONS = 4  # that had landed when the first run was made
+FIRST_CUTOFF = date(1998, 12, 31)
+
+
+def _late_runs(spark, sf_dir: str) -> LateRuns:
+    """Two runs: of first versions at an early cutoff, then of later versions that land with repeated rows."""
+    run = proxies.finance_run(spark, sf_dir).staged("member_assignment", "fact_member_month")
+    landed = stage(run["raw_claim_header"], "landed")
+    runs = LateRuns(spark, _folder(spark, "late"), (run["dim_member"], run["dim_market"], run["dim_plan"]),
+                    run.member_months)
+    runs.run("RUN_0000", FIRST_CUTOFF, landed.where(F.col("version_number") <= FIRST_VERSIONS))
+    runs.run(proxies.RUN, proxies.CUTOFF, landed.where(
+        (F.col("version_number") == 1) | (F.col("version_number") > FIRST_VERSIONS)))
+    return runs
+
+
+def late_finals(spark, sf_dir: str) -> DataFrame:
+    """Finals after late versions, which a full run over all of them gives too."""
+    return _late_runs(spark, sf_dir).finals(proxies.RUN)
+
+
+def late_changes(spark, sf_dir: str) -> DataFrame:
+    """Families whose final the late versions or the later cutoff changed."""
+    return _late_runs(spark, sf_dir).delta("RUN_0000", proxies.RUN)
+
+
 def _readiness_document(spark, sf_dir: str) -> DataFrame:
     return extracts.readiness_document(document_queries._readiness(spark, sf_dir), CAVEATS)
 
@@ -167,5 +236,6 @@ def release_manifest(spark, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        archive_csv, extract_csv, measures_csv, readiness_summary, readiness_json,
+        archive_csv, extract_csv, measures_csv, topic_notes, manifest_json, page_files, late_finals, late_changes,
+        readiness_summary, readiness_json,
         stored_assessment, routed_lines, stored_exposure, stored_run, family_summary, published_runs, release_manifest)}

@@ -813,5 +813,15 @@ SELECTS |= {
 }
 
 
+_FIRST = CTES["fin"].replace("1999-06-30", "1998-12-31").replace("FROM hdr WHERE", "FROM hdr WHERE ver <= 4 AND")
+SELECTS |= {
+    "late_finals": SELECTS["claim_finals"],
+    "late_changes": f"""SELECT coalesce(e.fam, l.fam) AS claim_family_key, e.vkey AS earlier_version_key,
+        e.cents AS earlier_cents, e.population_match AS earlier_match, l.vkey AS later_version_key,
+        l.cents AS later_cents, l.population_match AS later_match
+        FROM ({_FIRST}) e FULL JOIN fin l ON e.fam = l.fam WHERE e IS DISTINCT FROM l""",
+}
+
+
 def statements() -> dict[str, str]:
     return {name: with_ctes(select) for name, select in SELECTS.items()}
