@@ -78,13 +78,15 @@ def base_counts(docs: DataFrame, taken: Column | None = None) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words.
 
     Repeated windows are neighbours among the sorted digests; their starts give the
-    covered words as the length of a union of intervals. Beside the counts come the
+    covered words as the length of a union of intervals. The upper halves of the digests,
+    sorted as numbers with the place in the lower half, leave the few windows whose whole
+    digests are compared. Beside the counts come the
     character classes and the words whose slot is ``taken``, two spaces apart, for the
     histograms.
     """
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    w, s, rest = F.col("_words"), F.col("_windows"), F.col("_rest")
+    w, coded, s, rest = F.col("_words"), F.col("_coded"), F.col("_windows"), F.col("_rest")
 
     def in_rest(pattern: str) -> Column:
         return F.char_length(rest) - _length_without(rest, pattern)
@@ -92,10 +94,21 @@ def base_counts(docs: DataFrame, taken: Column | None = None) -> DataFrame:
     blanks = F.col("_total") - F.col("word_chars")
     capitals, digits, symbols = in_rest(r"\p{Lu}+"), in_rest(r"\p{Nd}+"), in_rest(SYMBOLS)
     letters = F.col("_total") - F.char_length(rest) - (blanks - in_rest(BLANKS)) + in_rest(r"\p{L}+")
-    windows = F.transform(
+    place = F.lit(2 ** 31 - 1).cast("long")  # the bits that hold a place, which any array has room for
+
+    def digest(i: Column) -> Column:
+        return F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+
+    codes = F.transform(
         F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))),
-        lambda x, i: F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"),
-                              i.alias("p")))
+        lambda x, i: digest(i).bitwiseAND(F.lit(-2 ** 31).cast("long")).bitwiseOR(i.cast("long")))
+
+    def near(x: Column, other: Column) -> Column:
+        return F.coalesce(x.bitwiseXOR(other) <= place, F.lit(False)) & (x.bitwiseXOR(other) >= 0)
+
+    alike = F.filter(coded, lambda x, i: near(x, F.get(coded, i - 1)) | near(x, F.get(coded, i + 1)))
+    windows = F.transform(F.transform(alike, lambda x: x.bitwiseAND(place).cast("int")),
+                          lambda p: F.struct(digest(p).alias("h"), p.alias("p")))
     repeated = F.filter(s, lambda x, i: (x["h"] == F.get(s, i - 1)["h"])
                         | (x["h"] == F.get(s, i + 1)["h"]))
     return (
@@ -109,8 +122,9 @@ def base_counts(docs: DataFrame, taken: Column | None = None) -> DataFrame:
             "word_chars": F.char_length(F.array_join(w, "")).cast("long"),
             "_short": F.concat(F.lit(" "), F.array_join(w if taken is None else F.filter(
                 w, lambda x: F.get(taken, _slot(x))), "  "), F.lit(" ")),
-            "_windows": F.sort_array(windows)})
-        .drop("_words")
+            "_coded": F.sort_array(codes)})
+        .withColumn("_windows", F.sort_array(windows))
+        .drop("_words", "_coded")
         .withColumns({
             "n_symbols": symbols.cast("long"),
             "_classes": _classes(F.col("_total"), rest, blanks, capitals, digits, symbols, letters),
