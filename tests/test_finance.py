@@ -313,6 +313,29 @@ def test_checked_writes_count_what_separate_passes_count(clean, spark):
     assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
 
 
+def test_keys_of_all_tables_are_judged_without_generated_rows(clean, spark):
+    tables = {t: clean.curated_tables[t] for t in ("claim_header_version", "eligibility_span", "fact_payment_transaction")}
+    tables["claim_header_version"] = tables["claim_header_version"].unionByName(
+        tables["claim_header_version"].limit(1))
+    tables["dim_member"] = clean["dim_member"].limit(1)
+    counted = constraints.keyed_violations(tables)
+    got = {(r["table_name"], r["constraint_kind"], r["constraint_name"]): r["violations"] for r in counted.collect()}
+    for (table, kind, name), violations in got.items():
+        if kind == "UNIQUE":
+            found = constraints.duplicate_keys(tables[table], tuple(name.split(",")))
+            assert violations == sum(r["n"] - 1 for r in found.collect())
+        elif kind == "REFERENCE":
+            parent, targets = next(x[1:] for x in constraints.REFERENCES[table] if x[0] == name)
+            found = constraints.orphans(tables[table], tables[parent], name, targets)
+            assert violations == sum(r["n"] for r in found.collect())
+    assert got[("claim_header_version", "UNIQUE", "claim_version_key")] == 1
+    assert got[("eligibility_span", "REFERENCE", "member_key")] > 0
+    text = counted._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in text and "SortAggregate" not in text and "Expand" in text
+    every = constraints.constraint_violations(tables)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in every
+
+
 @pytest.mark.parametrize("table,change,kind,name", [
     ("fact_member_month", {"eligible_days": 32}, "CHECK", "eligible_days_range"),
     ("fact_member_month", {"program": "CHIP"}, "CHECK", "cohort_definition"),

@@ -164,3 +164,21 @@ def test_fingerprint_tells_values_apart(spark):
 def test_entry_queries_are_registered_with_oracles():
     import __spark_entry__ as entry
     assert set(registry.queries()) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_claim_versions_aggregate_by_hash_and_are_written_once(spark, tmp_path):
+    from datetime import datetime
+
+    from evenkeel.plans import proxies
+    rows = [(1, 1, "R", "F"), (1, 1, "N", "O"), (1, 2, "R", "F"), (1, 3, "Z", "F"), (1, 4, "R", "A"),
+            (1, 5, None, None)]
+    spark.createDataFrame(
+        [(o, 1, 1, n, 1.0, 2.0, 0.0, 0.0, flag, status, datetime(1998, 1, n)) for o, n, flag, status in rows],
+        proxies.STAR_SCHEMAS["lineitem"]).write.parquet(str(tmp_path / "lineitem.parquet"))
+    versions = proxies.claim_versions(spark, str(tmp_path))
+    got = {r["l_linenumber"]: (r["flag"], r["line_status"], r["paid"]) for r in versions.collect()}
+    assert got == {1: (0, 0, 400), 2: (0, 0, 200), 3: (1, 0, 200), 4: (0, -1, 200), 5: (None, None, 200)}
+    assert "SortAggregate" not in plan(versions)
+    inputs = proxies.FinanceInputs(spark, str(tmp_path), shared=True)
+    assert inputs.versions is inputs.versions
+    assert "stage/versions" in inputs.versions.inputFiles()[0]
