@@ -88,11 +88,12 @@ def drop_report(
     raw_lines = landed("raw_claim_line").withColumnRenamed("claim_family_id", "claim_family_key")
     raw_payments = landed("raw_payment_transaction").withColumnRenamed(
         "claim_family_id", "claim_family_key")
-    owned = raw_lines.join(versions, version)
+    # Lines meet the versions once, whether they find one or not.
+    owned = raw_lines.join(versions, version, "left")
     codes = mapped_codes(inputs["service_category_map"], mapping_version).withColumn(
         "is_mapped", F.lit(True))
-    placed = lines.select("run_id", "claim_version_key", "line_number", "service_code").distinct()
-    uncategorised = owned.join(
+    placed = lines.select("run_id", "claim_version_key", "line_number", "service_code")
+    dropped = owned.join(
         placed, ["run_id", "claim_version_key", "line_number", "service_code"], "left_anti"
     ).join(codes, ["claim_file_type", "service_code"], "left")
     spans, span_reason = gaps(kept)
@@ -102,10 +103,9 @@ def drop_report(
         report(repeated, "raw_eligibility_span", F.lit("span key landed before"), None),
         report(spans, "raw_eligibility_span", span_reason, None),
         report(claims, "raw_claim_header", claim_reason, "header_paid_amount_cents"),
-        report(raw_lines.join(versions, version, "left_anti"), "raw_claim_line",
-               F.lit("no header version"), "line_paid_amount_cents"),
-        report(uncategorised, "raw_claim_line",
-               F.when(F.col("is_mapped"), "code not in force on the service date")
+        report(dropped, "raw_claim_line",
+               F.when(F.col("claim_version_key").isNull(), "no header version")
+               .when(F.col("is_mapped"), "code not in force on the service date")
                .otherwise("code not mapped"), "line_paid_amount_cents"),
         report(raw_payments.join(versions, version, "left_anti"), "raw_payment_transaction",
                F.lit("no header version"), "signed_amount_cents"),

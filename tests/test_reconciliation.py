@@ -86,6 +86,18 @@ def test_drop_report(run):
                     ("raw_claim_line", "code not mapped"): (1, 6000)}
 
 
+def test_drop_report_joins_lines_to_versions_once(run):
+    lines = run["raw_claim_line"]
+    lost = lines.where("line_paid_amount_cents = 6000").withColumn("claim_family_id", F.lit("LOST"))
+    inputs = {**run.inputs, "raw_claim_line": lines.unionByName(lost)}
+    report = reconciliation.drop_report(inputs, run.headers, run.lines, RUN, MAPPING)
+    rows = {(r["table_name"], r["reason"]): (r["rows"], r["cents"]) for r in report.collect()}
+    assert rows[("raw_claim_line", "no header version")] == (lost.count(), 6000 * lost.count())
+    assert rows[("raw_claim_line", "code not mapped")] == (1, 6000)
+    # Repeated spans, lines that are placed, and payments.
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Join LeftAnti") == 3
+
+
 def test_failure_rate(run):
     raw = [run[t] for t in ("raw_eligibility_span", "raw_claim_line")]
     row = reconciliation.quality_failure_rate(run.quarantine, raw).first()
