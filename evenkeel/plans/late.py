@@ -6,8 +6,8 @@ cutoff touch, resolves them anew, and writes the slots they lie in. All other sl
 the files of earlier runs: they are neither read nor copied. One entry in a commit log
 names the files of a run, so earlier runs stay readable as they were.
 
-A row that is delivered again, in whatever file, is known by the fingerprint of its
-content and touches nothing. Exposure and dimensions are those of the first run; a change
+A row that is delivered again, in whatever file, is known by its content and touches
+nothing. Exposure and dimensions are those of the first run; a change
 of these touches any family and needs a full run (``finance.execute``).
 
 Slots that the driver is told about are at most ``slots`` numbers.
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from evenkeel.operators import claims
 from evenkeel.schemas import TABLES
 from evenkeel.session import stage
-from evenkeel.sources.arrivals import row_fingerprint
 from evenkeel.sources.commits import CommitLog
 from evenkeel.sources.tables import RunConflict, conform
 
@@ -42,6 +41,28 @@ def _schema(df: DataFrame, columns: list[str]) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
 
 
+def unseen(delivered: DataFrame, known: DataFrame | None) -> DataFrame:
+    """One row for each delivered content that no known row has, dealt out by slot.
+
+    Known contents ride along and veto their group, so whole rows are shuffled once; the
+    ranges of this shuffle give a task few slots to write, and cut a slot of many rows.
+    A row without a family equals no known one.
+    """
+    key = ["slot", FAMILY, *[c for c in _CONTENT if c != FAMILY]]
+    rows = delivered.withColumn("is_known", F.lit(False))
+    if known is not None:
+        rows = rows.unionByName(known.where(F.col(FAMILY).isNotNull()).select(
+            *key, F.lit(True).alias("is_known")), allowMissingColumns=True)
+    return (
+        rows.repartitionByRange("slot", FAMILY, "version_number")
+        .groupBy(*key)
+        .agg(F.max("is_known").alias("is_known"), F.min(F.struct(*DELIVERY)).alias("delivery"))
+        .where(~F.col("is_known"))
+        .select(*key, "delivery.*")
+        .select(*delivered.columns)
+    )
+
+
 @dataclass(frozen=True)
 class LateRuns:
     """Runs over claim headers that share what has not changed between them."""
@@ -86,9 +107,8 @@ class LateRuns:
     def _landed(self, entry: dict | None, schema: str, slots: list[int]) -> DataFrame:
         """Rows of the given slots that a run and those before it took in."""
         parts = [self._read("landed", schema, {s: attempt for s in slots if s in held})
-                 for attempt, held in (entry["landed"] if entry else [])]
-        empty = self._read("landed", schema, {})
-        return reduce(DataFrame.unionByName, parts, empty)
+                 for attempt, held in (entry["landed"] if entry else []) if set(slots) & set(held)]
+        return reduce(DataFrame.unionByName, parts or [self._read("landed", schema, {})])
 
     def run(self, run_id: str, cutoff: date, rows: DataFrame) -> dict:
         """Takes rows in and publishes finals as of a cutoff; a committed run is given back.
@@ -106,12 +126,11 @@ class LateRuns:
             raise RunConflict(f"the cutoff of {parent['run_id']} is later: {parent['cutoff']}")
         attempt = uuid.uuid4().hex
         delivered = conform(rows, "raw_claim_header").withColumns({
-            "slot": self._slot(FAMILY), "fingerprint": row_fingerprint(*_CONTENT)})
+            "slot": self._slot(FAMILY)})
         schema = _schema(delivered, [c for c in delivered.columns if c != "slot"])
-        key = ["slot", FAMILY, "fingerprint"]
-        delivered = stage(delivered.dropDuplicates(key), "delivered")
-        known = self._landed(parent, schema, self._numbers(delivered)).select(*key)
-        self._write(delivered.join(known, key, "left_anti"), "landed", attempt)
+        delivered = stage(delivered, "delivered")
+        known = self._landed(parent, schema, self._numbers(delivered)) if parent else None
+        unseen(delivered, known).write.partitionBy("slot").parquet(f"{self.root}/landed/{attempt}")
         new = self.spark.read.schema(f"{schema}, slot int").parquet(f"{self.root}/landed/{attempt}")
         new_slots = self._numbers(new)
 
@@ -128,8 +147,11 @@ class LateRuns:
         touched = stage(touched.distinct(), "touched")
         slots = self._numbers(touched)
 
-        earlier = self._landed(parent, schema, slots).join(touched, ["slot", FAMILY], "left_semi")
-        finals = self._finals(earlier.unionByName(new), cutoff)
+        landed = new
+        if parent:
+            landed = self._landed(parent, schema, slots).join(
+                touched, ["slot", FAMILY], "left_semi").unionByName(new)
+        finals = self._finals(landed, cutoff)
         held = {int(s): a for s, a in parent["finals"].items()} if parent else {}
         standing = self._read(FINAL, self._final_schema, {s: held[s] for s in slots if s in held}).join(
             touched.select("slot", F.col(FAMILY).alias("claim_family_key")), ["slot", "claim_family_key"], "left_anti")
@@ -158,7 +180,7 @@ class LateRuns:
         run = F.lit("").alias("run_id")
         context = self.spark.range(1).select(run, F.lit(cutoff).alias("as_of_cutoff"))
         headers = claims.claim_header_versions(
-            landed.drop("slot", "fingerprint").withColumn("run_id", run), *self.dimensions, "")
+            landed.drop("slot").withColumn("run_id", run), *self.dimensions, "")
         finals = claims.claim_finals(
             headers, self.member_months.withColumn("run_id", run), context, "")
         return finals.drop("run_id").withColumn("slot", self._slot("claim_family_key"))

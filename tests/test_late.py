@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evenkeel.operators import claims
-from evenkeel.plans.late import LateRuns
+from evenkeel.plans.late import LateRuns, unseen
 from evenkeel.sources.tables import RunConflict
 from tests.finance_rows import RUN, finance_run
 
@@ -88,3 +88,19 @@ def test_replays_empty_deliveries_and_conflicts(spark, run, runs):
         runs.run("R1", LAST, landed)
     with pytest.raises(RunConflict):
         runs.run("R3", date(2026, 1, 1), landed)
+
+
+def test_delivered_rows_are_shuffled_once_and_known_contents_are_left_out(spark, run, runs):
+    landed = run["raw_claim_header"].withColumn("slot", runs._slot("claim_family_id"))
+    elsewhere = landed.withColumn("source_file_id", F.lit("ZZZ"))
+    nameless = landed.limit(1).withColumns({
+        "claim_family_id": F.lit(None).cast("string"), "slot": F.lit(3)})
+    delivered = landed.unionByName(elsewhere).unionByName(nameless)
+    known = elsewhere.where("claim_family_id = 'SYN_C001'").unionByName(nameless)
+    got = unseen(delivered, known)
+    want = landed.where("claim_family_id <> 'SYN_C001'").unionByName(nameless)
+    assert got.columns == delivered.columns
+    assert rows(got) == rows(want)
+    assert rows(unseen(delivered, None)) == rows(landed.unionByName(nameless))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan, plan
