@@ -1,6 +1,7 @@
 """Hot keys against brute force, and plans that must keep their shape."""
 
 import random
+import re
 from collections import defaultdict
 from datetime import date, timedelta
 
@@ -182,3 +183,21 @@ def test_claim_versions_aggregate_by_hash_and_are_written_once(spark, tmp_path):
     inputs = proxies.FinanceInputs(spark, str(tmp_path), shared=True)
     assert inputs.versions is inputs.versions
     assert "stage/versions" in inputs.versions.inputFiles()[0]
+
+
+def test_no_sort_starts_with_what_is_alike_in_all_rows(spark):
+    """A sort compares the first eight bytes of its first key before it looks at rows."""
+    run = finance_run(spark)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {name: plan(df) for name, df in {
+            "headers": run.headers, "lines": run.lines, "finals": run.finals, "final_lines": run.final_lines,
+            "payments": run.payments, "balances": run.family_balances, "assignments": run.assignments,
+            "unbalanced": run.unbalanced_headers}.items()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" in plans["headers"] and "SortAggregate" in plans["finals"]
+    firsts = {name: set(re.findall(r"Sort \[(\w+)#", text)) for name, text in plans.items()}
+    assert all(firsts.values())
+    assert not [n for n, found in firsts.items() if found & {"run_id", "member_id", "provider_id"}], firsts
