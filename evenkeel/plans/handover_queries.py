@@ -86,9 +86,9 @@ def page_files(spark, sf_dir: str) -> DataFrame:
     marked = F.concat(F.when(F.col("page_id") % 2 == 0, F.lit("%PDF")).otherwise(F.lit("")),
                       F.coalesce("html", F.lit("")))
     rows = proxies.read(spark, sf_dir, "pages").select("page_id", marked.alias("value"))
-    rows.repartition("page_id").write.partitionBy("page_id").text(path)
-    number = F.regexp_extract("path", r"page_id=(\d+)", 1).cast("long")
-    return documents.read_binaries(spark, f"{path}/page_id=*").select(
+    folders = documents.write_files(rows, path, "page_id", "value")
+    number = F.regexp_extract("path", r"page_id=(-?\d+)$", 1).try_cast("long")
+    return documents.read_binaries(spark, folders).select(
         number.alias("page_id"), "length", "content_sha256", "is_pdf")
 
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from evenkeel.session import spread
+
 # One entry of a manifest, as the listing describes a document.
 MANIFEST_ENTRY = (
     "sdp_identifier string, state_name string, description string, pdf_url string, "
@@ -79,13 +86,59 @@ def read_readiness(spark: SparkSession, path: str | None) -> DataFrame:
         F.col("newest_year").alias("dq_assessment_year"))
 
 
-def read_binaries(spark: SparkSession, path: str) -> DataFrame:
+BINARY = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def read_binaries(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Document files with their content hash; a file that is no PDF is marked."""
-    return spark.read.format("binaryFile").load(path).select(
+    files = spark.read.format("binaryFile").load(path) if path else spark.createDataFrame([], BINARY)
+    return files.select(
         "path", "length", F.sha2("content", 256).alias("content_sha256"),
         (F.substring("content", 1, 4) == F.lit("%PDF").cast("binary")).alias("is_pdf"))
 
 
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"  # stands for a null in a file's name
+
+
+def _file_task(folder: str, key: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, root = fs.FileSystem.from_uri(folder)
+        attempt, held, out, files = uuid.uuid4().hex, None, None, 0
+        for batch in batches:
+            for number, value in zip(batch.column("key").to_pylist(), batch.column("value")):
+                if out is None or number != held:
+                    if out is None:
+                        target.create_dir(f"{root}/{attempt}", recursive=True)
+                    else:
+                        out.close()
+                    name = NO_KEY if number is None else number
+                    out = target.open_output_stream(f"{root}/{attempt}/{key}={name}", compression=None)
+                    held, files = number, files + 1
+                out.write(value.as_buffer())
+                out.write(b"\n")
+        if out is not None:
+            out.close()
+            yield pa.RecordBatch.from_pydict(
+                {"folder": pa.array([attempt]), "files": pa.array([files], pa.int64())})
+
+    return run
+
+
+def write_files(rows: DataFrame, folder: str, key: str, value: str) -> list[str]:
+    """A file for each key, a number, with its texts as lines; the folders that hold them.
+
+    Tasks write below a folder of their own attempt and report it, so files of lost attempts
+    are in none of the folders returned, of which there is one a task. A committer would
+    instead create, move and grant rights to a folder and a file for each key.
+    """
+    found = spread(rows.select(F.col(key).alias("key"), F.coalesce(value, F.lit("")).cast("binary").alias("value")),
+                   "key").sortWithinPartitions("key", "value")
+    found.mapInArrow(_file_task(f"{folder}/files", key), "folder string, files bigint").write.parquet(
+        f"{folder}/written")
+    written = rows.sparkSession.read.schema("folder string, files bigint").parquet(f"{folder}/written")
+    return sorted(f"{folder}/files/{r['folder']}" for r in written.collect())
+
+
 def read_measures(spark: SparkSession, path: str) -> DataFrame:
     """Measure exports: a CSV whose payload column holds JSON with a whole file."""
     return spark.read.schema("tafVersionId string, measureId string, payload string").option(
