@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import os
+import string
 import struct
 import sys
 import uuid
@@ -67,31 +69,52 @@ class Layout:
     level: int = 1
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the pieces of a byte-level tokenizer."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Token ids of many texts, with those of pieces of text kept for reuse.
 
     The pre-tokenizer always cuts before a space or a line break that no white space
-    surrounds, and between a letter and a last comma or full stop. So a text is the
+    surrounds, and between a letter and the signs that end a piece. So a text is the
     sequence of its pieces, and every distinct piece is encoded once; texts with other
     white space around these are encoded as a whole, and so are texts that hold the string
-    of an added token, unless ``plain`` makes it ordinary text.
+    of an added token, unless ``plain`` makes it ordinary text. A piece of letters is not
+    cut at all, so it goes to the model as it is.
     """
 
     KEPT = 500_000   # pieces in a generation; the two last generations are kept
     GROUP = 500      # pieces encoded as lines of one text
     SPACE = r"[\s\p{Z}\x{85}\x{0B}\x{1C}-\x{1F}]"
     UNEVEN = rf"\A{SPACE}|[ \n](?:{SPACE}|\z)"
+    SIGNS = string.punctuation
+    LETTERS_TO = "\u0530"  # scripts below have the same letters in all versions of Unicode in use
+    BYTES = _byte_letters()
 
     def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
-        self.added = [] if plain else [
-            t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [] if plain else [t.content for t in added]
+        with open(path, encoding="utf-8") as file:
+            stated = json.load(file)
+        cut = stated["pre_tokenizer"] or {}
+        # What only cuts by the usual pattern, and leaves the rest to the merges.
+        self.direct = (
+            stated["normalizer"] is None and cut.get("type") == "ByteLevel"
+            and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+            and stated["model"].get("type") == "BPE" and all(t.special for t in added))
+        self.model = self.tokenizer.model
+        self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
         self.line, = self.whole(["\n"])
-        self.tails = dict(zip(",.", self.whole([",", "."])))
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [_numbers(e.ids).tobytes()
@@ -110,41 +133,69 @@ class Encoder:
                 found += [raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)])]
         return found
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Puts the ids of new pieces, but for a last comma or full stop, among those kept."""
-        kept, older, tails = self.kept, self.older, self.tails
-        bodies, odd = [], []
-        for piece in pieces:
-            body = piece
-            if piece[-1:] in tails and piece[-2:-1].isalpha():
-                body = piece[:-1]
-                if body in kept:
-                    continue
+    def _word(self, bare: str, spaced: bool) -> bytes | None:
+        """Ids of letters, which the pre-tokenizer does not cut, after a space or without one."""
+        if not bare.isalpha():
+            return None
+        if not bare.isascii():
+            if max(bare) >= self.LETTERS_TO:
+                return None
+            bare = bare.encode().decode("latin-1").translate(self.BYTES)
+        return b"".join([self.packed[t.id] for t in self.model.tokenize("\u0120" + bare if spaced else bare)])
+
+    def _cut(self, piece: str) -> str:
+        """A piece without the signs after its last letter, if there are any."""
+        body = piece.rstrip(self.SIGNS)
+        return body if body[-1:].isalpha() else piece
+
+    def _learn(self, bodies: list[str]) -> None:
+        """Puts the ids of pieces that are not kept among those kept."""
+        kept, older, line = self.kept, self.older, self.line
+        lines, odd = [], []
+        for body in bodies:
+            if body in kept:
+                continue
             if (ids := older.get(body)) is not None:
                 kept[body] = ids
-            else:
-                kept[body] = b""  # so that it is taken up once
-                bare = body[1:] if body[:1] == "\n" else body
-                (bodies if bare and bare.split() == [bare] else odd).append(body)
-        items = [b[1:] if b[:1] == "\n" else f" {b}" for b in bodies]
-        for body, ids in zip(bodies, self._lines(items)):
-            kept[body] = self.line + ids if body[:1] == "\n" else ids
+                continue
+            first = body[:1] == "\n"
+            bare = body[1:] if first else body
+            if self.direct and (ids := self._word(bare, not first)) is not None:
+                kept[body] = line + ids if first else ids
+                continue
+            kept[body] = b""  # so that it is taken up once
+            (lines if bare and bare.split() == [bare] else odd).append(body)
+        items = [b[1:] if b[:1] == "\n" else f" {b}" for b in lines]
+        for body, ids in zip(lines, self._lines(items)):
+            kept[body] = line + ids if body[:1] == "\n" else ids
         for body, ids in zip(odd, self.whole([b if b[:1] == "\n" else f" {b}" for b in odd])):
             kept[body] = ids
 
+    def _tail(self, tail: str) -> bytes:
+        """Ids of signs behind a letter."""
+        if (ids := self.tails.get(tail)) is None:
+            ids, = self.whole([tail])
+            if len(tail) < 8:  # 32 signs, and few of their sequences occur
+                if len(self.tails) >= self.KEPT:
+                    self.tails.clear()
+                self.tails[tail] = ids
+        return ids
+
     def ids_of(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces: those between the spaces of a text, with a space before each
         line break, of which none is empty. A piece stands after a space or begins with a line break."""
         if len(self.kept) > self.KEPT:
             self.kept, self.older = {}, self.kept
-        known = list(map(self.kept.get, pieces))
+        kept = self.kept
+        known = list(map(kept.get, pieces))
         new = [i for i, ids in enumerate(known) if ids is None]
-        self._learn([pieces[i] for i in new])
-        kept, tails = self.kept, self.tails
-        for i in new:
+        bodies = [self._cut(pieces[i]) for i in new]
+        self._learn(bodies)
+        for i, body in zip(new, bodies):
             piece = pieces[i]
-            if (ids := kept.get(piece)) is None:
-                ids = kept[piece] = kept[piece[:-1]] + tails[piece[-1]]
+            ids = kept[body]
+            if len(body) < len(piece):
+                ids = kept[piece] = ids + self._tail(piece[len(body):])
             known[i] = ids
         return known
 
@@ -164,7 +215,7 @@ class Encoder:
         split = pc.split_pattern(pc.binary_join_element_wise(
             pa.scalar("\n"), pc.replace_substring(even, "\n", " \n"), ""), " ")
         coded = split.flatten().dictionary_encode()
-        known = self.ids_of(coded.dictionary.to_pylist())
+        known = self.ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, known), np.int32, len(known)) // 4
         flat = np.frombuffer(b"".join(known), "<u4")
         starts = np.cumsum(sizes, dtype=np.int32) - sizes  # a text has fewer than 2**31 ids

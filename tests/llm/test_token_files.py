@@ -41,6 +41,32 @@ def test_pieces_give_the_ids_of_whole_texts(library):
         assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library(t) for t in texts[i:i + 100]]
 
 
+@pytest.mark.parametrize("plain", [False, True])
+def test_new_words_go_to_the_model_at_once(plain):
+    draw = random.Random(5)
+    letters = [*"abcdefgtsoOnN", *"\u00e9\u00df\u0142\u03b1\u0416\u00aa\u6f22\u05d0\u0301\u02b0\U00010400", *"'19"]
+    signs = [*"$$&!?*'_.,;)>|", "<|endoftext|>", "'s", "\u3002"]
+
+    def word():
+        return draw.choice(["", "", "(", "'"]) + "".join(draw.choices(letters[:16], k=draw.randint(1, 14))) + \
+            "".join(draw.choices(letters, k=draw.choice([0, 0, 0, 3]))) + \
+            "".join(draw.choices(signs, k=draw.choice([0, 0, 1, 3, 9])))
+    texts = ["".join(word() + draw.choice("  \n") for _ in range(40)) + "z" for _ in range(300)]
+    encoder = T.Encoder(tokenizer_path(), plain)
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    tokenizer.encode_special_tokens = plain
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    calls, model = [], encoder.whole
+    encoder.whole = lambda items: calls.extend(items) or model(items)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(pa.array(texts))] == want
+    words = [f"q{w}" for w in ("abcd", "\u00e9t\u00e9", "\u0416\u0416", "x\u03b1")]
+    calls.clear()
+    got, = encoder.encode(pa.array([" ".join(["a", *words, "\n".join(words)])]))
+    assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(
+        " ".join(["a", *words, "\n".join(words)]), add_special_tokens=False).ids
+    assert not any(w in c for w in words for c in calls)
+
+
 def test_round_trip_of_awkward_rows(spark, folder, library):
     made = rows.awkward(random.Random(3)) + [(20 + i, t, "en", "a") for i, t in enumerate(ODD)]
     docs = rows.table(spark, made, extra=True)
