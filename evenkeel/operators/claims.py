@@ -29,21 +29,21 @@ def claim_header_versions(
     """Every submitted version, superseded and voided ones included."""
     landed = (
         raw_headers.where(F.col("run_id") == run_id)
-        .drop("ingested_at")
+        .drop("ingested_at", "run_id")
         .withColumnRenamed("claim_family_id", "claim_family_key")
     )
     headers = resolve_references(landed, dim_member, dim_market, dim_plan).withColumn(
         "claim_version_key", version_key())
-    return link_replaced_versions(headers).select(*TABLES["claim_header_version"].names)
+    return link_replaced_versions(headers).withColumn("run_id", F.lit(run_id)).select(
+        *TABLES["claim_header_version"].names)
 
 
 def link_replaced_versions(headers: DataFrame) -> DataFrame:
     """Turn a stated ``FAMILY:VERSION`` into a key, only where that version exists.
 
-    Rows that replace nothing are most of the table. They look up their own key and
+    The headers are those of one run, whose name no row has to carry. Rows that replace nothing are most of the table. They look up their own key and
     ignore the answer, so they spread over all partitions instead of meeting in the
-    one that holds NULL. The probe is the first key: a sort compares the first bytes
-    of its first key before it looks at rows, and the run is the same in all of them.
+    one that holds NULL.
     """
     stated = F.col("replaces_version_id")
     colon = F.instr(stated, ":")
@@ -52,13 +52,11 @@ def link_replaced_versions(headers: DataFrame) -> DataFrame:
         colon > 0,
         F.concat(F.substring_index(stated, ":", 1), F.lit(":"), number.cast("string")))
     probe = F.coalesce(reference, F.col("claim_version_key"))
-    known = headers.select(
-        F.col("claim_version_key").alias("probe"), F.col("run_id")
-    ).distinct().withColumn("is_known", F.lit(True))
+    known = headers.select(F.col("claim_version_key").alias("probe")).distinct().withColumn("is_known", F.lit(True))
     return (
         headers.withColumn("reference", reference)
         .withColumn("probe", probe)
-        .join(known, ["probe", "run_id"], "left")
+        .join(known, "probe", "left")
         .withColumn("replaces_version_key", F.when(F.col("is_known"), F.col("reference")))
         .drop("reference", "probe", "is_known", "replaces_version_id")
     )
@@ -75,13 +73,19 @@ def effective_on(date: str, start: str = "effective_start", end: str = "effectiv
 
 
 def header_lines(raw_lines: DataFrame, headers: DataFrame, run_id: str) -> DataFrame:
-    """Landed lines of the run beside the header version they belong to."""
-    lines = raw_lines.where(F.col("run_id") == run_id).withColumnRenamed(
+    """Landed lines of the run beside the header version they belong to.
+
+    Both sides are of the run before they meet, so its name is put back after the join
+    instead of being shuffled and sorted with every row.
+    """
+    of_run = F.col("run_id") == run_id
+    lines = raw_lines.where(of_run).drop("run_id").withColumnRenamed(
         "claim_family_id", "claim_family_key")
-    owners = headers.select(
-        "run_id", "claim_family_key", "version_number", "claim_version_key",
+    owners = headers.where(of_run).select(
+        "claim_family_key", "version_number", "claim_version_key",
         "claim_file_type", "service_end_date")
-    return lines.join(owners, ["claim_family_key", "version_number", "run_id"])
+    return lines.join(owners, ["claim_family_key", "version_number"]).withColumn(
+        "run_id", F.lit(run_id))
 
 
 def claim_line_versions(

@@ -13,16 +13,16 @@ def payment_ledger(raw_payments: DataFrame, headers: DataFrame, run_id: str) ->
     """Payments attached to the version they paid, current or not.
 
     Attaching them to the final version would hide the history that explains a
-    reversal. The load order of the rows carries no meaning here.
+    reversal. The load order of the rows carries no meaning here. Both sides are of the
+    run before they meet, so its name is put back after the join.
     """
-    landed = (
-        raw_payments.where(F.col("run_id") == run_id)
-        .withColumnRenamed("claim_family_id", "claim_family_key")
-    )
-    versions = headers.select(
-        "run_id", "claim_family_key", "version_number", "claim_version_key")
-    return landed.join(versions, ["claim_family_key", "version_number", "run_id"]).select(
-        *TABLES["fact_payment_transaction"].names)
+    of_run = F.col("run_id") == run_id
+    landed = raw_payments.where(of_run).drop("run_id").withColumnRenamed(
+        "claim_family_id", "claim_family_key")
+    versions = headers.where(of_run).select(
+        "claim_family_key", "version_number", "claim_version_key")
+    return landed.join(versions, ["claim_family_key", "version_number"]).withColumn(
+        "run_id", F.lit(run_id)).select(*TABLES["fact_payment_transaction"].names)
 
 
 def capitation_ledger(

@@ -131,6 +131,27 @@ def mapped_codes(service_category_map: DataFrame, mapping_version: str) -> DataF
     )
 
 
+def maybe_unmapped(
+    lines: DataFrame, headers: DataFrame, service_category_map: DataFrame, mapping_version: str
+) -> DataFrame:
+    """Lines that may lack a category under one of the headers' file types.
+
+    A code that is mapped under every file type of the map cannot fail with any of them, so
+    its lines need not meet their headers. They stay where a header has another file type, or
+    none. What is left out is decided by codes alone; what fails is left to the caller.
+    """
+    known = mapped_codes(service_category_map, mapping_version).where(
+        F.col("claim_file_type").isNotNull() & F.col("service_code").isNotNull())
+    types = known.select("claim_file_type").distinct()
+    complete = known.groupBy("service_code").agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("n") == types.agg(F.count(F.lit(1))).scalar()).select(
+        "service_code", F.lit(True).alias("is_complete"))
+    strays = headers.select("claim_file_type").distinct().join(types, "claim_file_type", "left_anti")
+    return lines.join(complete, "service_code", "left").where(
+        F.col("is_complete").isNull() | (strays.agg(F.count(F.lit(1))).scalar() > 0)
+    ).drop("is_complete")
+
+
 def unmapped_service_codes(
     raw_lines: DataFrame,
     raw_headers: DataFrame,
@@ -140,15 +161,16 @@ def unmapped_service_codes(
 ) -> DataFrame:
     """Lines whose code the map does not contain, with the cents on them.
 
-    Lines meet their headers once and are then summed by code, so the map is
-    compared with one row per code. A version with very many lines is a skewed
+    Lines that may fail meet their headers once and are then summed by code, so the
+    map is compared with one row per code. A version with very many lines is a skewed
     join partition, which adaptive execution splits.
     """
     version = ["claim_family_id", "version_number"]
     lines = raw_lines.where(F.col("run_id") == run_id)
     types = raw_headers.where(F.col("run_id") == run_id).select(*version, "claim_file_type")
     by_code = (
-        lines.select(*version, "service_code", "line_paid_amount_cents")
+        maybe_unmapped(lines.select(*version, "service_code", "line_paid_amount_cents"), types,
+                       service_category_map, mapping_version)
         .join(types, version)
         .groupBy("claim_file_type", "service_code")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("line_paid_amount_cents").alias("cents"))
@@ -224,7 +246,8 @@ def unbalanced_headers(
     """
     accepted = accepted_ffs(headers)
     unmapped = (
-        header_lines(raw_lines, accepted, run_id)
+        header_lines(maybe_unmapped(raw_lines, accepted, service_category_map, mapping_version),
+                     accepted, run_id)
         .join(mapped_codes(service_category_map, mapping_version),
               ["claim_file_type", "service_code"], "left_anti")
         .select("claim_version_key", "run_id").distinct()
@@ -331,7 +354,8 @@ def quarantine_records(
     types = raw_headers.where(F.col("run_id") == run_id).select(
         "claim_family_id", "version_number", "claim_file_type").distinct()
     unmapped = (
-        raw_lines.where(F.col("run_id") == run_id)
+        maybe_unmapped(raw_lines.where(F.col("run_id") == run_id), types,
+                       dims["service_category_map"], mapping_version)
         .join(types, ["claim_family_id", "version_number"])
         .join(mapped_codes(dims["service_category_map"], mapping_version),
               ["claim_file_type", "service_code"], "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from copy import copy
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import cached_property, reduce
@@ -106,19 +107,30 @@ class FinanceRun:
         return self.curated.get("fact_capitation_transaction") or ledger.capitation_ledger(
             self["raw_capitation_transaction"], *self._dims, self.run_id)
 
-    def staged(self, *tables: str) -> "FinanceRun":
+    def staged(self, *tables: str, unread: tuple[str, ...] = ()) -> "FinanceRun":
         """The same run with the named tables written once to the shared folder.
 
         For work in which several rules and measures read one curated table.
-        Tables are staged in the given order and build on each other.
+        Tables are staged in the given order and build on each other. Columns that nothing
+        after it reads are not written.
         """
         run = self
         for table in tables:
             df = run.curated_table(table)
             run = FinanceRun(self.inputs, self.run_id, self.mapping_version,
-                             {**run.curated, table: stage(df, table)})
+                             {**run.curated, table: stage(df.drop(*unread), table)})
         return run
 
+    def landed(self, *tables: str) -> "FinanceRun":
+        """The same run with the named inputs written once to the shared folder.
+
+        For work in which several tables and rules read inputs that are derived.
+        """
+        inputs = copy(self.inputs)
+        for table in tables:
+            inputs[table] = stage(self[table], table)
+        return FinanceRun(inputs, self.run_id, self.mapping_version, self.curated)
+
     # evidence
 
     @cached_property

@@ -38,11 +38,22 @@ COMPONENTS = ("primary_exposure", "exposure_month", "ffs_spend_month", "ffs_clai
 MEASURES = ("kpi_ffs_month", "kpi_managed_care_month", "kpi_ffs_category_month")
 
 
+# Inputs that several rules and curated tables read, and the curated tables over them. A map
+# that is written is known to be small, so joins with it do not shuffle the other side.
+LANDED = ("raw_eligibility_span", "raw_claim_header", "service_category_map")
+SHARED = ("eligibility_span", "claim_header_version", "member_assignment", "claim_line_version",
+          "fact_claim_header_final")
+EVIDENCE = (*SHARED, "dq_result")
+# Where a curated row came from, which the quarantine reports and measures do not read.
+PROVENANCE = ("source_file_id", "source_row_id")
+
+
 def _over_run(build: Callable[[FinanceRun], DataFrame], stage: tuple[str, ...] = (),
-              contents: bool = False) -> Query:
+              contents: bool = False, landed: tuple[str, ...] = (),
+              unread: tuple[str, ...] = ()) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         run = proxies.finance_run(spark, sf_dir, contents, shared=contents and bool(stage))
-        return build(run.staged(*stage) if stage else run)
+        return build(run.landed(*landed).staged(*stage, unread=unread))
     return query
 
 
@@ -64,9 +75,8 @@ def constraint_violations(run: FinanceRun) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    shared = ("claim_header_version", "member_assignment", "claim_line_version",
-              "fact_claim_header_final")
-    evidence = (*shared, "dq_result")
+    traced = {"stage": SHARED, "landed": LANDED}
+    shared, evidence = ({"stage": s, "landed": LANDED, "unread": PROVENANCE} for s in (SHARED, EVIDENCE))
     out: dict[str, Query] = {
         "eligibility_spans": _over_run(lambda r: r.spans),
         "member_months": _over_run(lambda r: r.member_months),
@@ -86,26 +96,26 @@ def queries() -> dict[str, Query]:
         "source_files": _over_run(lambda r: r["source_file"].select(
             "source_file_id", "market_id", "month_start", "row_count", "content_hash"),
             contents=True),
-        "dq_results": _over_run(lambda r: r.dq_result, shared),
-        "run_status": _over_run(lambda r: r.run_status, shared),
-        "quarantine": _over_run(lambda r: r.quarantine, shared),
-        "partition_status": _over_run(lambda r: r.partition_status, shared),
+        "dq_results": _over_run(lambda r: r.dq_result, **shared),
+        "run_status": _over_run(lambda r: r.run_status, **shared),
+        "quarantine": _over_run(lambda r: r.quarantine, **traced),
+        "partition_status": _over_run(lambda r: r.partition_status, **shared),
         "partition_status_feeds": _over_run(lambda r: kpis.partition_status(
             r["dim_market"], r["dim_date"], r["pipeline_run"],
             r.rule("DQ_MISSING_MARKET_FEED"))),
-        "preflight_blockers": _over_run(lambda r: r.blockers(_ready(r)), evidence),
-        "table_counts": _over_run(lambda r: table_counts(r.curated_tables), shared),
+        "preflight_blockers": _over_run(lambda r: r.blockers(_ready(r)), **evidence),
+        "table_counts": _over_run(lambda r: table_counts(r.curated_tables), **shared),
     }
     out |= {
         "payment_month": _over_run(lambda r: variance.payment_month(r.payments)),
         "ffs_variance": _over_run(
-            lambda r: variance.ffs_variance(r.view("v_kpi_ffs_month")), evidence),
+            lambda r: variance.ffs_variance(r.view("v_kpi_ffs_month")), **evidence),
         "category_contributions": _over_run(
             lambda r: variance.category_contributions(
-                r.view("v_kpi_ffs_month"), r.view("v_ffs_category_month")), evidence),
+                r.view("v_kpi_ffs_month"), r.view("v_ffs_category_month")), **evidence),
         "pmpm_anomalies": _over_run(
             lambda r: variance.pmpm_anomalies(
-                r.view("v_kpi_ffs_month"), PROVISIONAL_FROM, MINIMUM_MEMBER_MONTHS), evidence),
+                r.view("v_kpi_ffs_month"), PROVISIONAL_FROM, MINIMUM_MEMBER_MONTHS), **evidence),
         "claim_bridge": _over_run(lambda r: reconciliation.claim_bridge(
             r["raw_claim_header"], r.headers, r.finals, r["pipeline_run"], r.run_id),
             ("claim_header_version",)),
@@ -113,17 +123,20 @@ def queries() -> dict[str, Query]:
             r.inputs, r.headers, r.lines, r.run_id, r.mapping_version),
             ("claim_header_version", "claim_line_version")),
         "quality_failure_rate": _over_run(lambda r: reconciliation.quality_failure_rate(
-            r.quarantine, [r[t] for t in RAW]), shared),
+            r.quarantine, [r[t] for t in RAW]), **traced),
         "finance_mart": _over_run(lambda r: reconciliation.finance_mart(
-            r.member_months, r.finals, r.final_lines, r.capitation), shared),
+            r.member_months, r.finals, r.final_lines, r.capitation), **shared),
         "category_mart": _over_run(lambda r: reconciliation.category_mart(
-            r.member_months, r.finals, r.final_lines), shared),
-        "constraint_violations": _over_run(constraint_violations, evidence, contents=True),
+            r.member_months, r.finals, r.final_lines), **shared),
+        "constraint_violations": _over_run(constraint_violations, EVIDENCE, contents=True),
     }
+    # Rules that look at headers more than once.
+    of_rule = {"dq_unmapped_service_codes": {"landed": LANDED[1:]},
+               "dq_header_line_balance": {"landed": LANDED[1:], "stage": ("claim_header_version",)}}
     for name, rule in RULES.items():
-        out[name] = _over_run(lambda r, rule=rule: r.rule(rule))
+        out[name] = _over_run(lambda r, rule=rule: r.rule(rule), **of_rule.get(name, {}))
     for name in COMPONENTS:
         out[name] = _over_run(lambda r, name=name: r.view(f"v_{name}"))
     for name in MEASURES:
-        out[name] = _over_run(lambda r, name=name: r.view(f"v_{name}"), shared)
+        out[name] = _over_run(lambda r, name=name: r.view(f"v_{name}"), **shared)
     return out

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.operators import exposure, extracts, families, kpis, reconciliation
 from evenkeel.plans import document_proxies, document_queries, finance, proxies
-from evenkeel.plans.finance_queries import PROVISIONAL_FROM, Query
+from evenkeel.plans.finance_queries import EVIDENCE, LANDED, PROVENANCE, PROVISIONAL_FROM, Query
 from evenkeel.plans.late import LateRuns
 from evenkeel.session import shared_folder, stage
 from evenkeel.sources import buckets, documents, listing, tables
@@ -218,8 +218,7 @@ def published_runs(spark, sf_dir: str) -> DataFrame:
 def release_manifest(spark, sf_dir: str) -> DataFrame:
     """Two releases of the run as the manifest holds them; the first one cannot be written again."""
     log = CommitLog(spark, _folder(spark, "releases"))
-    run = proxies.finance_run(spark, sf_dir).staged(
-        "claim_header_version", "member_assignment", "claim_line_version", "fact_claim_header_final", "dq_result")
+    run = proxies.finance_run(spark, sf_dir).landed(*LANDED).staged(*EVIDENCE, unread=PROVENANCE)
     first = finance.release(run, "REL_1", "KPI_V1", PROVISIONAL_FROM, "reviewer", datetime(1999, 8, 1))
     for release in (first, {**first, "release_id": "REL_2", "approver": "second reviewer"}):
         reconciliation.write_release(log, release)

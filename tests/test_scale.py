@@ -201,3 +201,57 @@ def test_no_sort_starts_with_what_is_alike_in_all_rows(spark):
     firsts = {name: set(re.findall(r"Sort \[(\w+)#", text)) for name, text in plans.items()}
     assert all(firsts.values())
     assert not [n for n, found in firsts.items() if found & {"run_id", "member_id", "provider_id"}], firsts
+
+
+def test_lines_whose_code_is_mapped_everywhere_meet_no_headers(spark):
+    """The rule counts what a plain join counts, and only lines that may fail go to it."""
+    from evenkeel.operators import quality
+    maps = [("IP", "A"), ("RX", "A"), ("IP", "B"), ("RX", None), (None, "C")]
+    mapping = frame(spark, "service_category_map", [
+        {"mapping_version": "M", "claim_file_type": t, "service_code": c, "category_key": 1,
+         "effective_start": date(2025, 1, 1)} for t, c in maps])
+    codes = ["A", "A", "B", "C", None, "Z"]
+    lines = frame(spark, "raw_claim_line", [
+        {"run_id": RUN, "claim_family_id": f"F{f}", "version_number": 1, "line_number": i,
+         "service_code": c, "line_paid_amount_cents": 10 ** i}
+        for f in range(4) for i, c in enumerate(codes)])
+
+    def headers(types):
+        return frame(spark, "raw_claim_header", [
+            {"run_id": RUN, "claim_family_id": f"F{f}", "version_number": 1, "claim_file_type": t}
+            for f, t in enumerate(types)])
+
+    for types, kept in ((["IP", "RX", "IP", "IP"], 16), (["IP", "RX", "IP", "LT"], 24), (["IP", "RX", None], 24)):
+        expected = [10 ** i for f, t in enumerate(types) for i, c in enumerate(codes)
+                    if t is None or c is None or (t, c) not in maps]
+        rule = quality.unmapped_service_codes(lines, headers(types), mapping, RUN, "M").first()
+        assert (rule["evaluated_count"], rule["failing_row_count"], rule["financial_impact_cents"]) == (
+            24, len(expected), sum(expected))
+        assert quality.maybe_unmapped(lines, headers(types), mapping, "M").count() == kept
+
+
+def test_inputs_are_written_once_without_columns_that_nothing_reads(spark):
+    plain = finance_run(spark)
+    run = plain.landed("raw_claim_header", "service_category_map")
+    assert "stage/raw_claim_header" in run["raw_claim_header"].inputFiles()[0]
+    assert "stage/raw_claim_header" not in str(plain["raw_claim_header"].inputFiles())
+    staged = run.staged("claim_header_version", "claim_line_version", unread=("source_file_id", "source_row_id"))
+    assert not {"source_file_id", "source_row_id"} & set(staged.headers.columns)
+    assert sorted(map(str, staged.dq_result.collect())) == sorted(map(str, plain.dq_result.collect()))
+
+
+def test_landed_rows_of_a_run_meet_without_its_name(spark):
+    """What is the same in all rows is neither shuffled nor sorted with them."""
+    run = finance_run(spark)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (run.lines, run.payments, run.headers):
+            assert not re.findall(r"(?:Exchange hashpartitioning|Sort )[\[(][^\n]*run_id", plan(df))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    both = {t: df.unionByName(df.withColumn("run_id", F.lit("OTHER"))) if "run_id" in df.columns else df
+            for t, df in run.inputs.items()}
+    again = type(run)(both, RUN, run.mapping_version)
+    for name in ("headers", "lines", "payments", "finals", "dq_result"):
+        assert sorted(map(str, getattr(again, name).collect())) == sorted(map(str, getattr(run, name).collect()))
