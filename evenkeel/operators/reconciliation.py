@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
 
@@ -60,9 +61,13 @@ def claim_bridge(
 
 def drop_report(
     inputs: dict[str, DataFrame], headers: DataFrame, lines: DataFrame, run_id: str,
-    mapping_version: str,
+    mapping_version: str, write: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """Landed rows that reach no curated table, by table and reason, with their cents."""
+    """Landed rows that reach no curated table, by table and reason, with their cents.
+
+    With ``write`` the few counts of a table are stored before the next one's rows are
+    looked for, so the disk holds what one of them shuffles.
+    """
     dims = inputs["dim_member"], inputs["dim_market"], inputs["dim_plan"]
 
     def landed(table: str) -> DataFrame:
@@ -70,9 +75,10 @@ def drop_report(
 
     def report(rows: DataFrame, table: str, reason: Column, cents: str | None) -> DataFrame:
         amount = F.lit(None).cast("long") if cents is None else F.sum(cents)
-        return rows.groupBy(reason.alias("reason")).agg(
+        counts = rows.groupBy(reason.alias("reason")).agg(
             F.count(F.lit(1)).alias("rows"), amount.alias("cents")
         ).select(F.lit(table).alias("table_name"), "reason", "rows", "cents")
+        return counts if write is None else write(counts, "drops")
 
     def gaps(rows: DataFrame) -> tuple[DataFrame, Column]:
         found = reference_gaps(rows, *dims).where(

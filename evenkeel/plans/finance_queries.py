@@ -125,7 +125,7 @@ def queries() -> dict[str, Query]:
             r["raw_claim_header"], r.headers, r.finals, r["pipeline_run"], r.run_id),
             ("claim_header_version",)),
         "drop_report": _over_run(lambda r: reconciliation.drop_report(
-            r.inputs, r.headers, r.lines, r.run_id, r.mapping_version),
+            r.inputs, r.headers, r.lines, r.run_id, r.mapping_version, write_stage),
             ("claim_header_version", "claim_line_version")),
         "quality_failure_rate": _over_run(lambda r: reconciliation.quality_failure_rate(
             r.quarantine, [r[t] for t in RAW]), **traced),
