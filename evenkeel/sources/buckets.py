@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.session import shared_folder, stage
+from evenkeel.session import settled, shared_folder, stage
 
 FAMILY = "claim_family_key"
 BUCKETS = 64
@@ -36,7 +36,7 @@ def _bucketed(df: DataFrame, table: str, buckets: int) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{table}"
     # Dealt out by the same hash first, so that each bucket is one file of one task.
     df.repartition(buckets, FAMILY).write.bucketBy(buckets, FAMILY).sortBy(FAMILY).option(
-        "path", path).saveAsTable(name)
+        "path", path).option("compression", "zstd").saveAsTable(name)
     stored = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the frame keeps files and buckets; the files stay
     return stored
@@ -49,7 +49,7 @@ def write(tables: dict[str, DataFrame], buckets: int = BUCKETS, most_rows: int =
     large = stage(reduce(DataFrame.union, counted).distinct(), "large-families")
     return Families(
         {t: _bucketed(df.join(large, FAMILY, "left_anti"), t, buckets) for t, df in tables.items()},
-        {t: stage(df.join(large, FAMILY, "left_semi"), f"large-{t}") for t, df in tables.items()})
+        {t: settled(df.join(large, FAMILY, "left_semi"), f"large-{t}") for t, df in tables.items()})
 
 
 Join = Callable[[DataFrame, DataFrame, str], DataFrame]
